@@ -16,17 +16,22 @@ from tidemark.plans.marts import MARTS, read_mart, stage, update_marts
 from tidemark.plans.paths import Paths
 from tidemark.sources.raw import read_raw, stream_raw
 from tidemark.sources.state import EPOCH, RunState
-from tidemark.sources.tables import read_bronze, read_silver, write_partitioned
+from tidemark.sources.tables import (
+    BACKFILL,
+    SILVER_BY,
+    read_bronze,
+    write_load,
+    write_partitioned,
+)
 from tidemark.streaming.jobs import load_bronze
 
 LOOKBACK_DAYS = 2
-BY = ["event_date", "event_type"]
 
 
 def backfill_bronze(spark: SparkSession, paths: Paths, modified_after: str | None = None) -> None:
     """One batch load of raw files into bronze, for a first load without a stream."""
     rows = bronze_ops.bronze(read_raw(spark, paths.raw, modified_after))
-    write_partitioned(rows, paths.bronze, ["verdict", *BY])
+    write_load(rows, paths.bronze, BACKFILL)
 
 
 def promote(
@@ -50,7 +55,7 @@ def promote(
 
     seen = Observation()
     rows = silver_ops.silver(window).observe(seen, F.max("event_date").alias("newest"))
-    write_partitioned(rows, paths.silver, BY, "replace")
+    write_partitioned(rows, paths.silver, SILVER_BY, "replace")
     newest = seen.get["newest"]
     if newest is None:
         return None

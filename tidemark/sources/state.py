@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EPOCH = "1970-01-01"  # where every checkpoint and watermark starts
@@ -25,11 +25,17 @@ class RunState:
     def get(self, name: str, default: str | None = None) -> str | None:
         """Last value saved under `name`."""
         # Creates the dataset if this is the first use.
-        self.spark.createDataFrame([], _SCHEMA).write.mode("ignore").json(self.path)
+        self._row("", "").limit(0).write.mode("ignore").json(self.path)
         saved = self.spark.read.schema(_SCHEMA).json(self.path).filter(F.col("name") == name)
         last = saved.agg(F.max_by("value", "written_at")).first()[0]
         return default if last is None else last
 
     def put(self, name: str, value: object) -> None:
-        row = [(name, str(value), time.time_ns())]
-        self.spark.createDataFrame(row, _SCHEMA).coalesce(1).write.mode("append").json(self.path)
+        self._row(name, str(value)).write.mode("append").json(self.path)
+
+    def _row(self, name: str, value: str) -> DataFrame:
+        return self.spark.range(0, 1, 1, 1).select(
+            F.lit(name).alias("name"),
+            F.lit(value).alias("value"),
+            F.lit(time.time_ns()).alias("written_at"),
+        )

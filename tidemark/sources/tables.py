@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 
+SILVER_BY = ["event_date", "event_type"]
+BRONZE_BY = ["verdict", *SILVER_BY]
+BACKFILL = -1  # `load` of the one batch load
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A Parquet table under a fixed schema; an empty DataFrame if it was never written."""
@@ -22,7 +25,7 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Accepted bronze events; the filter prunes partitions."""
     table = read_table(spark, path, schemas.BRONZE_SCHEMA)
-    return table.filter(F.col("verdict") == "valid").drop("verdict", "raw_text", "reason")
+    return table.filter(F.col("verdict") == "valid").drop("load", "verdict", "raw_text", "reason")
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
@@ -48,3 +51,8 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "appe
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:
         writer.mode(mode).parquet(path)
+
+
+def write_load(bronze: DataFrame, path: str, load: int) -> None:
+    """Add the bronze rows of one load; repeating a load replaces what it wrote before."""
+    write_partitioned(bronze.withColumn("load", F.lit(load)), path, [*BRONZE_BY, "load"], "replace")

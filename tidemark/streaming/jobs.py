@@ -14,14 +14,12 @@ from tidemark import schemas
 from tidemark.operators import bronze as bronze_ops
 from tidemark.operators.ingest import ingestion_log, stamp
 from tidemark.operators.validate import extract_fields, quarantined, valid_events, validate
+from tidemark.sources.tables import write_load
 
 DRAIN = {"availableNow": True}
 
 STAMPED = ["ingested_at", "request_id"]
 
-# Files a streaming micro-batch writes per (event_date, event_type).
-FILES_PER_PARTITION = 8
-
 
 def land_events(
     incoming: DataFrame,
@@ -66,26 +64,20 @@ def land_events(
 
 
 def load_bronze(
-    raw: DataFrame,
-    bronze_path: str,
-    checkpoint: str,
-    trigger: dict | None = None,
-    files_per_partition: int = FILES_PER_PARTITION,
+    raw: DataFrame, bronze_path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Append new raw records to bronze exactly once.
+    """Add new raw records to bronze exactly once.
 
-    The salt in the shuffle key bounds the files per partition and still spreads a
-    hot partition over several tasks.
+    A micro-batch covers the same files when it is retried and replaces its own `load`
+    partitions, so no record is added twice. It is a batch write, so that adaptive
+    execution sizes the files and splits a partition that gets most of the rows.
     """
-    rows = bronze_ops.bronze(raw)
-    rejected = F.when(F.col("verdict") != "valid", F.coalesce("raw_text", F.to_json("payload")))
-    spread = F.xxhash64("event_id", "source_file", "ingested_at", rejected)
-    salt = F.pmod(spread, F.lit(files_per_partition))
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        write_load(bronze_ops.bronze(batch), bronze_path, batch_id)
+
     return (
-        rows.repartition("verdict", "event_date", "event_type", salt)
-        .writeStream.format("parquet")
-        .partitionBy("verdict", "event_date", "event_type")
-        .option("path", bronze_path)
+        raw.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or DRAIN))
         .start()

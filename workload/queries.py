@@ -26,7 +26,13 @@ from tidemark.plans.paths import Paths
 from tidemark.plans.pipeline import promote, run_pipeline
 from tidemark.sources.raw import from_text, read_raw
 from tidemark.sources.scratch import scratch_dir
-from tidemark.sources.tables import read_bronze, read_silver, write_partitioned
+from tidemark.sources.tables import (
+    SILVER_BY,
+    read_bronze,
+    read_silver,
+    write_load,
+    write_partitioned,
+)
 from tidemark.streaming.jobs import land_events
 from workload import adapter
 
@@ -67,8 +73,21 @@ def _dim_events(spark: SparkSession, sf: str) -> DataFrame:
     return scd.dimension_events(_silver(spark, sf))
 
 
+def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Write an intermediate result that several branches read, and read it back."""
+    path = scratch_dir(spark, "stored")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _cuts(spark: SparkSession, sf: str) -> DataFrame | None:
+    """Where to cut busy users' timelines, found on the source table before any shuffle."""
+    source = adapter.test_events(spark, sf).select("user_id", F.col("ts").alias("event_ts"))
+    return plan_cuts(source, "user_id", "event_ts")
+
+
 def _dim(spark: SparkSession, sf: str) -> DataFrame:
-    return scd.full_build(_dim_events(spark, sf))
+    return scd.full_build(_dim_events(spark, sf), _cuts(spark, sf))
 
 
 def _cut() -> Column:
@@ -102,17 +121,17 @@ def bronze_enrich(spark, sf):
     return as_text(_ingested(enriched))
 
 
-def _store_bronze(spark, deliveries: DataFrame, paths: Paths, processed_at: str) -> None:
-    """Append deliveries to a bronze table as the bronze job would have."""
+def _store_bronze(deliveries: DataFrame, paths: Paths, processed_at: str, load: int = 0) -> None:
+    """Add deliveries to a bronze table as the bronze job would have."""
     raw = from_text(deliveries.select(F.to_json(F.struct("*")).alias("value")))
     at = F.lit(processed_at).cast("timestamp_ntz")
     rows = bronze_ops.bronze(raw.withColumn("source_file", F.lit("adapter")), at)
-    write_partitioned(rows, paths.bronze, ["verdict", "event_date", "event_type"])
+    write_load(rows, paths.bronze, load)
 
 
 def bronze_lookback_scan(spark, sf):
     paths = Paths(scratch_dir(spark, "lake"))
-    _store_bronze(spark, adapter.deliveries(spark, sf), paths, adapter.PROCESSED_AT)
+    _store_bronze(adapter.deliveries(spark, sf), paths, adapter.PROCESSED_AT)
     window = bronze_ops.lookback(read_bronze(spark, paths.bronze), "2024-01-30")
     return as_text(_ingested(window.select("event_id", "event_type", "event_date", "ingested_at")))
 
@@ -131,7 +150,7 @@ def silver_dedup_latest(spark, sf):
 
 def silver_events(spark, sf):
     paths = Paths(scratch_dir(spark, "lake"))
-    write_partitioned(_silver(spark, sf), paths.silver, ["event_date", "event_type"], "replace")
+    write_partitioned(_silver(spark, sf), paths.silver, SILVER_BY, "replace")
     return as_text(_ingested(read_silver(spark, paths.silver)))
 
 
@@ -139,11 +158,12 @@ def _two_promotions(spark, sf, lookback: int, after_each=lambda paths: None) ->
     """Silver after a run on the first batch and another after the second arrived."""
     paths = Paths(scratch_dir(spark, "lake"))
     arrivals = adapter.deliveries(spark, sf)
-    for part, at in (
+    runs = (
         (adapter.first_batch(arrivals), adapter.PROCESSED_AT),
         (adapter.second_batch(arrivals), adapter.LATER_PROCESSED_AT),
-    ):
-        _store_bronze(spark, part, paths, at)
+    )
+    for load, (part, at) in enumerate(runs):
+        _store_bronze(part, paths, at, load)
         promote(spark, paths, lookback, TODAY)
         after_each(paths)
     return paths
@@ -160,7 +180,7 @@ def silver_incremental_short_lookback(spark, sf):
 
 def silver_by_type(spark, sf):
     paths = Paths(scratch_dir(spark, "lake"))
-    write_partitioned(_silver(spark, sf), paths.silver, ["event_date", "event_type"], "replace")
+    write_partitioned(_silver(spark, sf), paths.silver, SILVER_BY, "replace")
     tables = silver_ops.type_tables(read_silver(spark, paths.silver))
     tagged = [t.withColumn("table_name", F.lit(name)) for name, t in tables.items()]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
@@ -250,32 +270,33 @@ def scd2_full_build(spark, sf):
 
 def scd2_full_build_pieces(spark, sf):
     """The same build with every timeline longer than 20 events cut into pieces."""
-    events = _dim_events(spark, sf)
+    events = _stored(spark, _dim_events(spark, sf))
     cuts = plan_cuts(events, "user_id", "event_ts", rows_per_piece=20)
     return as_text(scd.full_build(events, cuts))
 
 
-def _two_batches(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All events, the dimension after the first batch, and the second batch."""
-    events = _dim_events(spark, sf)
-    before = scd.full_build(events.filter(F.col("ingested_at") <= _cut()))
-    return events, before, events.filter(F.col("ingested_at") > _cut())
+def _two_batches(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
+    """All events, the dimension after the first batch, the second batch, and the cuts."""
+    events = _stored(spark, _dim_events(spark, sf))
+    cuts = _cuts(spark, sf)
+    before = scd.full_build(events.filter(F.col("ingested_at") <= _cut()), cuts)
+    return events, _stored(spark, before), events.filter(F.col("ingested_at") > _cut()), cuts
 
 
 def scd2_incremental_apply(spark, sf):
-    _, dim, batch = _two_batches(spark, sf)
-    return as_text(scd.apply_batch(dim, batch))
+    _, dim, batch, cuts = _two_batches(spark, sf)
+    return as_text(scd.apply_batch(dim, batch, cuts))
 
 
 def scd2_rebuild_touched(spark, sf):
-    events, dim, batch = _two_batches(spark, sf)
-    return as_text(scd.rebuild_users(dim, events, batch))
+    events, dim, batch, cuts = _two_batches(spark, sf)
+    return as_text(scd.rebuild_users(dim, events, batch, cuts))
 
 
 def scd2_replay(spark, sf):
     """Late-safe update from four days before the cut, the longest an event is late."""
-    events, dim, _ = _two_batches(spark, sf)
-    return as_text(scd.replay(dim, events, _cut() - F.expr("INTERVAL 4 DAYS")))
+    events, dim, _, cuts = _two_batches(spark, sf)
+    return as_text(scd.replay(dim, events, _cut() - F.expr("INTERVAL 4 DAYS"), cuts))
 
 
 def dim_user_current(spark, sf):
