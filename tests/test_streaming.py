@@ -83,24 +83,23 @@ def test_landing(spark, tmp_path):
 
 def test_silver_follows_the_bronze_stream(spark, tmp_path):
     paths = Paths(str(tmp_path))
-    calls = []
+    runs = []
 
     def refresh():
         load(spark, paths)
-
-        def touched(dates):
-            calls.append(sorted(map(str, dates)))
-            promote(spark, paths, today=TODAY, dates=dates)
-
-        refresh_silver(spark, paths.bronze, paths.stream("silver"), touched).awaitTermination()
+        refresh_silver(
+            spark, paths.bronze, paths.stream("silver"), lambda: runs.append(promote(spark, paths, today=TODAY))
+        ).awaitTermination()
 
     drop(paths, "a", event("1"), event("2", "2024-01-09T10:00:00"))
     refresh()
-    drop(paths, "b", event("1", country="CA", ingested="2024-01-11T00:00:00"))
+    # The second copy of "2" says it happened on another day of the window.
+    drop(paths, "b", event("1", country="CA", ingested="2024-01-11T00:00:00"), event("2"))
+    refresh()
     refresh()
-    assert calls == [["2024-01-09", "2024-01-10"], ["2024-01-10"]]
-    found = {(r.event_id, r.country) for r in read_silver(spark, paths.silver).collect()}
-    assert found == {("1", "CA"), ("2", "US")}
+    assert len(runs) == 2
+    found = {(r.event_id, r.country, str(r.event_date)) for r in read_silver(spark, paths.silver).collect()}
+    assert found == {("1", "CA", "2024-01-10"), ("2", "US", "2024-01-10")}
 
 
 def everything(df):
@@ -111,7 +110,7 @@ def same_as_from_scratch(spark, paths):
     silver = read_silver(spark, paths.silver)
     assert everything(read_dimension(spark, paths)) == everything(full_build(dimension_events(silver)))
     stg = stage(spark, paths)
-    for name, (mart, _) in MARTS.items():
+    for name, (mart, _, _) in MARTS.items():
         want = mart(stg)
         assert everything(read_mart(spark, paths, name).select(want.columns)) == everything(want)
 
@@ -134,11 +133,19 @@ def test_pipeline_runs(spark, tmp_path):
     same_as_from_scratch(spark, paths)
     assert read_mart(spark, paths, "mart_revenue").first().daily_revenue == 7.5
 
+    # A correction empties a day and an event type.
+    drop(paths, "c", event("4", "2024-01-12T11:00:00", country="GB", ingested="2024-01-13T00:00:00"),
+         event("3", "2024-01-10T10:00:00", kind="search", country="DE", ingested="2024-01-13T00:00:00"),
+         event("9", "2024-01-11T10:00:00", user=2, kind="signup", ingested="2024-01-13T00:00:00"))
+    run_pipeline(spark, paths, lookback_days=4, today=TODAY)
+    same_as_from_scratch(spark, paths)
+    assert read_mart(spark, paths, "mart_revenue").isEmpty()
+    assert read_mart(spark, paths, "mart_dau").filter("event_date = '2024-01-09'").isEmpty()
+
     # Nothing new: nothing changes.
-    version = dimension.last_run
     before = everything(read_dimension(spark, paths))
     run_pipeline(spark, paths, today=TODAY)
-    assert everything(read_dimension(spark, paths)) == before and version is dimension.last_run
+    assert everything(read_dimension(spark, paths)) == before
 
     names = register_views(spark, paths)
     assert {"dim_user_current", "dim_user_scd", "mart_funnel", "silver_searches", "stg_events"} <= set(names)

@@ -15,32 +15,62 @@ from tidemark.plans.paths import Paths
 from tidemark.sources.state import RunState
 from tidemark.sources.tables import read_silver, read_table, write_partitioned
 
+# Function, stored columns, and the event types the mart is made from (None: all).
 # Every mart is keyed by date, so a run can replace just the dates it touched.
 MARTS = {
-    "mart_dau": (marts.mart_dau, "daily_active_users bigint, event_date date"),
-    "mart_revenue": (marts.mart_revenue, "daily_revenue double, event_date date"),
-    "mart_event_mix": (marts.mart_event_mix, "event_type string, event_count bigint, event_date date"),
+    "mart_dau": (marts.mart_dau, "daily_active_users bigint, event_date date", None),
+    "mart_revenue": (marts.mart_revenue, "daily_revenue double, event_date date", ["purchase"]),
+    "mart_event_mix": (
+        marts.mart_event_mix,
+        "event_type string, event_count bigint, event_date date",
+        None,
+    ),
     "mart_funnel": (
         marts.mart_funnel,
         "user_id bigint, searches bigint, page_views bigint, purchases bigint, event_date date",
+        list(marts.FUNNEL_STEPS.values()),
     ),
 }
 
 
+def _silver_since(spark: SparkSession, paths: Paths, since: dt.date | None) -> DataFrame:
+    silver = read_silver(spark, paths.silver)
+    return silver if since is None else silver.filter(F.col("event_date") >= F.lit(since))
+
+
 def stage(spark: SparkSession, paths: Paths, since: dt.date | None = None) -> DataFrame:
     """The staging view, over the silver partitions from `since` on."""
-    silver = read_silver(spark, paths.silver)
-    if since is not None:
-        silver = silver.filter(F.col("event_date") >= F.lit(since))
-    return marts.stg_events(silver)
+    return marts.stg_events(_silver_since(spark, paths, since))
 
 
 def write_marts(spark: SparkSession, paths: Paths, since: dt.date | None = None) -> None:
     """Write all marts: in full, or only the dates from `since` on."""
     stg = stage(spark, paths, since)
-    mode = "overwrite" if since is None else "replace"
-    for name, (mart, _) in MARTS.items():
-        write_partitioned(mart(stg), f"{paths.marts}/{name}", ["event_date"], mode)
+    for name, (mart, _, _) in MARTS.items():
+        path = f"{paths.marts}/{name}"
+        if since is None:
+            write_partitioned(mart(stg), path, ["event_date"], "overwrite")
+        else:
+            write_partitioned(mart(stg), path, ["event_date"], "replace")
+            _empty_lost_dates(spark, paths, name, since)
+
+
+def _empty_lost_dates(spark: SparkSession, paths: Paths, name: str, since: dt.date) -> None:
+    """Empty the stored dates that no longer have events; replacing partitions keeps them."""
+    _, _, types = MARTS[name]
+    stored = read_mart(spark, paths, name).filter(F.col("event_date") >= F.lit(since))
+    events = _silver_since(spark, paths, since)
+    if types:
+        events = events.filter(F.col("event_type").isin(types))
+    lost = (
+        stored.select("event_date").distinct()
+        .join(events.select("event_date").distinct(), "event_date", "left_anti")
+        .collect()  # dates only
+    )
+    nothing = stored.drop("event_date").limit(0)
+    for row in lost:
+        folder = f"{paths.marts}/{name}/event_date={row['event_date'].isoformat()}"
+        spark.createDataFrame([], nothing.schema).write.mode("overwrite").parquet(folder)
 
 
 def update_marts(spark: SparkSession, paths: Paths, lookback_days: int = 2) -> None:

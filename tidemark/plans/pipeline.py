@@ -14,12 +14,14 @@ from tidemark.operators.scd import current_users
 from tidemark.plans.dimension import read_dimension, update_dimension
 from tidemark.plans.marts import MARTS, read_mart, stage, update_marts
 from tidemark.plans.paths import Paths
+from tidemark.schemas import SILVER_SCHEMA
 from tidemark.sources.raw import read_raw, stream_raw
 from tidemark.sources.state import EPOCH, RunState
 from tidemark.sources.tables import (
     BACKFILL,
     SILVER_BY,
     read_bronze,
+    read_table,
     write_load,
     write_partitioned,
 )
@@ -39,26 +41,31 @@ def promote(
     paths: Paths,
     lookback_days: int = LOOKBACK_DAYS,
     today: dt.date | None = None,
-    dates: list[dt.date] | None = None,
 ) -> str | None:
     """Rebuild the silver partitions inside the lookback window from bronze.
 
     Returns the new checkpoint, or None when the window holds no rows. Partitions
-    before the window are not read and not touched. `dates` narrows the run to the
-    dates known to have new rows.
+    before the window are not read and not touched.
+
+    Every partition already in the window also gets a blank row (no event_id, dropped
+    by `read_silver`), so that one whose events were all corrected to other dates is
+    replaced too instead of keeping their old copies.
     """
     state = RunState(spark, paths.state)
     checkpoint = state.get("silver_checkpoint", EPOCH)
     window = bronze_ops.lookback(read_bronze(spark, paths.bronze), checkpoint, lookback_days)
-    if dates is not None:
-        window = window.filter(F.col("event_date").isin(dates))
+    if window.isEmpty():
+        return None
+
+    stored = read_table(spark, paths.silver, SILVER_SCHEMA)
+    old = bronze_ops.lookback(stored, checkpoint, lookback_days).select(SILVER_BY).distinct().collect()
+    blanks = spark.createDataFrame(old, "event_date date, event_type string")
 
     seen = Observation()
     rows = silver_ops.silver(window).observe(seen, F.max("event_date").alias("newest"))
+    rows = rows.unionByName(blanks, allowMissingColumns=True)
     write_partitioned(rows, paths.silver, SILVER_BY, "replace")
     newest = seen.get["newest"]
-    if newest is None:
-        return None
     # An event dated in the future must not push on-time events out of the window.
     limit = today or dt.datetime.now(dt.timezone.utc).date()
     moved = max(checkpoint, min(newest, limit).isoformat())

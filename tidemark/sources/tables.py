@@ -37,7 +37,9 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, schemas.SILVER_SCHEMA).select(schemas.SILVER_COLUMNS)
+    """Silver events without the blank rows of rewritten partitions."""
+    table = read_table(spark, path, schemas.SILVER_SCHEMA)
+    return table.filter(F.col("event_id").isNotNull()).select(schemas.SILVER_COLUMNS)
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "append") -> None:

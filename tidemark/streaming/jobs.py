@@ -6,6 +6,8 @@ stops, so a scheduler can start it; `{"processingTime": "10 minutes"}` keeps it
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -88,23 +90,22 @@ def refresh_silver(
     spark: SparkSession,
     bronze_path: str,
     checkpoint: str,
-    promote,
+    promote: Callable[[], object],
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Call `promote(dates)` with the event dates each micro-batch of new bronze rows touches.
+    """Call `promote()` for every micro-batch that brings new valid bronze rows.
 
-    Late copies must replace earlier ones, so silver partitions are rebuilt from
-    bronze instead of deduplicating inside the stream, which would keep the first copy.
+    Late copies must replace earlier ones, also across dates, so the lookback window is
+    rebuilt from bronze; deduplicating inside the stream would keep the first copy.
     """
     new_rows = spark.readStream.schema(schemas.BRONZE_SCHEMA).parquet(bronze_path)
 
-    def touched(batch: DataFrame, _batch_id: int) -> None:
-        dates = batch.filter("verdict = 'valid'").select("event_date").distinct().collect()
-        if dates:
-            promote([row["event_date"] for row in dates])
+    def refresh(batch: DataFrame, _batch_id: int) -> None:
+        if not batch.filter("verdict = 'valid'").isEmpty():
+            promote()
 
     return (
-        new_rows.writeStream.foreachBatch(touched)
+        new_rows.writeStream.foreachBatch(refresh)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or DRAIN))
         .start()

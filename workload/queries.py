@@ -385,7 +385,7 @@ def _checked(spark, sf, kind: str) -> DataFrame:
     stg = marts.stg_events(silver_ops.normalize(adapter.bronze_rows(spark, sf)))
     tables = {
         "stg_events": stg,
-        **{name: mart(stg) for name, (mart, _) in MARTS.items()},
+        **{name: mart(stg) for name, (mart, _, _) in MARTS.items()},
         "dim_user_current": scd.current_users(_dim(spark, sf)),
     }
     return checks.run_checks(tables, (kind,))
