@@ -46,31 +46,27 @@ def stage(spark: SparkSession, paths: Paths, since: dt.date | None = None) -> Da
 def write_marts(spark: SparkSession, paths: Paths, since: dt.date | None = None) -> None:
     """Write all marts: in full, or only the dates from `since` on."""
     stg = stage(spark, paths, since)
+    mode = "overwrite" if since is None else "replace"
     for name, (mart, _, _) in MARTS.items():
-        path = f"{paths.marts}/{name}"
-        if since is None:
-            write_partitioned(mart(stg), path, ["event_date"], "overwrite")
-        else:
-            write_partitioned(mart(stg), path, ["event_date"], "replace")
-            _empty_lost_dates(spark, paths, name, since)
-
-
-def _empty_lost_dates(spark: SparkSession, paths: Paths, name: str, since: dt.date) -> None:
-    """Empty the stored dates that no longer have events; replacing partitions keeps them."""
-    _, _, types = MARTS[name]
-    stored = read_mart(spark, paths, name).filter(F.col("event_date") >= F.lit(since))
-    events = _silver_since(spark, paths, since)
-    if types:
-        events = events.filter(F.col("event_type").isin(types))
-    lost = (
-        stored.select("event_date").distinct()
-        .join(events.select("event_date").distinct(), "event_date", "left_anti")
-        .collect()  # dates only
-    )
-    nothing = stored.drop("event_date").limit(0)
-    for row in lost:
-        folder = f"{paths.marts}/{name}/event_date={row['event_date'].isoformat()}"
-        spark.createDataFrame([], nothing.schema).write.mode("overwrite").parquet(folder)
+        write_partitioned(mart(stg), f"{paths.marts}/{name}", ["event_date"], mode)
+    if since is not None:
+        _empty_lost_dates(spark, paths, since)
+
+
+def _empty_lost_dates(spark: SparkSession, paths: Paths, since: dt.date) -> None:
+    """Empty the stored dates that no longer have events; replacing partitions keeps them.
+
+    Only partition values come to the driver.
+    """
+    silver = _silver_since(spark, paths, since)
+    filled = silver.select("event_date", "event_type").distinct().collect()
+    for name, (_, schema, types) in MARTS.items():
+        stored = read_mart(spark, paths, name).filter(F.col("event_date") >= F.lit(since))
+        old = {row[0] for row in stored.select("event_date").distinct().collect()}
+        lost = old - {day for day, kind in filled if types is None or kind in types}
+        for day in lost:
+            nothing = spark.createDataFrame([], schema).drop("event_date")
+            nothing.write.mode("overwrite").parquet(f"{paths.marts}/{name}/event_date={day.isoformat()}")
 
 
 def update_marts(spark: SparkSession, paths: Paths, lookback_days: int = 2) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import bronze as bronze_ops
@@ -21,6 +21,7 @@ from tidemark.sources.tables import (
     BACKFILL,
     SILVER_BY,
     read_bronze,
+    read_silver,
     read_table,
     write_load,
     write_partitioned,
@@ -61,11 +62,10 @@ def promote(
     old = bronze_ops.lookback(stored, checkpoint, lookback_days).select(SILVER_BY).distinct().collect()
     blanks = spark.createDataFrame(old, "event_date date, event_type string")
 
-    seen = Observation()
-    rows = silver_ops.silver(window).observe(seen, F.max("event_date").alias("newest"))
-    rows = rows.unionByName(blanks, allowMissingColumns=True)
+    rows = silver_ops.silver(window).unionByName(blanks, allowMissingColumns=True)
     write_partitioned(rows, paths.silver, SILVER_BY, "replace")
-    newest = seen.get["newest"]
+    written = bronze_ops.lookback(read_silver(spark, paths.silver), checkpoint, lookback_days)
+    newest = written.agg(F.max("event_date")).first()[0]
     # An event dated in the future must not push on-time events out of the window.
     limit = today or dt.datetime.now(dt.timezone.utc).date()
     moved = max(checkpoint, min(newest, limit).isoformat())

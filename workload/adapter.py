@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import utc_timestamp
 from tidemark.operators import bronze as bronze_ops
-from tidemark.operators.ingest import ISO_MICROS
 
 # What the derived columns are filled with.
 COUNTRIES = ["US", "CA", "GB", "DE", "FR"]
@@ -32,6 +31,10 @@ def _pick(values: list[str], number: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (number % len(values) + 1).cast("int"))
 
 
+def _iso(time: Column) -> Column:
+    return F.translate(time.cast("string"), " ", "T")
+
+
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every delivery of every event, as it would be sent: times are ISO text."""
     kind = F.col("event_type")
@@ -49,14 +52,14 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(kind == "click", "search")
             .otherwise(kind)
             .alias("event_type"),
-            F.date_format("ts", ISO_MICROS).alias("event_ts"),
+            _iso(F.col("ts")).alias("event_ts"),
             "user_id",
             _pick(COUNTRIES, F.col("k")).alias("country"),
             F.when(kind == "view", _pick(PAGES, F.col("k"))).alias("page"),
             F.when(kind == "click", F.concat(F.lit("query "), (F.col("k") % 5).cast("string"))).alias("query"),
             F.when(kind == "purchase", F.col("value")).alias("amount"),
             F.when(kind == "error", _pick(ERRORS, F.col("k"))).alias("error_message"),
-            F.date_format(arrival, ISO_MICROS).alias("ingested_at"),
+            _iso(arrival).alias("ingested_at"),
         )
     )
 
@@ -106,9 +109,7 @@ def imperfect_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(turn == 8, F.lit("null"))
         .otherwise(user)
     )
-    event_ts = F.when(turn == 15, F.lit('"not a time"')).otherwise(
-        quoted(F.date_format("ts", ISO_MICROS))
-    )
+    event_ts = F.when(turn == 15, F.lit('"not a time"')).otherwise(quoted(_iso(F.col("ts"))))
     country = F.when(turn == 12, F.lit('""')).otherwise(F.lit('"US"'))
     fields = F.concat_ws(
         ",",

@@ -305,7 +305,7 @@ ORACLE_SQL = {
     "THEN event_type ELSE '' END AS error_message FROM events",
     "ingestion_log": f"WITH {APP_EVENTS}"
     "SELECT 'event_ingested' AS type, md5(event_id) AS request_id, event_id, event_type, "
-    "strftime(ingested_at, '%Y-%m-%dT%H:%M:%S.%f') AS ingested_at, "
+    f"{_ts('ingested_at')}, "
     "strftime(ingested_at, '%Y-%m-%d') AS log_date FROM app_events",
     "dq_not_null": _checks("not_null"),
     "dq_unique": _checks("unique"),

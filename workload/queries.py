@@ -374,7 +374,7 @@ def schema_evolution(spark, sf):
 
 def ingestion_log_records(spark, sf):
     stamped = adapter.deliveries(spark, sf).withColumn("request_id", F.md5("event_id"))
-    return ingestion_log(stamped)
+    return as_text(_ingested(ingestion_log(stamped)))
 
 
 # --- checks -----------------------------------------------------------------
