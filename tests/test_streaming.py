@@ -14,7 +14,7 @@ from tidemark.plans.paths import Paths
 from tidemark.plans.pipeline import promote, run_pipeline
 from tidemark.sources.raw import from_text, stream_raw
 from tidemark.sources.tables import read_bronze, read_quarantine, read_silver
-from tidemark.streaming.jobs import land_events, load_bronze, refresh_silver
+from tidemark.streaming.jobs import land_events, load_bronze
 
 TODAY = dt.date(2024, 3, 1)
 
@@ -53,7 +53,7 @@ def test_files_are_loaded_once(spark, tmp_path):
 
 
 def test_landing(spark, tmp_path):
-    root = str(tmp_path)
+    paths = Paths(str(tmp_path))
     incoming = tmp_path / "incoming"
     incoming.mkdir()
     (incoming / "a.txt").write_text(
@@ -66,29 +66,35 @@ def test_landing(spark, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         land_events(
             from_text(spark.readStream.text(str(incoming))),
-            f"{root}/raw", f"{root}/logs", f"{root}/rejected", f"{root}/stream",
+            paths.raw, paths.logs, paths.rejected, paths.stream("landing"),
         ).awaitTermination()
-    raw = [json.loads(r.value) for r in spark.read.text(f"{root}/raw").collect()]
+    raw = [json.loads(r.value) for r in spark.read.text(paths.raw).collect()]
     assert len(raw) == 1
     assert raw[0]["note"] == {"a": [1, 2.5]}
     assert raw[0]["request_id"] != "sent by the client"
     assert raw[0]["ingested_at"][:10] >= "2024"
-    log = spark.read.json(f"{root}/logs").collect()
+    log = spark.read.json(paths.logs).collect()
     assert [(r.type, r.event_id, r.request_id) for r in log] == [
         ("event_ingested", "1", raw[0]["request_id"])
     ]
-    rejected = {r.reason for r in spark.read.json(f"{root}/rejected").collect()}
+    rejected = {r.reason for r in spark.read.json(paths.rejected).collect()}
     assert rejected == {"bad_user_id", "corrupt_json"}
 
+    again = from_text(spark.readStream.text(str(incoming)))
+    assert run_pipeline(spark, paths, today=TODAY, incoming=again).count() == 26
+    bronze = read_bronze(spark, paths.bronze).first()
+    assert (bronze.event_id, bronze.request_id) == ("1", raw[0]["request_id"])
+    assert read_silver(spark, paths.silver).count() == 1
+
 
 def test_silver_follows_the_bronze_stream(spark, tmp_path):
     paths = Paths(str(tmp_path))
     runs = []
 
     def refresh():
-        load(spark, paths)
-        refresh_silver(
-            spark, paths.bronze, paths.stream("silver"), lambda: runs.append(promote(spark, paths, today=TODAY))
+        load_bronze(
+            stream_raw(spark, paths.raw), paths.bronze, paths.stream("bronze"),
+            after=lambda: runs.append(promote(spark, paths, today=TODAY)),
         ).awaitTermination()
 
     drop(paths, "a", event("1"), event("2", "2024-01-09T10:00:00"))

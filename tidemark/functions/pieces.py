@@ -28,13 +28,14 @@ def plan_cuts(
 ) -> DataFrame | None:
     """`(key, cuts)` for the busy keys of `df`, or None when there are none.
 
-    Runs one narrow aggregate over `df`, and a second one over the busy keys if any.
+    Counts the rows, then if one key could be busy the rows per key, and only for busy
+    keys looks for the quantiles.
     """
-    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    total = per_key.agg(F.sum("n").alias("n"), F.max("n").alias("largest")).first()
-    if not total["n"] or total["largest"] <= rows_per_piece:
+    total = df.count()
+    target = max(rows_per_piece, math.ceil(total / MAX_PIECES))
+    if total <= target:
         return None
-    target = max(rows_per_piece, math.ceil(total["n"] / MAX_PIECES))
+    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     busy = per_key.filter(F.col("n") > target).collect()  # fewer than MAX_PIECES rows
     if not busy:
         return None

@@ -60,8 +60,7 @@ def update_dimension(
     last = last_run(state)
     reached = state.get("silver_checkpoint", EPOCH)
     since_date = dt.date.fromisoformat(last["checkpoint"]) - dt.timedelta(days=lookback_days)
-    window = read_silver(spark, paths.silver).filter(F.col("event_date") >= F.lit(since_date))
-    events = dimension_events(window)
+    events = dimension_events(read_silver(spark, paths.silver, since_date))
 
     watermark = F.lit(dt.datetime.fromisoformat(last["watermark"])).cast("timestamp_ntz")
     newest = newer_than(events, watermark).agg(F.max("ingested_at")).first()[0]

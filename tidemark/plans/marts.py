@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators import marts
 from tidemark.operators.scd import current_users
@@ -33,14 +32,9 @@ MARTS = {
 }
 
 
-def _silver_since(spark: SparkSession, paths: Paths, since: dt.date | None) -> DataFrame:
-    silver = read_silver(spark, paths.silver)
-    return silver if since is None else silver.filter(F.col("event_date") >= F.lit(since))
-
-
 def stage(spark: SparkSession, paths: Paths, since: dt.date | None = None) -> DataFrame:
     """The staging view, over the silver partitions from `since` on."""
-    return marts.stg_events(_silver_since(spark, paths, since))
+    return marts.stg_events(read_silver(spark, paths.silver, since))
 
 
 def write_marts(spark: SparkSession, paths: Paths, since: dt.date | None = None) -> None:
@@ -58,10 +52,10 @@ def _empty_lost_dates(spark: SparkSession, paths: Paths, since: dt.date) -> None
 
     Only partition values come to the driver.
     """
-    silver = _silver_since(spark, paths, since)
+    silver = read_silver(spark, paths.silver, since)
     filled = silver.select("event_date", "event_type").distinct().collect()
     for name, (_, schema, types) in MARTS.items():
-        stored = read_mart(spark, paths, name).filter(F.col("event_date") >= F.lit(since))
+        stored = read_mart(spark, paths, name, since)
         old = {row[0] for row in stored.select("event_date").distinct().collect()}
         lost = old - {day for day, kind in filled if types is None or kind in types}
         for day in lost:
@@ -80,8 +74,10 @@ def update_marts(spark: SparkSession, paths: Paths, lookback_days: int = 2) -> N
         state.put("marts_checkpoint", reached)
 
 
-def read_mart(spark: SparkSession, paths: Paths, name: str) -> DataFrame:
-    return read_table(spark, f"{paths.marts}/{name}", MARTS[name][1])
+def read_mart(
+    spark: SparkSession, paths: Paths, name: str, since: dt.date | None = None
+) -> DataFrame:
+    return read_table(spark, f"{paths.marts}/{name}", MARTS[name][1], since)
 
 
 def register_views(spark: SparkSession, paths: Paths) -> list[str]:

@@ -19,6 +19,10 @@ class Paths:
     def logs(self) -> str:
         return f"{self.root}/raw/logs"
 
+    @property
+    def rejected(self) -> str:
+        return f"{self.root}/raw/rejected"
+
     @property
     def bronze(self) -> str:
         return f"{self.root}/bronze/events"

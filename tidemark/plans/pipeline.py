@@ -26,7 +26,7 @@ from tidemark.sources.tables import (
     write_load,
     write_partitioned,
 )
-from tidemark.streaming.jobs import load_bronze
+from tidemark.streaming.jobs import land_events, load_bronze
 
 LOOKBACK_DAYS = 2
 
@@ -54,18 +54,19 @@ def promote(
     """
     state = RunState(spark, paths.state)
     checkpoint = state.get("silver_checkpoint", EPOCH)
-    window = bronze_ops.lookback(read_bronze(spark, paths.bronze), checkpoint, lookback_days)
+    since = dt.date.fromisoformat(checkpoint) - dt.timedelta(days=lookback_days)
+    bronze = read_bronze(spark, paths.bronze, since)
+    window = bronze_ops.lookback(bronze, checkpoint, lookback_days)
     if window.isEmpty():
         return None
 
-    stored = read_table(spark, paths.silver, SILVER_SCHEMA)
-    old = bronze_ops.lookback(stored, checkpoint, lookback_days).select(SILVER_BY).distinct().collect()
+    stored = read_table(spark, paths.silver, SILVER_SCHEMA, since)
+    old = stored.select(SILVER_BY).distinct().collect()
     blanks = spark.createDataFrame(old, "event_date date, event_type string")
 
     rows = silver_ops.silver(window).unionByName(blanks, allowMissingColumns=True)
     write_partitioned(rows, paths.silver, SILVER_BY, "replace")
-    written = bronze_ops.lookback(read_silver(spark, paths.silver), checkpoint, lookback_days)
-    newest = written.agg(F.max("event_date")).first()[0]
+    newest = read_silver(spark, paths.silver, since).agg(F.max("event_date")).first()[0]
     # An event dated in the future must not push on-time events out of the window.
     limit = today or dt.datetime.now(dt.timezone.utc).date()
     moved = max(checkpoint, min(newest, limit).isoformat())
@@ -86,8 +87,17 @@ def run_pipeline(
     paths: Paths,
     lookback_days: int = LOOKBACK_DAYS,
     today: dt.date | None = None,
+    incoming: DataFrame | None = None,
 ) -> DataFrame:
-    """One pass over whatever is new; returns the check results it has written."""
+    """One pass over whatever is new; returns the check results it has written.
+
+    `incoming` is a stream of records (`sources.raw.from_text`) to validate and land
+    first; without it the raw folder is filled by others.
+    """
+    if incoming is not None:
+        land_events(
+            incoming, paths.raw, paths.logs, paths.rejected, paths.stream("landing")
+        ).awaitTermination()
     load_bronze(stream_raw(spark, paths.raw), paths.bronze, paths.stream("bronze")).awaitTermination()
     if promote(spark, paths, lookback_days, today) is not None:
         update_dimension(spark, paths, lookback_days)

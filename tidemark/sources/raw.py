@@ -26,11 +26,19 @@ def read_raw(spark: SparkSession, path: str, modified_after: str | None = None)
     return _with_origin(reader.json(path))
 
 
-def stream_raw(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Stream read of new files. A file is read once, so writers must add files, not rewrite them."""
+def stream_raw(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, archive: str | None = None
+) -> DataFrame:
+    """Stream read of new files. A file is read once, so writers must add files, not rewrite them.
+
+    `archive` names a folder to move finished files to, which keeps the listing of a busy
+    source short.
+    """
     reader = spark.readStream.schema(_SCHEMA).options(**_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return _with_origin(reader.json(path))
 
 

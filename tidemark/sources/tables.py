@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,33 +14,53 @@ SILVER_BY = ["event_date", "event_type"]
 BRONZE_BY = ["verdict", *SILVER_BY]
 BACKFILL = -1  # `load` of the one batch load
 
-def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A Parquet table under a fixed schema; an empty DataFrame if it was never written."""
+def dates_from(day: dt.date) -> str:
+    """Path pattern for the ISO dates from `day` on."""
+    text = day.isoformat()
+    later = [
+        f"{text[:i]}[{int(digit) + 1}-9]*"
+        for i, digit in enumerate(text)
+        if digit.isdigit() and digit < "9"
+    ]
+    return "{" + ",".join([text, *later]) + "}"
+
+
+def read_table(
+    spark: SparkSession, path: str, schema: str, since: dt.date | None = None, inside: str = ""
+) -> DataFrame:
+    """A Parquet table under a fixed schema; an empty DataFrame if it was never written.
+
+    With `since` only the folders of later dates are listed, so that the cost of
+    finding the files of a window does not grow with the history before it.
+    """
+    folder = path + inside
+    if since is not None:
+        folder += f"/event_date={dates_from(since)}"
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("basePath", path).parquet(folder)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Accepted bronze events; the filter prunes partitions."""
-    table = read_table(spark, path, schemas.BRONZE_SCHEMA)
-    return table.filter(F.col("verdict") == "valid").drop("load", "verdict", "raw_text", "reason")
+def read_bronze(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
+    """Accepted bronze events."""
+    table = read_table(spark, path, schemas.BRONZE_SCHEMA, since, "/verdict=valid")
+    return table.drop("load", "verdict", "raw_text", "reason")
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     """Rejected records with the reason and the record as received."""
-    table = read_table(spark, path, schemas.BRONZE_SCHEMA)
-    return table.filter(F.col("verdict") == "quarantined").select(
+    table = read_table(spark, path, schemas.BRONZE_SCHEMA, inside="/verdict=quarantined")
+    return table.select(
         "reason", "payload", "raw_text", "ingested_processing_ts", "source_file"
     )
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
+def read_silver(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
     """Silver events without the blank rows of rewritten partitions."""
-    table = read_table(spark, path, schemas.SILVER_SCHEMA)
+    table = read_table(spark, path, schemas.SILVER_SCHEMA, since)
     return table.filter(F.col("event_id").isNotNull()).select(schemas.SILVER_COLUMNS)
 
 

@@ -1,4 +1,4 @@
-"""Incoming records -> raw -> bronze -> silver as streams.
+"""Incoming records -> raw -> bronze (-> silver) as streams.
 
 Every job takes a trigger: `availableNow` (the default) drains what is there and
 stops, so a scheduler can start it; `{"processingTime": "10 minutes"}` keeps it running.
@@ -8,11 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark import schemas
 from tidemark.operators import bronze as bronze_ops
 from tidemark.operators.ingest import ingestion_log, stamp
 from tidemark.operators.validate import extract_fields, quarantined, valid_events, validate
@@ -34,7 +33,9 @@ def land_events(
     """Validate and stamp incoming records, append them to raw and log them.
 
     Each micro-batch owns its folders and overwrites them when it is retried. The
-    log is derived from the landed files, so both carry the same request ids.
+    log is derived from the landed files, so both carry the same request ids. If a
+    reader already took the files of a failed try, it sees their events twice; silver
+    keeps one per event_id.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
@@ -66,9 +67,17 @@ def land_events(
 
 
 def load_bronze(
-    raw: DataFrame, bronze_path: str, checkpoint: str, trigger: dict | None = None
+    raw: DataFrame,
+    bronze_path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    after: Callable[[], object] | None = None,
 ) -> StreamingQuery:
-    """Add new raw records to bronze exactly once.
+    """Add new raw records to bronze exactly once; `after()` runs once a micro-batch is in.
+
+    With `after` promoting to silver the whole way is one stream. Late copies must replace
+    earlier ones, also across dates, so silver is rebuilt from bronze for the lookback
+    window; deduplicating inside the stream would keep the first copy.
 
     A micro-batch covers the same files when it is retried and replaces its own `load`
     partitions, so no record is added twice. It is a batch write, so that adaptive
@@ -77,6 +86,8 @@ def load_bronze(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         write_load(bronze_ops.bronze(batch), bronze_path, batch_id)
+        if after is not None:
+            after()
 
     return (
         raw.writeStream.foreachBatch(load)
@@ -84,29 +95,3 @@ def load_bronze(
         .trigger(**(trigger or DRAIN))
         .start()
     )
-
-
-def refresh_silver(
-    spark: SparkSession,
-    bronze_path: str,
-    checkpoint: str,
-    promote: Callable[[], object],
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """Call `promote()` for every micro-batch that brings new valid bronze rows.
-
-    Late copies must replace earlier ones, also across dates, so the lookback window is
-    rebuilt from bronze; deduplicating inside the stream would keep the first copy.
-    """
-    new_rows = spark.readStream.schema(schemas.BRONZE_SCHEMA).parquet(bronze_path)
-
-    def refresh(batch: DataFrame, _batch_id: int) -> None:
-        if not batch.filter("verdict = 'valid'").isEmpty():
-            promote()
-
-    return (
-        new_rows.writeStream.foreachBatch(refresh)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or DRAIN))
-        .start()
-    )

@@ -132,7 +132,8 @@ def _store_bronze(deliveries: DataFrame, paths: Paths, processed_at: str, load:
 def bronze_lookback_scan(spark, sf):
     paths = Paths(scratch_dir(spark, "lake"))
     _store_bronze(adapter.deliveries(spark, sf), paths, adapter.PROCESSED_AT)
-    window = bronze_ops.lookback(read_bronze(spark, paths.bronze), "2024-01-30")
+    bronze = read_bronze(spark, paths.bronze, dt.date(2024, 1, 28))
+    window = bronze_ops.lookback(bronze, "2024-01-30")
     return as_text(_ingested(window.select("event_id", "event_type", "event_date", "ingested_at")))
 
 
