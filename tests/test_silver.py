@@ -168,3 +168,20 @@ def test_date_pattern_finds_the_window_only(spark, tmp_path):
         assert len(window.inputFiles()) == len(days) - i
     assert read_bronze(spark, paths.bronze, dt.date(2040, 1, 1)).isEmpty()
     assert read_silver(spark, paths.silver, dt.date(2024, 1, 1)).isEmpty()
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    from tidemark.sources.tables import write_partitioned
+
+    rows = spark.range(0, 400_000, 1, 8).select(
+        F.uuid().alias("text"), F.when(F.col("id") % 3 == 0, F.col("id") % 7).otherwise(99).alias("p")
+    )
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "1m")
+    try:
+        write_partitioned(rows, str(tmp_path / "t"), ["p"])
+    finally:
+        spark.conf.set(setting, before)
+    hot = [f for f in (tmp_path / "t" / "p=99").iterdir() if f.suffix == ".parquet"]
+    assert len(hot) > 3
