@@ -7,12 +7,12 @@ import os
 import pytest
 
 from tidemark.operators.scd import dimension_events, full_build
-from tidemark.plans import dimension
-from tidemark.plans.dimension import read_dimension, update_dimension
+from tidemark.plans.dimension import last_run, read_dimension, update_dimension
 from tidemark.plans.marts import MARTS, read_mart, register_views, stage, update_marts
 from tidemark.plans.paths import Paths
 from tidemark.plans.pipeline import promote, run_pipeline
 from tidemark.sources.raw import from_text, stream_raw
+from tidemark.sources.state import RunState
 from tidemark.sources.tables import read_bronze, read_quarantine, read_silver
 from tidemark.streaming.jobs import land_events, load_bronze
 
@@ -130,6 +130,8 @@ def test_pipeline_runs(spark, tmp_path):
     failing = {(r.table, r.check) for r in results.filter("failing_rows > 0").collect()}
     assert failing == {("stg_events", "accepted_values"), ("mart_event_mix", "accepted_values")}
     same_as_from_scratch(spark, paths)
+    bad = spark.read.parquet(f"{paths.checks}/failing/stg_events.event_type.accepted_values")
+    assert [tuple(row) for row in bad.collect()] == [("signup", 1)]
 
     # A late event, a corrected copy, a new day and a new user.
     drop(paths, "b", event("4", "2024-01-09T10:00:00", country="GB", ingested="2024-01-12T00:00:00"),
@@ -158,6 +160,10 @@ def test_pipeline_runs(spark, tmp_path):
     assert spark.sql("select count(*) from dim_user_current").first()[0] == 3
 
 
+def lost(*_):
+    raise OSError("lost")
+
+
 def test_dimension_survives_a_crash_before_the_version_is_saved(spark, tmp_path, monkeypatch):
     paths = Paths(str(tmp_path))
     drop(paths, "a", event("1", "2024-01-05T10:00:00"), event("2", "2024-01-06T10:00:00", country="CA"))
@@ -168,7 +174,7 @@ def test_dimension_survives_a_crash_before_the_version_is_saved(spark, tmp_path,
     load(spark, paths)
     promote(spark, paths, today=TODAY)
     with monkeypatch.context() as patch:
-        patch.setattr(dimension.RunState, "put", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        patch.setattr(RunState, "put", lost)
         with pytest.raises(OSError):
             update_dimension(spark, paths)
     assert everything(read_dimension(spark, paths)) == before
@@ -183,17 +189,26 @@ def test_dimension_survives_a_crash_before_the_version_is_saved(spark, tmp_path,
     same_as_from_scratch(spark, paths)
 
 
-def test_settled_versions_are_not_rewritten(spark, tmp_path):
+def test_settled_rows_are_not_rewritten(spark, tmp_path):
     paths = Paths(str(tmp_path))
-    for i, day in enumerate(("01", "05", "09", "13")):
-        drop(paths, day, event(day, f"2024-01-{day}T10:00:00", country="ABCD"[i]))
-        run_pipeline(spark, paths, today=TODAY)
-    folders = {
-        int(d.split("=")[1]): sorted(os.listdir(f"{paths.dimension}/{d}"))
-        for d in os.listdir(paths.dimension) if d.startswith("version=")
-    }
-    assert sorted(folders) == [1, 2, 3, 4]
-    assert "settled=true" in folders[4]
-    same_as_from_scratch(spark, paths)
-    live = spark.read.parquet(f"{paths.dimension}/version=4/settled=false")
-    assert live.count() < read_dimension(spark, paths).count()
+
+    def run(day, country, **options):
+        drop(paths, day, event(day, f"2024-01-{day}T10:00:00", country=country))
+        load(spark, paths)
+        promote(spark, paths, today=TODAY)
+        update_dimension(spark, paths, **options)
+        silver = read_silver(spark, paths.silver)
+        assert everything(read_dimension(spark, paths)) == everything(full_build(dimension_events(silver)))
+
+    def stored(version):
+        return spark.read.parquet(f"{paths.dimension}/version={version}").count()
+
+    for day, country in (("01", "A"), ("05", "B"), ("09", "C"), ("13", "D"), ("17", "E")):
+        run(day, country)
+    assert "settled=true" in os.listdir(f"{paths.dimension}/version=4")
+    assert stored(5) < read_dimension(spark, paths).count()
+    run("21", "F", complete_every=5)
+    assert stored(6) == read_dimension(spark, paths).count()
+    assert last_run(RunState(spark, paths.state))["base"] == 6
+    run("25", "A", complete_every=5)
+    assert stored(7) < read_dimension(spark, paths).count()

@@ -65,15 +65,15 @@ def plan_cuts(
         .select(key, F.coalesce(*[f"tier_{t}" for t in sorted(set(tier_of.values()))]).alias("cuts"))
     )
     # The sketches may differ between two runs, so the cuts are fixed here once.
-    return spark.createDataFrame(cuts.collect(), cuts.schema)
+    found = cuts.filter("cuts is not null").collect()
+    return spark.createDataFrame(found, cuts.schema) if found else None
 
 
 def with_piece(df: DataFrame, cuts: DataFrame | None, key: str, position: Column) -> DataFrame:
     """Add `piece`: how many cuts of the row's key are at or before its position."""
     if cuts is None:
         return df.withColumn("piece", F.lit(0))
-    most = cuts.agg(F.max(F.size("cuts"))).first()[0]
-    steps = [2**i for i in reversed(range(max(1, int(most).bit_length())))]
+    steps = [2**i for i in reversed(range(MAX_PIECES.bit_length()))]
     # Binary search over the sorted cuts; a step past the end compares with NULL.
     found = F.aggregate(
         F.array(*[F.lit(s) for s in steps]),

@@ -1,9 +1,10 @@
 """The stored user dimension.
 
-Each run writes one version folder split in two: `settled` versions ended before
-the lookback window and can never change again, so later runs neither read nor
-rewrite them; the rest is the live part and is written anew. A reader takes the
-settled part of all versions and the live part of the last one.
+Each run writes one version folder split in two: `settled` rows ended before the
+lookback window and can never change again, so later runs neither read nor rewrite
+them; the rest is the live part and is written anew. A reader takes the settled part
+of all folders since the last complete one (the base) and the live part of the last.
+Now and then a run writes a complete folder, and the ones before it are no longer used.
 
 The version counts only once its number is saved, so a run that dies half-way is
 simply repeated into the same folder.
@@ -22,34 +23,45 @@ from tidemark.functions.pieces import ROWS_PER_PIECE, plan_cuts
 from tidemark.operators.scd import dimension_events, newer_than, replay
 from tidemark.plans.paths import Paths
 from tidemark.sources.state import EPOCH, RunState
-from tidemark.sources.tables import read_silver, read_table
+from tidemark.sources.tables import read_silver
 
 _STORED = schemas.DIM_SCHEMA + ", version int, settled boolean"
-_FIRST = json.dumps({"version": 0, "checkpoint": EPOCH, "watermark": EPOCH})
+_FIRST = json.dumps({"version": 0, "base": 1, "checkpoint": EPOCH, "watermark": EPOCH})
+COMPLETE_EVERY = 100  # versions
 
 
 def last_run(state: RunState) -> dict:
-    """Version, silver checkpoint and ingestion watermark of the last completed run."""
+    """Version, base, silver checkpoint and ingestion watermark of the last completed run."""
     return json.loads(state.get("dim_user", _FIRST))
 
 
-def _stored(spark: SparkSession, paths: Paths, version: int) -> DataFrame:
+def _read_parts(spark: SparkSession, paths: Paths, last: dict) -> tuple[DataFrame, DataFrame]:
+    """The settled and the live rows as of a run."""
+    version = last["version"]
     if version == 0:
-        return spark.createDataFrame([], _STORED)
-    return read_table(spark, paths.dimension, _STORED)
+        nothing = spark.createDataFrame([], schemas.DIM_SCHEMA)
+        return nothing, nothing
+    folders = [f"{paths.dimension}/version={v}" for v in range(last["base"], version + 1)]
+    rows = spark.read.schema(_STORED).option("basePath", paths.dimension).parquet(*folders)
+    live = rows.filter(~F.col("settled") & (F.col("version") == version))
+    return (
+        rows.filter("settled").select(schemas.DIM_COLUMNS),
+        live.select(schemas.DIM_COLUMNS),
+    )
 
 
 def read_dimension(spark: SparkSession, paths: Paths) -> DataFrame:
     """The whole history as of the last completed run."""
-    version = last_run(RunState(spark, paths.state))["version"]
-    settled = F.col("settled") & (F.col("version") <= version)
-    live = ~F.col("settled") & (F.col("version") == version)
-    table = _stored(spark, paths, version)
-    return table.filter(settled | live).select(schemas.DIM_COLUMNS)
+    settled, live = _read_parts(spark, paths, last_run(RunState(spark, paths.state)))
+    return settled.unionByName(live)
 
 
 def update_dimension(
-    spark: SparkSession, paths: Paths, lookback_days: int = 2, rows_per_piece: int = ROWS_PER_PIECE
+    spark: SparkSession,
+    paths: Paths,
+    lookback_days: int = 2,
+    rows_per_piece: int = ROWS_PER_PIECE,
+    complete_every: int = COMPLETE_EVERY,
 ) -> int | None:
     """Bring the dimension up to date with silver; None when silver has nothing new.
 
@@ -67,22 +79,23 @@ def update_dimension(
     if newest is None:
         return None
 
-    version = last["version"]
-    live = _stored(spark, paths, version).filter(
-        ~F.col("settled") & (F.col("version") == version)
-    )
+    settled, live = _read_parts(spark, paths, last)
     since = F.lit(since_date).cast("timestamp_ntz")
     cuts = plan_cuts(events, "user_id", "event_ts", rows_per_piece)
-    updated = replay(live.select(schemas.DIM_COLUMNS), events, since, cuts)
-    settled = F.coalesce(F.col("effective_end") < since, F.lit(False))
-    updated.withColumn("settled", settled).write.mode("overwrite").partitionBy("settled").parquet(
-        f"{paths.dimension}/version={version + 1}"
+    updated = replay(live, events, since, cuts)
+    version, base = last["version"] + 1, last["base"]
+    if version - base >= complete_every:
+        updated, base = updated.unionByName(settled), version
+    ended = F.coalesce(F.col("effective_end") < since, F.lit(False))
+    updated.withColumn("settled", ended).write.mode("overwrite").partitionBy("settled").parquet(
+        f"{paths.dimension}/version={version}"
     )
     # One value, so that version, checkpoint and watermark move together.
-    state.put(
-        "dim_user",
-        json.dumps(
-            {"version": version + 1, "checkpoint": reached, "watermark": newest.isoformat()}
-        ),
-    )
-    return version + 1
+    run = {
+        "version": version,
+        "base": base,
+        "checkpoint": reached,
+        "watermark": newest.isoformat(),
+    }
+    state.put("dim_user", json.dumps(run))
+    return version

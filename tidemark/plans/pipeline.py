@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import bronze as bronze_ops
 from tidemark.operators import silver as silver_ops
-from tidemark.operators.checks import run_checks
+from tidemark.operators.checks import failing_rows, run_checks
 from tidemark.operators.scd import current_users
 from tidemark.plans.dimension import read_dimension, update_dimension
 from tidemark.plans.marts import MARTS, read_mart, stage, update_marts
@@ -102,6 +102,17 @@ def run_pipeline(
     if promote(spark, paths, lookback_days, today) is not None:
         update_dimension(spark, paths, lookback_days)
         update_marts(spark, paths, lookback_days)
-    results = run_checks(check_tables(spark, paths))
-    results.write.mode("overwrite").parquet(paths.checks)
-    return spark.read.parquet(paths.checks)
+    return store_checks(spark, paths)
+
+
+def store_checks(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Run the checks, store their results, and next to them the rows that fail."""
+    tables = check_tables(spark, paths)
+    run_checks(tables).write.mode("overwrite").parquet(f"{paths.checks}/results")
+    results = spark.read.parquet(f"{paths.checks}/results")
+    bad = failing_rows(tables)
+    for row in results.filter("failing_rows > 0").collect():  # at most one row per check
+        found = bad[(row["table"], row["check"], row["column"])]
+        folder = f"{paths.checks}/failing/{row['table']}.{row['column']}.{row['check']}"
+        found.write.mode("overwrite").parquet(folder)
+    return results

@@ -1,41 +1,50 @@
 """Run state: a handful of named values (checkpoint date, watermark, table version).
 
-Kept as an append-only JSON dataset on the tables' own file system. A value is
-added after the data it describes is committed, so a crash in between repeats the
-run instead of skipping data. Only these few values ever reach the driver.
+A value is saved after the data it describes is committed, so a crash in between
+repeats the run instead of skipping data. Only these few values ever reach the driver.
 """
 
 from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 EPOCH = "1970-01-01"  # where every checkpoint and watermark starts
 
-_SCHEMA = "name string, value string, written_at bigint"
+_SCHEMA = "value string, written_at bigint, slot int"
 
 
 class RunState:
+    """Named values on the tables' own file system.
+
+    Every value has two slots and a new one overwrites the older slot, so the last
+    value survives a write that fails half-way, and nothing piles up.
+    """
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
 
     def get(self, name: str, default: str | None = None) -> str | None:
         """Last value saved under `name`."""
-        # Creates the dataset if this is the first use.
-        self._row("", "").limit(0).write.mode("ignore").json(self.path)
-        saved = self.spark.read.schema(_SCHEMA).json(self.path).filter(F.col("name") == name)
-        last = saved.agg(F.max_by("value", "written_at")).first()[0]
-        return default if last is None else last
+        last = self._last(name)
+        return default if last is None else last["value"]
 
     def put(self, name: str, value: object) -> None:
-        self._row(name, str(value)).write.mode("append").json(self.path)
-
-    def _row(self, name: str, value: str) -> DataFrame:
-        return self.spark.range(0, 1, 1, 1).select(
-            F.lit(name).alias("name"),
-            F.lit(value).alias("value"),
-            F.lit(time.time_ns()).alias("written_at"),
-        )
+        last = self._last(name)
+        slot = 0 if last is None else 1 - last["slot"]
+        self.spark.range(0, 1, 1, 1).select(
+            F.lit(str(value)).alias("value"), F.lit(time.time_ns()).alias("written_at")
+        ).write.mode("overwrite").json(f"{self.path}/{name}/slot={slot}")
+
+    def _last(self, name: str):
+        try:
+            saved = self.spark.read.schema(_SCHEMA).json(f"{self.path}/{name}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return saved.agg(F.max_by(F.struct("value", "slot"), "written_at")).first()[0]
