@@ -10,7 +10,7 @@ from tidemark.operators.scd import dimension_events, full_build
 from tidemark.plans.dimension import last_run, read_dimension, update_dimension
 from tidemark.plans.marts import MARTS, read_mart, register_views, stage, update_marts
 from tidemark.plans.paths import Paths
-from tidemark.plans.pipeline import promote, run_pipeline
+from tidemark.plans.pipeline import promote, run_pipeline, store_checks
 from tidemark.sources.raw import from_text, stream_raw
 from tidemark.sources.state import RunState
 from tidemark.sources.tables import read_bronze, read_quarantine, read_silver
@@ -155,6 +155,8 @@ def test_pipeline_runs(spark, tmp_path):
     run_pipeline(spark, paths, today=TODAY)
     assert everything(read_dimension(spark, paths)) == before
 
+    recent = store_checks(spark, paths, dt.date(2024, 1, 12))
+    assert recent.count() == 26 and recent.filter("failing_rows > 0").isEmpty()
     names = register_views(spark, paths)
     assert {"dim_user_current", "dim_user_scd", "mart_funnel", "silver_searches", "stg_events"} <= set(names)
     assert spark.sql("select count(*) from dim_user_current").first()[0] == 3

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.pieces import ROWS_PER_PIECE, plan_cuts
-from tidemark.operators.scd import dimension_events, newer_than, replay
+from tidemark.operators.scd import current_users, dimension_events, newer_than, replay
 from tidemark.plans.paths import Paths
 from tidemark.sources.state import EPOCH, RunState
 from tidemark.sources.tables import read_silver
@@ -56,6 +56,12 @@ def read_dimension(spark: SparkSession, paths: Paths) -> DataFrame:
     return settled.unionByName(live)
 
 
+def read_current_users(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Current rows only; they are all in the live part."""
+    _, live = _read_parts(spark, paths, last_run(RunState(spark, paths.state)))
+    return current_users(live)
+
+
 def update_dimension(
     spark: SparkSession,
     paths: Paths,

@@ -7,9 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import marts
-from tidemark.operators.scd import current_users
 from tidemark.operators.silver import type_tables
-from tidemark.plans.dimension import read_dimension
+from tidemark.plans.dimension import read_current_users, read_dimension
 from tidemark.plans.paths import Paths
 from tidemark.sources.state import RunState
 from tidemark.sources.tables import read_silver, read_table, write_partitioned
@@ -83,12 +82,11 @@ def read_mart(
 def register_views(spark: SparkSession, paths: Paths) -> list[str]:
     """Register every table under its name for SQL; returns the names the catalog lists."""
     silver = read_silver(spark, paths.silver)
-    dim = read_dimension(spark, paths)
     views = {
         "silver_events": silver,
         "stg_events": marts.stg_events(silver),
-        "dim_user_scd": dim,
-        "dim_user_current": current_users(dim),
+        "dim_user_scd": read_dimension(spark, paths),
+        "dim_user_current": read_current_users(spark, paths),
         **type_tables(silver),
         **{name: read_mart(spark, paths, name) for name in MARTS},
     }
