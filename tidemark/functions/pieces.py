@@ -3,7 +3,8 @@
 A window over one key runs in one task. When a key holds a large share of all
 rows, its timeline is cut at approximate quantiles of the position column and the
 window runs per (key, piece); the caller stitches neighbouring pieces together.
-Cuts only decide where rows are processed, never what the result is.
+Cuts only decide where rows are processed, never what the result is: every row is
+in exactly one piece, wherever the cuts fall.
 
 Sizes: with `target = max(rows_per_piece, rows / MAX_PIECES)` only keys with more than
 `target` rows are cut, so there are fewer than MAX_PIECES such keys and at most
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 MAX_PIECES = 100_000
 ROWS_PER_PIECE = 5_000_000
+SAMPLES_PER_PIECE = 64  # rows looked at to place a cut
 
 
 def plan_cuts(
@@ -57,9 +59,12 @@ def plan_cuts(
                 max(1000, 10 * pieces),
             ).alias(f"tier_{tier}")
         )
+    # Quantiles of a sample keep the sketches of a very busy key small.
+    share = min(1.0, SAMPLES_PER_PIECE / target)
     cuts = (
         df.select(key, position)
         .join(F.broadcast(tiers), key)
+        .sample(share, seed=1)
         .groupBy(key)
         .agg(*aggregates)
         .select(key, F.coalesce(*[f"tier_{t}" for t in sorted(set(tier_of.values()))]).alias("cuts"))

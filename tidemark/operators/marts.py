@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,28 +61,13 @@ def mart_funnel(stg: DataFrame) -> DataFrame:
 
 def mart_funnel_join(stg: DataFrame) -> DataFrame:
     """The funnel as two full outer joins of per-type counts."""
-
-    def counts(step: str, name: str, alias: str) -> DataFrame:
-        return (
-            stg.filter(F.col("event_type") == step)
-            .groupBy("user_id", "event_date")
-            .agg(F.count("*").alias(name))
-            .alias(alias)
-        )
-
-    searches = counts("search", "searches", "s")
-    views = counts("page_view", "page_views", "v")
-    purchases = counts("purchase", "purchases", "p")
     keys = ["user_id", "event_date"]
-    same = [F.col(f"s.{k}") == F.col(f"v.{k}") for k in keys]
-    either = [F.coalesce(f"s.{k}", f"v.{k}") == F.col(f"p.{k}") for k in keys]
-    joined = searches.join(views, same[0] & same[1], "full_outer").join(
-        purchases, either[0] & either[1], "full_outer"
-    )
-    return joined.select(
-        *[F.coalesce(f"s.{k}", f"p.{k}", f"v.{k}").alias(k) for k in keys],
-        *[F.coalesce(name, F.lit(0)).alias(name) for name in FUNNEL_STEPS],
-    )
+    per_step = [
+        stg.filter(F.col("event_type") == step).groupBy(*keys).agg(F.count("*").alias(name))
+        for name, step in FUNNEL_STEPS.items()
+    ]
+    joined = reduce(lambda left, right: left.join(right, keys, "full_outer"), per_step)
+    return joined.na.fill(0, list(FUNNEL_STEPS))
 
 
 def preview(table: DataFrame, order_by: str, rows: int = 10) -> DataFrame:

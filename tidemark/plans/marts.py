@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,8 +41,14 @@ def write_marts(spark: SparkSession, paths: Paths, since: dt.date | None = None)
     """Write all marts: in full, or only the dates from `since` on."""
     stg = stage(spark, paths, since)
     mode = "overwrite" if since is None else "replace"
-    for name, (mart, _, _) in MARTS.items():
+
+    def write(name: str) -> None:
+        mart = MARTS[name][0]
         write_partitioned(mart(stg), f"{paths.marts}/{name}", ["event_date"], mode)
+
+    # The marts do not depend on each other, so their jobs may overlap.
+    with ThreadPoolExecutor(len(MARTS)) as pool:
+        list(pool.map(write, MARTS))
     if since is not None:
         _empty_lost_dates(spark, paths, since)
 

@@ -56,9 +56,6 @@ def promote(
     since = dt.date.fromisoformat(checkpoint) - dt.timedelta(days=lookback_days)
     bronze = read_bronze(spark, paths.bronze, since)
     window = bronze_ops.lookback(bronze, checkpoint, lookback_days)
-    if window.isEmpty():
-        return None
-
     stored = read_table(spark, paths.silver, SILVER_SCHEMA, since)
     old = stored.select(SILVER_BY).distinct().collect()
     blanks = spark.createDataFrame(old, "event_date date, event_type string")
@@ -66,6 +63,8 @@ def promote(
     rows = silver_ops.silver(window).unionByName(blanks, allowMissingColumns=True)
     write_partitioned(rows, paths.silver, SILVER_BY, "replace")
     newest = read_silver(spark, paths.silver, since).agg(F.max("event_date")).first()[0]
+    if newest is None:
+        return None
     # An event dated in the future must not push on-time events out of the window.
     limit = today or dt.datetime.now(dt.timezone.utc).date()
     moved = max(checkpoint, min(newest, limit).isoformat())

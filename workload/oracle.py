@@ -108,20 +108,13 @@ history AS (
 )"""
 
 FUNNEL = """
-searches AS (SELECT user_id, event_date, count(*) AS n FROM silver
-             WHERE event_type = 'search' GROUP BY user_id, event_date),
-views AS (SELECT user_id, event_date, count(*) AS n FROM silver
-          WHERE event_type = 'page_view' GROUP BY user_id, event_date),
-buys AS (SELECT user_id, event_date, count(*) AS n FROM silver
-         WHERE event_type = 'purchase' GROUP BY user_id, event_date),
 funnel AS (
-    SELECT coalesce(s.user_id, b.user_id, v.user_id) AS user_id,
-           coalesce(s.event_date, b.event_date, v.event_date) AS event_date,
-           coalesce(s.n, 0) AS searches, coalesce(v.n, 0) AS page_views, coalesce(b.n, 0) AS purchases
-    FROM searches s
-    FULL OUTER JOIN views v ON s.user_id = v.user_id AND s.event_date = v.event_date
-    FULL OUTER JOIN buys b ON coalesce(s.user_id, v.user_id) = b.user_id
-                          AND coalesce(s.event_date, v.event_date) = b.event_date
+    SELECT user_id, event_date,
+           count(*) FILTER (WHERE event_type = 'search') AS searches,
+           count(*) FILTER (WHERE event_type = 'page_view') AS page_views,
+           count(*) FILTER (WHERE event_type = 'purchase') AS purchases
+    FROM silver WHERE event_type IN ('search', 'page_view', 'purchase')
+    GROUP BY user_id, event_date
 )"""
 
 RECORDS = """
