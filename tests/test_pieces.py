@@ -1,13 +1,11 @@
 """Cutting busy timelines."""
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from tidemark.functions import pieces
 from tidemark.functions.pieces import expand_pieces, plan_cuts, with_piece
 
-START = dt.datetime(2024, 1, 1)
+ORDER = ["t", "i"]
 
 
 def skewed(spark, n=3000):
@@ -17,43 +15,55 @@ def skewed(spark, n=3000):
     return spark.range(n).select(
         key.alias("k"),
         F.timestamp_seconds(F.lit(1704067200) + second).cast("timestamp_ntz").alias("t"),
+        F.col("id").cast("string").alias("i"),
     )
 
 
 def test_no_cuts_without_busy_keys(spark):
-    assert plan_cuts(skewed(spark), "k", "t") is None
-    assert plan_cuts(skewed(spark), "k", "t", 2000) is None
-    assert plan_cuts(skewed(spark).limit(0), "k", "t", 1) is None
+    assert plan_cuts(skewed(spark), "k", ORDER) is None
+    assert plan_cuts(skewed(spark), "k", ORDER, 2000) is None
+    assert plan_cuts(skewed(spark).limit(0), "k", ORDER, 1) is None
 
 
 def test_only_busy_keys_are_cut_evenly(spark):
     frame = skewed(spark)
-    cuts = plan_cuts(frame, "k", "t", 100)
+    cuts = plan_cuts(frame, "k", ORDER, 100)
     assert [row.k for row in cuts.collect()] == [0]
-    sizes = with_piece(frame, cuts, "k", F.col("t")).groupBy("k", "piece").count().collect()
+    sizes = with_piece(frame, cuts, "k", F.struct(*ORDER)).groupBy("k", "piece").count().collect()
     hot = [row["count"] for row in sizes if row.k == 0]
-    assert sum(hot) == 1000 and len(hot) >= 10 and max(hot) <= 200
+    assert sum(hot) == 1000 and len(hot) == 10 and max(hot) <= 250
     assert {row.piece for row in sizes if row.k != 0} == {0}
 
 
 def test_pieces_follow_time(spark):
     frame = skewed(spark)
-    placed = with_piece(frame, plan_cuts(frame, "k", "t", 50), "k", F.col("t"))
-    spans = placed.groupBy("k", "piece").agg(F.min("t").alias("a"), F.max("t").alias("b")).orderBy("k", "piece")
+    placed = with_piece(frame, plan_cuts(frame, "k", ORDER, 50), "k", F.struct(*ORDER))
+    spans = placed.groupBy("k", "piece").agg(
+        F.min(F.struct(*ORDER)).alias("a"), F.max(F.struct(*ORDER)).alias("b")
+    ).orderBy("k", "piece")
     rows = spans.collect()
     for before, after in zip(rows, rows[1:]):
         assert before.k != after.k or before.b < after.a
 
 
+def test_rows_of_one_moment_are_spread(spark):
+    frame = spark.range(1000).select(
+        F.lit(1).alias("k"), F.lit("2024-01-01").cast("timestamp_ntz").alias("t"), F.col("id").alias("i")
+    )
+    cuts = plan_cuts(frame, "k", ORDER, 10)
+    sizes = with_piece(frame, cuts, "k", F.struct(*ORDER)).groupBy("piece").count().collect()
+    assert len(sizes) == 100 and max(row["count"] for row in sizes) <= 11
+
+
 def test_number_of_cuts_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(pieces, "MAX_PIECES", 20)
-    cuts = plan_cuts(skewed(spark), "k", "t", 1)
+    cuts = plan_cuts(skewed(spark), "k", ORDER, 1)
     assert sum(len(row.cuts) for row in cuts.collect()) <= 40
 
 
 def test_keys_expand_to_all_their_pieces(spark):
     frame = skewed(spark)
-    cuts = plan_cuts(frame, "k", "t", 100)
+    cuts = plan_cuts(frame, "k", ORDER, 100)
     keys = spark.createDataFrame([(0,), (7,)], "k bigint")
     expanded = {(r.k, r.piece) for r in expand_pieces(keys, cuts, "k").collect()}
     assert expanded == {(7, 0)} | {(0, i) for i in range(len(cuts.first().cuts) + 1)}

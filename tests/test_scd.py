@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.pieces import plan_cuts
 from tidemark.operators import scd
 
 START = dt.datetime(2024, 1, 1)
@@ -79,7 +78,7 @@ def test_batches_equal_the_sequential_rule(spark, tmp_path, seed, rows_per_piece
         if seed == 2:  # sparse batches: most users are absent
             batch = [e for e in batch if e[0] % 3 == i % 3 or e[0] == 1]
         frame = events(spark, batch)
-        cuts = rows_per_piece and plan_cuts(frame, "user_id", "event_ts", rows_per_piece)
+        cuts = rows_per_piece and scd.busy_timelines(frame, rows_per_piece)
         dim = stored(spark, scd.apply_batch(dim, frame, cuts), tmp_path, f"dim{i}")
         expected = one_by_one(expected, batch)
         assert as_bag(dim) == expected
@@ -94,7 +93,7 @@ def test_pieces_do_not_change_the_build(spark, rows_per_piece):
     rows += [(7, "A", at(i), at(i + 1), f"s{i:05d}") for i in range(60)]
     rows += [(8, "AB"[i % 2], at(100), at(101), f"t{i:05d}") for i in range(40)]
     frame = events(spark, rows)
-    cuts = plan_cuts(frame, "user_id", "event_ts", rows_per_piece)
+    cuts = scd.busy_timelines(frame, rows_per_piece)
     assert cuts is not None
     assert as_bag(scd.full_build(frame, cuts)) == one_by_one([], rows)
     assert as_bag(scd.full_build(frame)) == one_by_one([], rows)
@@ -107,7 +106,7 @@ def test_replay_and_rebuild_equal_a_full_build(spark, tmp_path, rows_per_piece):
     for i, batch in enumerate(batches(rows, 8)):
         known += batch
         frame, all_events = events(spark, batch), events(spark, known)
-        cuts = rows_per_piece and plan_cuts(all_events, "user_id", "event_ts", rows_per_piece)
+        cuts = rows_per_piece and scd.busy_timelines(all_events, rows_per_piece)
         since = F.lit(at(i * 2 * 1440 - 1440)).cast("timestamp_ntz")  # events are up to a day late
         dim = stored(spark, scd.replay(dim, all_events, since, cuts), tmp_path, f"replay{i}")
         rebuilt = scd.rebuild_users(dim2, all_events, frame, cuts)

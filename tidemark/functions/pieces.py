@@ -1,13 +1,14 @@
 """Split the timelines of very busy keys into pieces that fit a task.
 
 A window over one key runs in one task. When a key holds a large share of all
-rows, its timeline is cut at approximate quantiles of the position column and the
-window runs per (key, piece); the caller stitches neighbouring pieces together.
-Cuts only decide where rows are processed, never what the result is: every row is
-in exactly one piece, wherever the cuts fall.
+rows, its timeline is cut at sampled positions and the window runs per (key, piece);
+the caller stitches neighbouring pieces together. Cuts only decide where rows are
+processed, never what the result is: every row is in exactly one piece, wherever
+the cuts fall. Positions are the whole sort key, so that even rows with the same
+time can be in different pieces.
 
 Sizes: with `target = max(rows_per_piece, rows / MAX_PIECES)` only keys with more than
-`target` rows are cut, so there are fewer than MAX_PIECES such keys and at most
+`target` rows are cut, so there are fewer than MAX_PIECES such keys and fewer than
 2 * MAX_PIECES cuts in total, whatever the data. That bound is what makes it safe to
 collect and broadcast the cuts.
 """
@@ -22,16 +23,16 @@ from pyspark.sql import types as T
 
 MAX_PIECES = 100_000
 ROWS_PER_PIECE = 5_000_000
-SAMPLES_PER_PIECE = 64  # rows looked at to place a cut
+SAMPLES_PER_PIECE = 50  # rows looked at to place a cut
 
 
 def plan_cuts(
-    df: DataFrame, key: str, position: str, rows_per_piece: int = ROWS_PER_PIECE
+    df: DataFrame, key: str, order: list[str], rows_per_piece: int = ROWS_PER_PIECE
 ) -> DataFrame | None:
     """`(key, cuts)` for the busy keys of `df`, or None when there are none.
 
     Counts the rows, then if one key could be busy the rows per key, and only for busy
-    keys looks for the quantiles.
+    keys samples positions.
     """
     total = df.count()
     target = max(rows_per_piece, math.ceil(total / MAX_PIECES))
@@ -42,40 +43,33 @@ def plan_cuts(
     if not busy:
         return None
 
-    # One tier per power of two, so that a key gets as many pieces as it needs.
-    tier_of = {row[key]: math.ceil(math.log2(row["n"] / target)) for row in busy}
     spark = df.sparkSession
-    tiers = spark.createDataFrame(
-        list(tier_of.items()),
-        T.StructType([df.schema[key], T.StructField("tier", T.IntegerType())]),
+    pieces = spark.createDataFrame(
+        [(row[key], math.ceil(row["n"] / target)) for row in busy],
+        T.StructType([df.schema[key], T.StructField("pieces", T.IntegerType())]),
     )
-    aggregates = []
-    for tier in sorted(set(tier_of.values())):
-        pieces = 2**tier
-        aggregates.append(
-            F.percentile_approx(
-                F.when(F.col("tier") == tier, F.col(position)),
-                [i / pieces for i in range(1, pieces)],
-                max(1000, 10 * pieces),
-            ).alias(f"tier_{tier}")
-        )
-    # Quantiles of a sample keep the sketches of a very busy key small.
-    share = min(1.0, SAMPLES_PER_PIECE / target)
-    cuts = (
-        df.select(key, position)
-        .join(F.broadcast(tiers), key)
-        .sample(share, seed=1)
-        .groupBy(key)
-        .agg(*aggregates)
-        .select(key, F.coalesce(*[f"tier_{t}" for t in sorted(set(tier_of.values()))]).alias("cuts"))
+    seen = (
+        df.select(key, F.struct(*order).alias("position"))
+        .join(F.broadcast(pieces), key)
+        .sample(min(1.0, SAMPLES_PER_PIECE / target), seed=1)
+        .groupBy(key, "pieces")
+        .agg(F.sort_array(F.collect_list("position")).alias("seen"))
     )
-    # The sketches may differ between two runs, so the cuts are fixed here once.
-    found = cuts.filter("cuts is not null").collect()
+    evenly = F.transform(
+        F.sequence(F.lit(1), F.col("pieces") - 1),
+        lambda i: F.get("seen", F.floor(i * F.size("seen") / F.col("pieces")).cast("int")),
+    )
+    cuts = seen.select(key, evenly.alias("cuts"))
+    # Another run could sample other rows, so the cuts are fixed here once.
+    found = cuts.collect()
     return spark.createDataFrame(found, cuts.schema) if found else None
 
 
 def with_piece(df: DataFrame, cuts: DataFrame | None, key: str, position: Column) -> DataFrame:
-    """Add `piece`: how many cuts of the row's key are at or before its position."""
+    """Add `piece`: how many cuts of the row's key are at or before its position.
+
+    A NULL position is before all cuts.
+    """
     if cuts is None:
         return df.withColumn("piece", F.lit(0))
     steps = [2**i for i in reversed(range(MAX_PIECES.bit_length()))]

@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import utc_timestamp
-from tidemark.functions.pieces import expand_pieces, with_piece
+from tidemark.functions.pieces import ROWS_PER_PIECE, expand_pieces, plan_cuts, with_piece
 
+EVENT_ORDER = ["event_ts", "ingested_at", "event_id"]
 # The current version (turn 0) goes before the events (turn 1) of its user.
-TIMELINE = ["turn", "event_ts", "ingested_at", "event_id"]
+TIMELINE = ["turn", *EVENT_ORDER]
 
 
 def dimension_events(silver: DataFrame) -> DataFrame:
@@ -39,6 +40,14 @@ def newer_than(events: DataFrame, watermark: Column) -> DataFrame:
     return events.filter(F.col("ingested_at") > watermark)
 
 
+def busy_timelines(events: DataFrame, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame | None:
+    """Where to cut the timelines of users with very many events; None if there are none.
+
+    Any events that contain the ones to build from will do, duplicates included.
+    """
+    return plan_cuts(events, "user_id", EVENT_ORDER, rows_per_piece)
+
+
 def _starts_version(previous: Column) -> Column:
     return previous.isNull() | (previous != F.col("country"))
 
@@ -70,7 +79,7 @@ def _within(rows: DataFrame, group: list[str]) -> DataFrame:
 
 def _stitched(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     """As `_within(rows, ["user_id"])`, with the timelines of busy users cut into pieces."""
-    position = F.when(F.col("turn") > 0, F.col("event_ts"))  # the turn-0 row is in piece 0
+    position = F.when(F.col("turn") > 0, F.struct(*EVENT_ORDER))  # the turn-0 row is in piece 0
     inside = _within(with_piece(rows, cuts, "user_id", position), ["user_id", "piece"])
 
     # One row per piece of a cut timeline: fewer rows than there are cuts and busy users.
@@ -115,8 +124,8 @@ def _stitched(rows: DataFrame, cuts: DataFrame) -> DataFrame:
 def full_build(events: DataFrame, cuts: DataFrame | None = None) -> DataFrame:
     """The whole history from `dimension_events`.
 
-    `cuts` (`functions.pieces.plan_cuts` over the events) spreads very busy users
-    over several tasks; it never changes the result.
+    `cuts` (from `busy_timelines`) spreads very busy users over several tasks; it never
+    changes the result.
     """
     return _versions(events.withColumn("turn", F.lit(1)), cuts)
 
@@ -172,7 +181,7 @@ def rebuild_users(
     else:
         # Join per piece, so that a busy user's events are not brought together first.
         pieces = expand_pieces(touched, cuts, "user_id")
-        placed = with_piece(events, cuts, "user_id", F.col("event_ts"))
+        placed = with_piece(events, cuts, "user_id", F.struct(*EVENT_ORDER))
         theirs = placed.join(pieces, ["user_id", "piece"], "left_semi").drop("piece")
     untouched = dim.join(touched, "user_id", "left_anti")
     return untouched.select(schemas.DIM_COLUMNS).unionByName(full_build(theirs, cuts))

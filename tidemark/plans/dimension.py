@@ -19,8 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.pieces import ROWS_PER_PIECE, plan_cuts
-from tidemark.operators.scd import current_users, dimension_events, newer_than, replay
+from tidemark.functions.pieces import ROWS_PER_PIECE
+from tidemark.operators.scd import (
+    busy_timelines,
+    current_users,
+    dimension_events,
+    newer_than,
+    replay,
+)
 from tidemark.plans.paths import Paths
 from tidemark.sources.state import EPOCH, RunState
 from tidemark.sources.tables import read_silver
@@ -87,7 +93,7 @@ def update_dimension(
 
     settled, live = _read_parts(spark, paths, last)
     since = F.lit(since_date).cast("timestamp_ntz")
-    cuts = plan_cuts(events, "user_id", "event_ts", rows_per_piece)
+    cuts = busy_timelines(events, rows_per_piece)
     updated = replay(live, events, since, cuts)
     version, base = last["version"] + 1, last["base"]
     if version - base >= complete_every:

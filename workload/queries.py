@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import utc_timestamp
-from tidemark.functions.pieces import plan_cuts
 from tidemark.operators import bronze as bronze_ops
 from tidemark.operators import checks, marts, scd
 from tidemark.operators import silver as silver_ops
@@ -81,9 +80,9 @@ def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 
 def _cuts(spark: SparkSession, sf: str) -> DataFrame | None:
-    """Where to cut busy users' timelines, found on the source table before any shuffle."""
-    source = adapter.test_events(spark, sf).select("user_id", F.col("ts").alias("event_ts"))
-    return plan_cuts(source, "user_id", "event_ts")
+    """Where to cut busy users' timelines, found on all deliveries before any shuffle."""
+    deliveries = silver_ops.normalize(adapter.bronze_rows(spark, sf))
+    return scd.busy_timelines(scd.dimension_events(deliveries))
 
 
 def _dim(spark: SparkSession, sf: str) -> DataFrame:
@@ -272,7 +271,7 @@ def scd2_full_build(spark, sf):
 def scd2_full_build_pieces(spark, sf):
     """The same build with every timeline longer than 20 events cut into pieces."""
     events = _stored(spark, _dim_events(spark, sf))
-    cuts = plan_cuts(events, "user_id", "event_ts", rows_per_piece=20)
+    cuts = scd.busy_timelines(events, rows_per_piece=20)
     return as_text(scd.full_build(events, cuts))
 
 
