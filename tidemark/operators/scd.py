@@ -79,15 +79,17 @@ def _within(rows: DataFrame, group: list[str]) -> DataFrame:
 
 def _stitched(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     """As `_within(rows, ["user_id"])`, with the timelines of busy users cut into pieces."""
+    cut_users = F.broadcast(cuts.select("user_id"))
+    others = rows.join(cut_users, "user_id", "left_anti")
+    busy = rows.join(cut_users, "user_id", "left_semi")
     position = F.when(F.col("turn") > 0, F.struct(*EVENT_ORDER))  # the turn-0 row is in piece 0
-    inside = _within(with_piece(rows, cuts, "user_id", position), ["user_id", "piece"])
+    inside = _within(with_piece(busy, cuts, "user_id", position), ["user_id", "piece"])
 
-    # One row per piece of a cut timeline: fewer rows than there are cuts and busy users.
+    # One row per piece: no more rows than there are cuts and busy users.
     opens = F.col("previous").isNull()
     closes = F.col("effective_end").isNull()
     edges = (
-        inside.join(F.broadcast(cuts.select("user_id")), "user_id", "left_semi")
-        .filter(opens | closes)
+        inside.filter(opens | closes)
         .groupBy("user_id", "piece")
         .agg(
             F.max(F.when(opens, F.col("country"))).alias("country"),
@@ -113,12 +115,14 @@ def _stitched(rows: DataFrame, cuts: DataFrame) -> DataFrame:
         .select("user_id", "piece", "opens_version", "next_start")
     )
     # A piece's first row starts a version only if the country before it differs.
-    repeats = F.col("previous").isNull() & F.equal_null(F.col("opens_version"), F.lit(False))
-    return (
-        inside.join(F.broadcast(edges), ["user_id", "piece"], "left")
+    repeats = F.col("previous").isNull() & ~F.col("opens_version")
+    found = (
+        inside.join(F.broadcast(edges), ["user_id", "piece"])
         .filter(~repeats)
         .withColumn("effective_end", F.coalesce("effective_end", "next_start"))
     )
+    columns = ["user_id", "country", "event_ts", "effective_end"]
+    return found.select(columns).unionByName(_within(others, ["user_id"]).select(columns))
 
 
 def full_build(events: DataFrame, cuts: DataFrame | None = None) -> DataFrame:

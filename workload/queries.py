@@ -86,7 +86,10 @@ def _cuts(spark: SparkSession, sf: str) -> DataFrame | None:
 
 
 def _dim(spark: SparkSession, sf: str) -> DataFrame:
-    return scd.full_build(_dim_events(spark, sf), _cuts(spark, sf))
+    events, cuts = _dim_events(spark, sf), _cuts(spark, sf)
+    if cuts is not None:  # then the events are read more than once
+        events = _stored(spark, events)
+    return scd.full_build(events, cuts)
 
 
 def _cut() -> Column:
