@@ -247,7 +247,7 @@ def _models(counts: DataFrame, langs: list[str]) -> dict[str, list]:
     return models
 
 
-def bands(scored: DataFrame, width: float, slack: float) -> DataFrame:
+def bands(scored: DataFrame, width: float, slack: tuple[float, float]) -> DataFrame:
     """lang, lower, upper: quartiles of the log perplexity, moved out by `width` times their
     distance and at least `slack`. Exact over a histogram of fine bins, so reruns agree."""
     bins = scored.groupBy("lang", F.floor(F.col("log_perplexity") / BIN).alias("bin")).agg(F.count("*").alias("n"))
@@ -258,18 +258,19 @@ def bands(scored: DataFrame, width: float, slack: float) -> DataFrame:
     q1, q3 = (
         F.min(F.when(F.col("rank") >= F.col("all") * q, (F.col("bin") + 0.5) * BIN)) for q in (0.25, 0.75)
     )
-    out = F.greatest((F.col("q3") - F.col("q1")) * width, F.lit(slack))
+    down, up = (F.greatest((F.col("q3") - F.col("q1")) * width, F.lit(x)) for x in slack)
     return ranked.groupBy(F.col("lang").alias("band")).agg(q1.alias("q1"), q3.alias("q3")).select(
-        "band", (F.col("q1") - out).alias("lower"), (F.col("q3") + out).alias("upper")
+        "band", (F.col("q1") - down).alias("lower"), (F.col("q3") + up).alias("upper")
     )
 
 
-def judge(docs: DataFrame, width: float = 3.0, slack: float = 0.15) -> DataFrame:
+def judge(docs: DataFrame, width: float = 3.0, slack: tuple[float, float] = (0.15, 0.35)) -> DataFrame:
     """Counts, base rules and perplexity band of every document; one row per row of `docs`.
 
     `docs` has doc_id, text, lang. base_failed: fewer than 20 words, or over 30 % of them in
     8-word windows that stand twice or more. kept: base rules hold and the log perplexity per
-    character lies in its language's band.
+    character lies in its language's band. The band reaches further up than down, as a passage in
+    another language raises perplexity and is no fault, while strewn symbols lower it.
 
     The model is modified Kneser-Ney of order 4 over 32 character classes, per language,
     counted by Spark over all documents. Over words it would grow with the vocabulary and
