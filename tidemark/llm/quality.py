@@ -9,7 +9,6 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import store
@@ -18,7 +17,7 @@ ORDER = 4
 CLASSES = 32  # so a language's model has at most 32^4 n-grams, whatever its texts
 #: n-grams of the models that one pass holds in a worker: about 130 MB.
 PASS_NGRAMS = 8_000_000
-BIN = 1e-4  # nats; width of the histogram bins that give the quartiles
+BIN = 1e-3  # nats; width of the bins that give the quartiles
 WINDOW = 8
 
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -249,17 +248,12 @@ def _models(counts: DataFrame, langs: list[str]) -> dict[str, list]:
 
 def bands(scored: DataFrame, width: float, slack: tuple[float, float]) -> DataFrame:
     """lang, lower, upper: quartiles of the log perplexity, moved out by `width` times their
-    distance and at least `slack`. Exact over a histogram of fine bins, so reruns agree."""
-    bins = scored.groupBy("lang", F.floor(F.col("log_perplexity") / BIN).alias("bin")).agg(F.count("*").alias("n"))
-    up_to = W.partitionBy("lang").orderBy("bin").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = bins.select(
-        "lang", "bin", F.sum("n").over(up_to).alias("rank"), F.sum("n").over(W.partitionBy("lang")).alias("all")
-    )
-    q1, q3 = (
-        F.min(F.when(F.col("rank") >= F.col("all") * q, (F.col("bin") + 0.5) * BIN)) for q in (0.25, 0.75)
-    )
+    distance and at least `slack`. Exact over fine bins, whose counts each task adds up before
+    the shuffle, so reruns agree and no language's rows meet."""
+    bins = (F.round(F.col("log_perplexity") / BIN) * BIN).alias("bin")
+    quartile = [F.percentile("bin", q).alias(n) for q, n in ((0.25, "q1"), (0.75, "q3"))]
     down, up = (F.greatest((F.col("q3") - F.col("q1")) * width, F.lit(x)) for x in slack)
-    return ranked.groupBy(F.col("lang").alias("band")).agg(q1.alias("q1"), q3.alias("q3")).select(
+    return scored.select("lang", bins).groupBy(F.col("lang").alias("band")).agg(*quartile).select(
         "band", (F.col("q1") - down).alias("lower"), (F.col("q3") + up).alias("upper")
     )
 
