@@ -130,18 +130,23 @@ def candidates(sets: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def ordered(full: DataFrame) -> DataFrame:
-    """Every set's shared tokens in global order, rarest first: node, n, n_single, tokens.
+    """Every set's shared tokens in global order, rarest first: node, n, n_single, tokens, central.
 
     A token that no other set has would come first in this order and matches nothing, so it is
-    only counted. A set is gathered whole, as it was read, never a token's sets.
+    only counted. `central` is how many sets have a token of this one, on average. A set is
+    gathered whole, as it was read, never a token's sets.
     """
     spread = full.select("node", "n", F.explode("tokens").alias("token"))
     often = spread.groupBy(F.col("token").alias("t")).agg(F.count("*").alias("often")).filter("often > 1")
     return (
         spread.join(often, F.col("token") == F.col("t"))
         .groupBy("node", "n")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("often", "token"))), lambda x: x["token"]).alias("tokens"))
+        .agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("often", "token"))), lambda x: x["token"]).alias("tokens"),
+            F.sum("often").alias("uses"),
+        )
         .withColumn("n_single", F.col("n") - F.size("tokens"))
+        .withColumn("central", (F.col("uses") + F.col("n_single")) / F.col("n"))
     )
 
 
@@ -227,21 +232,24 @@ def links(full: DataFrame) -> DataFrame:
 
     Linked sets share a token among the first n / 5 + 1 of each, rarest first. So the sets
     that have one rare token are each other's candidates. First every set meets one other: the
-    smallest set of its tokens' lists, where it meets it most often. That connects a group of
-    copies with a pair per copy. Then only pairs whose sets are still apart are left, and
-    those are all verified, so no connection is missed.
+    most central set of its tokens' lists, where it meets it most often. A copy differs
+    from the original less than from other copies, so that connects most of a group with a
+    pair per copy. Then only pairs whose sets are still apart are left. A pair of n and n_b
+    shingles needs `need` in common, so their first n - need + 1 and n_b - need + 1 share a token;
+    the pairs that do, by the places of the token, are all verified, so no connection is missed.
     """
     sets = store(ordered(full), "ordered")
     prefix = F.col("n") - F.ceil(F.col("n") * NUM / DEN).cast("int") + 1 - F.col("n_single")
     rare = store(
         sets.filter(prefix > 0).select(
-            "node", "n", F.size("tokens").alias("m"), F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("at", "token")
+            "node", "n", "n_single", "central", F.size("tokens").alias("m"),
+            F.posexplode(F.slice("tokens", F.lit(1), prefix)).alias("at", "token"),
         ),
         "rare",
     )
-    smallest = rare.groupBy(F.col("token").alias("t")).agg(F.min(F.struct("n", "node")).alias("hub"))
+    middle = rare.groupBy(F.col("token").alias("t")).agg(F.max(F.struct("central", "node", "n")).alias("hub"))
     met = (
-        rare.join(smallest, F.col("token") == F.col("t"))
+        rare.join(middle, F.col("token") == F.col("t"))
         .select("node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
         .filter(F.col("node") != F.col("hub")).filter(_near_size("n", "hub_n"))
         .groupBy("node", "hub").agg(F.count("*").alias("times"))
@@ -252,19 +260,23 @@ def links(full: DataFrame) -> DataFrame:
     labels = components(first)
 
     placed = rare.join(labels.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
-        "node", "n", "m", "at", "token", F.coalesce("component", "node").alias("part")
+        "node", "n", "n_single", "m", "at", "token", F.coalesce("component", "node").alias("part")
     )
     parted = placed.groupBy(F.col("token").alias("t")).agg(F.min("part").alias("low"), F.max("part").alias("high"))
     apart = store(
         placed.join(parted.filter("low < high"), F.col("token") == F.col("t")).drop("t", "low", "high"), "apart"
     )
     other = apart.select(*[F.col(c).alias(f"{c}_b") for c in apart.columns])
-    # What two sets can have in common up to a token at these places, and after it.
+    need = F.ceil((F.col("n") + F.col("n_b")) * NUM / (NUM + DEN))
+    # Both sets have the token early enough, and with what they have before and after it can
+    # reach what they need.
+    early = (F.col("n_single") + F.col("at") <= F.col("n") - need) & (
+        F.col("n_single_b") + F.col("at_b") <= F.col("n_b") - need
+    )
     most = F.least("at", "at_b") + F.least(F.col("m") - F.col("at"), F.col("m_b") - F.col("at_b"))
     left = (
         apart.join(other, (F.col("token") == F.col("token_b")) & (F.col("node") < F.col("node_b")))
-        .filter(F.col("part") != F.col("part_b")).filter(_near_size("n", "n_b"))
-        .filter(most * (NUM + DEN) >= (F.col("n") + F.col("n_b")) * NUM)
+        .filter((F.col("part") != F.col("part_b")) & _near_size("n", "n_b") & early & (most >= need))
         .select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
     )
     pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
