@@ -298,9 +298,10 @@ def brute_targets(sizes: dict, weights=(3, 1, 2), share=1.5, epochs=2.0) -> dict
 def test_mix(spark):
     rows = corpus()
     words = lambda t: len(WORD.findall(t or ""))
-    table = docs(spark).withColumn("quality", F.when(F.col("doc_id") % 2 == 0, 3.0).when(F.col("doc_id") % 3 == 0, -1.0))
-    table = table.withColumn("target", F.lit(1)).withColumn("bucket", F.lit(1))
-    got = mixing.mix(table, F.col("quality")).collect()
+    table = docs(spark).withColumns({"target": F.lit(1), "bucket": F.lit(1), "weight": F.lit("x")})
+    weights = [(i, 3.0 if i % 2 else -1.0) for i in range(60)] + [(1, 0.5), (2, None), (None, 2.0)]
+    quality_of = spark.createDataFrame(weights, "doc_id long, weight double")
+    got = mixing.mix(table, quality_of).collect()
     sizes = defaultdict(int)
     for _, t, _, s in rows:
         sizes[s] += words(t)
@@ -313,9 +314,9 @@ def test_mix(spark):
         assert r.source_size == sizes[s] and r.target == pytest.approx(target[s]) and 0 <= r.taken <= 2 * r["size"]
         taken[s] += r.taken
     assert all(taken[s] == int(target[s] + 0.5) for s in sizes)
-    again = mixing.mix(table.repartition(5), F.col("quality")).collect()
+    again = mixing.mix(table.repartition(5), quality_of).collect()
     assert tally(got) == tally(again)
-    assert mixing.mix(table.limit(0), F.col("quality")).count() == 0
+    assert mixing.mix(table.limit(0), quality_of).count() == 0
 
 
 # --- 7 WARC ---------------------------------------------------------------------
@@ -462,14 +463,14 @@ def test_kneser_ney_sums_to_one():
             p, back = None, 0.0
             for order in range(quality.ORDER, 0, -1):
                 gram = (int(context) * quality.CLASSES + c) % quality.CLASSES**order
-                hashes, logp, _ = model[order - 1]
+                hashes, logp = model[order - 1][:2]
                 at = np.searchsorted(hashes, gram)
                 if at < len(hashes) and hashes[at] == gram:
                     p = np.exp(back + logp[at])
                     break
-                hashes, _, weight = model[order - 2]
-                at = np.searchsorted(hashes, gram // quality.CLASSES)
-                if at < len(hashes) and hashes[at] == gram // quality.CLASSES:
+                contexts, weight = model[order - 1][2:]
+                at = np.searchsorted(contexts, gram // quality.CLASSES)
+                if at < len(contexts) and contexts[at] == gram // quality.CLASSES:
                     back += weight[at]
             total += p
         assert total == pytest.approx(1.0, abs=1e-6)

@@ -49,7 +49,7 @@ def targets(totals: DataFrame, weights: tuple[int, ...], share: float, epochs: f
 
 def mix(
     docs: DataFrame,
-    quality: Column,
+    quality: DataFrame,
     weights: tuple[int, ...] = (3, 1, 2),
     share: float = 1.5,
     epochs: float = 2.0,
@@ -57,31 +57,35 @@ def mix(
 ) -> DataFrame:
     """Words to take from every document: doc_id, text_hash, size, source_size, target, taken.
 
-    `docs` has doc_id, source, text; `quality` is a positive weight per row. As many whole
+    `docs` has doc_id, source, text; `quality` a positive weight per doc_id. As many whole
     epochs of a source as its target holds come first. The rest is sampled: each document
     draws the key -ln(u) / quality (Efraimidis and Spirakis), with u from a hash of seed,
     id and text, so that reruns agree; by rising key whole documents are taken until the
     words left are used up, the last one with its first words only. So a source gives its
-    target to the word, and no document more than the epochs allow.
+    target to the word, and no document more than the epochs allow. Texts are read once and never
+    shuffled.
 
     A source may hold any part of the rows: keys are cut into buckets of about
     `ROWS_PER_BUCKET`, bucket sums are added up first, and only a bucket is sorted whole.
 
     A null text has no words and gives none; a null source is a source; repeated rows are
-    documents of their own; a null or non-positive quality counts as 1; an empty table
-    gives no rows; other columns are not read.
+    documents of their own; a null, non-positive or missing weight counts as 1, and of several
+    the largest holds; an empty table gives no rows; other columns are not read.
     """
     draw = F.md5(
         F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
                     F.coalesce(F.md5("text"), F.lit("")))
     )
     u = (F.conv(F.substring(draw, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(2**52))
-    weight = F.when(quality > 0, quality.cast("double")).otherwise(1.0)
+    sized = docs.select(
+        "doc_id", "source", F.xxhash64("text").alias("text_hash"), n_words(F.col("text")).alias("size"),
+        (-F.log(u)).alias("plain"), draw.alias("tie"),
+    )
+    rated = quality.groupBy(F.col("doc_id").alias("rated")).agg(F.max("weight").cast("double").alias("given"))
+    weight = F.when(F.col("given") > 0, F.col("given")).otherwise(1.0)
     sized = store(
-        docs.select(
-            "doc_id", "source", F.xxhash64("text").alias("text_hash"), n_words(F.col("text")).alias("size"),
-            (-F.log(u) / weight).alias("draw"), draw.alias("tie"),
-        ),
+        store(sized, "drawn").join(rated, F.col("doc_id") == F.col("rated"), "left")
+        .withColumn("draw", F.col("plain") / weight).drop("plain", "rated", "given"),
         "sized",
     )
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
@@ -112,10 +116,6 @@ def mix(
     )
 
 
-def label_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """`docs` with a column `quality`: 2 for documents labelled good, 0.5 bad, 1 unlabelled."""
-    known = labels.groupBy(F.col("doc_id").alias("labelled")).agg(F.max("quality").alias("label"))
-    weight = F.when(F.col("label") > 0, 2.0).when(F.col("label") <= 0, 0.5).otherwise(1.0)
-    return docs.join(known, F.col("doc_id") == F.col("labelled"), "left").withColumn("quality", weight).drop(
-        "labelled", "label"
-    )
+def label_quality(labels: DataFrame) -> DataFrame:
+    """doc_id and weight: 2 for documents labelled good, 0.5 for bad ones."""
+    return labels.select("doc_id", F.when(F.col("quality") > 0, 2.0).when(F.col("quality") <= 0, 0.5).alias("weight"))

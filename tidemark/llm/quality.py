@@ -113,11 +113,15 @@ def _discounts(n: np.ndarray) -> np.ndarray:
     return np.clip(d, 0.0, [0, 0.95, 1.9, 2.85])
 
 
-def estimate(hashes: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+Model = list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+
+
+def estimate(hashes: np.ndarray, counts: np.ndarray) -> Model:
     """Interpolated modified Kneser-Ney from the longest n-grams of one language.
 
-    Returns for each order (sorted hashes, log probability, log weight of the lower order for
-    the n-gram as a context). Lower orders count the different characters before an n-gram.
+    Returns for each order sorted n-gram hashes and their log probabilities, and sorted context
+    hashes and the log weight that the lower order has after each. Lower orders count the
+    different characters before an n-gram.
     """
     by_order = {ORDER: (hashes, counts)}
     for order in range(ORDER - 1, 0, -1):
@@ -136,37 +140,33 @@ def estimate(hashes: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, n
         if order == 1:
             below = lower[grams]
         else:
-            hashes_below, logp_below, _ = model[-1]
+            hashes_below, logp_below = model[-1][:2]
             below = np.exp(logp_below[np.searchsorted(hashes_below, grams % CLASSES ** (order - 1))])
         logp = np.log((n - cut) / total[at] + spare[at] * below)
         if order == 1:  # every class has a probability, seen or not
             full = np.log(np.maximum(spare[0], 1e-9) * lower)
             full[grams] = logp
             grams, logp = np.arange(CLASSES), full
-        else:
-            hashes_below, _, back = model[-1]
-            back[np.searchsorted(hashes_below, names)] = np.log(np.maximum(spare, 1e-12))
-        model.append((grams.astype(np.uint32), logp, np.zeros(len(grams))))
+        model.append((grams.astype(np.uint32), logp, names.astype(np.uint32), np.log(np.maximum(spare, 1e-12))))
     return model
 
 
-def log_perplexity(found: np.ndarray, model: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> float:
+def log_perplexity(found: np.ndarray, model: Model) -> float:
     """Mean negative log probability of the characters, in nats."""
     logp = np.zeros(len(found))
     left = np.arange(len(found))  # characters whose n-gram wasn't found at a higher order
     for order in range(ORDER, 0, -1):
         grams = ngrams(found, order)[left]
-        hashes, known, _ = model[order - 1]
+        hashes, known, contexts, weights = model[order - 1]
         at = np.minimum(np.searchsorted(hashes, grams), len(hashes) - 1)
         hit = hashes[at] == grams
         logp[left[hit]] += known[at[hit]]
         left = left[~hit]
         if not len(left) or order == 1:
             break
-        contexts = grams[~hit] // np.uint32(CLASSES)
-        hashes, _, back = model[order - 2]
-        at = np.minimum(np.searchsorted(hashes, contexts), len(hashes) - 1)
-        logp[left] += np.where(hashes[at] == contexts, back[at], 0.0)
+        before = grams[~hit] // np.uint32(CLASSES)
+        at = np.minimum(np.searchsorted(contexts, before), len(contexts) - 1)
+        logp[left] += np.where(contexts[at] == before, weights[at], 0.0)
     return -float(logp.mean())
 
 

@@ -62,8 +62,8 @@ def op5_prefix_tree_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_weighted_sampling(spark: SparkSession, sf: str) -> DataFrame:
-    docs = mixing.label_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
-    return mixing.mix(docs, F.col("quality")).select("doc_id", "size", "source_size", "target", "taken")
+    quality_of = mixing.label_quality(table(spark, sf, "labels"))
+    return mixing.mix(table(spark, sf, "documents"), quality_of).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op7_warc_derivatives(spark: SparkSession, sf: str) -> DataFrame:
