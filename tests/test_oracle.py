@@ -3,7 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from workload.oracle import ORACLE_SQL
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,13 +30,13 @@ def rows(header, records):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, duck, name):
-    result = queries()[name](spark, SF)
-    expected = duck.execute(oracle_sql()[name])
+    result = QUERIES[name](spark, SF)
+    expected = duck.execute(ORACLE_SQL[name])
     header = [column[0] for column in expected.description]
     assert sorted(result.columns) == sorted(header)
     want = rows(header, expected.fetchall())

@@ -10,7 +10,7 @@ from tidemark.operators.scd import dimension_events, full_build
 from tidemark.plans.dimension import last_run, read_dimension, update_dimension
 from tidemark.plans.marts import MARTS, read_mart, register_views, stage, update_marts
 from tidemark.plans.paths import Paths
-from tidemark.plans.pipeline import promote, run_pipeline, store_checks
+from tidemark.plans.pipeline import backfill_bronze, promote, read_failing, run_pipeline, store_checks
 from tidemark.sources.raw import from_text, stream_raw
 from tidemark.sources.state import RunState
 from tidemark.sources.tables import read_bronze, read_quarantine, read_silver
@@ -130,7 +130,7 @@ def test_pipeline_runs(spark, tmp_path):
     failing = {(r.table, r.check) for r in results.filter("failing_rows > 0").collect()}
     assert failing == {("stg_events", "accepted_values"), ("mart_event_mix", "accepted_values")}
     same_as_from_scratch(spark, paths)
-    bad = spark.read.parquet(f"{paths.checks}/failing/stg_events.event_type.accepted_values")
+    bad = read_failing(spark, paths, "stg_events", "event_type", "accepted_values")
     assert [tuple(row) for row in bad.collect()] == [("signup", 1)]
 
     # A late event, a corrected copy, a new day and a new user.
@@ -157,6 +157,7 @@ def test_pipeline_runs(spark, tmp_path):
 
     recent = store_checks(spark, paths, dt.date(2024, 1, 12))
     assert recent.count() == 26 and recent.filter("failing_rows > 0").isEmpty()
+    assert read_failing(spark, paths, "stg_events", "event_type", "accepted_values") is None
     names = register_views(spark, paths)
     assert {"dim_user_current", "dim_user_scd", "mart_funnel", "silver_searches", "stg_events"} <= set(names)
     assert spark.sql("select count(*) from dim_user_current").first()[0] == 3
@@ -214,3 +215,108 @@ def test_settled_rows_are_not_rewritten(spark, tmp_path):
     assert last_run(RunState(spark, paths.state))["base"] == 6
     run("25", "A", complete_every=5)
     assert stored(7) < read_dimension(spark, paths).count()
+
+
+def ids(spark, paths):
+    return sorted(r.event_id for r in read_bronze(spark, paths.bronze).collect())
+
+
+def test_streams_into_one_bronze_keep_each_others_rows(spark, tmp_path):
+    paths = Paths(str(tmp_path))
+    drop(paths, "a", event("1"))
+    load(spark, paths)
+    queue = tmp_path / "queue"
+    queue.mkdir()
+    (queue / "q.txt").write_text(json.dumps(event("2")))
+    load_bronze(from_text(spark.readStream.text(str(queue))), paths.bronze, paths.stream("queue")).awaitTermination()
+    assert ids(spark, paths) == ["1", "2"]
+    # A new checkpoint counts its batches from 0 again.
+    load_bronze(stream_raw(spark, paths.raw), paths.bronze, paths.stream("again")).awaitTermination()
+    assert ids(spark, paths) == ["1", "1", "2"]
+
+
+def test_landing_streams_keep_each_others_raw_records(spark, tmp_path):
+    paths = Paths(str(tmp_path))
+    for name in ("1", "2"):
+        folder = tmp_path / f"in{name}"
+        folder.mkdir()
+        (folder / "x.txt").write_text(json.dumps(event(name)))
+        land_events(
+            from_text(spark.readStream.text(str(folder))), paths.raw, paths.logs, paths.rejected, paths.stream(name)
+        ).awaitTermination()
+    raw = spark.read.option("recursiveFileLookup", "true").text(paths.raw).collect()
+    assert sorted(json.loads(r.value)["event_id"] for r in raw) == ["1", "2"]
+
+
+def test_backfills_add_what_is_not_loaded(spark, tmp_path):
+    paths = Paths(str(tmp_path))
+    drop(paths, "a", event("1"), event("2"))
+    load(spark, paths)
+    drop(paths, "b", event("3"), "{broken")
+    os.utime(f"{paths.raw}/b.json", (0, 0))
+    backfill_bronze(spark, paths)
+    drop(paths, "c", event("4"))
+    backfill_bronze(spark, paths, modified_after="2020-01-01T00:00:00")
+    backfill_bronze(spark, paths)
+    assert ids(spark, paths) == ["1", "2", "3", "4"]
+    assert read_quarantine(spark, paths.bronze).count() == 1
+
+
+def test_old_files_are_streamed(spark, tmp_path):
+    paths = Paths(str(tmp_path))
+    drop(paths, "a", event("1"))
+    load(spark, paths)
+    drop(paths, "b", event("2"))
+    os.utime(f"{paths.raw}/b.json", (1_000_000_000, 1_000_000_000))
+    load(spark, paths)
+    assert ids(spark, paths) == ["1", "2"]
+
+
+def test_longer_lookback_takes_settled_rows_back(spark, tmp_path):
+    paths = Paths(str(tmp_path))
+
+    def run(day, lookback, *events):
+        drop(paths, day, *events)
+        load(spark, paths)
+        promote(spark, paths, lookback, TODAY)
+        update_dimension(spark, paths, lookback)
+
+    for day, country in (("01", "A"), ("05", "B"), ("09", "C"), ("13", "D"), ("17", "E")):
+        run(day, 2, event(day, f"2024-01-{day}T10:00:00", country=country))
+    run("20", 14, event("20", "2024-01-20T10:00:00", country="F"), event("07", "2024-01-07T10:00:00", country="G"))
+    same = everything(full_build(dimension_events(read_silver(spark, paths.silver))))
+    assert everything(read_dimension(spark, paths)) == same
+
+
+def test_dimension_follows_silver_whatever_the_ingestion_times(spark, tmp_path):
+    paths = Paths(str(tmp_path))
+    events = [
+        event("1", "2024-01-10T10:00:00", ingested="2999-01-01T00:00:00"), event("2", "2024-01-11T10:00:00", country="CA"),
+        {k: v for k, v in event("3", "2024-01-11T12:00:00", user=5).items() if k != "ingested_at"},
+    ]
+    for i, e in enumerate(events):
+        drop(paths, str(i), e)
+        load(spark, paths)
+        promote(spark, paths, today=TODAY)
+        update_dimension(spark, paths)
+    same = everything(full_build(dimension_events(read_silver(spark, paths.silver))))
+    assert everything(read_dimension(spark, paths)) == same and len(same) == 3
+
+
+def test_idle_run_writes_nothing(spark, tmp_path):
+    paths = Paths(str(tmp_path))
+    drop(paths, "a", event("1"), event("2", "2024-01-12T10:00:00"))
+    for _ in range(2):
+        run_pipeline(spark, paths, today=TODAY)
+    tables = (paths.silver, paths.marts, paths.dimension)
+    files = lambda: sorted((f, os.stat(f"{d}/{f}").st_mtime_ns) for t in tables for d, _, fs in os.walk(t) for f in fs)
+    before = files()
+    run_pipeline(spark, paths, today=TODAY)
+    assert files() == before
+
+
+def test_state_doesnt_depend_on_clocks(spark, tmp_path):
+    state = RunState(spark, str(tmp_path))
+    for value in ("c", "b", "a"):
+        state.put("x", value)
+        assert state.get("x") == value

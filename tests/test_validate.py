@@ -110,3 +110,16 @@ def test_times_do_not_depend_on_the_session_zone(spark):
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
         assert found == texts
+
+
+@pytest.mark.parametrize(
+    "sent,want",
+    [("101", 101), ('" 7 "', 7), ("1.0", 1), ('"1.0"', 1), ("true", 1), ("1e2", 100), ("9007199254740993", 9007199254740993),
+     ("1.0000001", None), ('"1.0000001"', None), ("7.00000000004", None), ("1.5e0", None), ('"1e2"', None), ("null", None),
+     ("9223372036854775808", None)],
+)
+def test_user_ids_are_not_rounded(spark, sent, want):
+    from tidemark.functions.parse import whole_number
+
+    row = spark.createDataFrame([('{"u": %s}' % sent,)], "v string").select(F.try_parse_json("v").alias("p"))
+    assert row.select(whole_number(F.col("p"), "u")).first()[0] == want

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # A letter or a sign after the minutes means the text carries its own zone.
 _ZONED = r":\d{2}.*([A-Za-z]|[+-]\d)"
-_WHOLE_TEXT = r"^\s*[+-]?\d+(\.0+)?\s*$"
+_WHOLE_TEXT = r"^\s*([+-]?\d+)(\.0+)?\s*$"
+_EXACT = 2.0**53  # doubles above may stand for several integers
 
 
 def utc_timestamp(text: Column) -> Column:
@@ -40,14 +41,15 @@ def field_kind(payload: Column, name: str) -> Column:
 def whole_number(payload: Column, name: str) -> Column:
     """A top-level field as bigint: integers, integral floats, booleans and text of those.
 
-    Fractions, other text and NULL give NULL.
+    Fractions, other text and NULL give NULL. Digits are judged as text, so nothing is rounded;
+    a number with an exponent is a double, and counts as far as doubles are exact.
     """
     kind = field_kind(payload, name)
-    text = text_field(payload, name)
-    number = text.try_cast("decimal(38,6)")
-    whole = F.when(number % 1 == 0, number.try_cast("bigint"))
+    digits = F.regexp_extract(text_field(payload, name), _WHOLE_TEXT, 1)
+    double = F.try_variant_get(payload, f"$.{name}", "double")
+    whole_double = F.when((double == F.floor(double)) & (F.abs(double) <= _EXACT), double.try_cast("bigint"))
     return (
         F.when(kind == "BOOLEAN", F.try_variant_get(payload, f"$.{name}", "bigint"))
-        .when((kind == "STRING") & ~text.rlike(_WHOLE_TEXT), F.lit(None).cast("bigint"))
-        .otherwise(whole)
+        .when(kind == "DOUBLE", whole_double)
+        .otherwise(F.when(digits != "", digits.try_cast("bigint")))
     )

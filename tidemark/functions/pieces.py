@@ -57,7 +57,7 @@ def plan_cuts(
     )
     evenly = F.transform(
         F.sequence(F.lit(1), F.col("pieces") - 1),
-        lambda i: F.get("seen", F.floor(i * F.size("seen") / F.col("pieces")).cast("int")),
+        lambda i: F.get("seen", F.floor(i.cast("bigint") * F.size("seen") / F.col("pieces")).cast("int")),
     )
     cuts = seen.select(key, evenly.alias("cuts"))
     # Another run could sample other rows, so the cuts are fixed here once.

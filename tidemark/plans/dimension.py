@@ -24,7 +24,6 @@ from tidemark.operators.scd import (
     busy_timelines,
     current_users,
     dimension_events,
-    newer_than,
     replay,
 )
 from tidemark.plans.paths import Paths
@@ -32,12 +31,15 @@ from tidemark.sources.state import EPOCH, RunState
 from tidemark.sources.tables import read_silver
 
 _STORED = schemas.DIM_SCHEMA + ", version int, settled boolean"
-_FIRST = json.dumps({"version": 0, "base": 1, "checkpoint": EPOCH, "watermark": EPOCH})
+_FIRST = json.dumps(
+    {"version": 0, "base": 1, "checkpoint": EPOCH, "watermark": EPOCH, "settled_before": EPOCH, "silver_run": None}
+)
 COMPLETE_EVERY = 100  # versions
 
 
 def last_run(state: RunState) -> dict:
-    """Version, base, silver checkpoint and ingestion watermark of the last completed run."""
+    """What the last completed run saved: version and base, the silver checkpoint and run it
+    saw, the ingestion watermark, and the date before which rows count as settled."""
     return json.loads(state.get("dim_user", _FIRST))
 
 
@@ -78,25 +80,35 @@ def update_dimension(
     """Bring the dimension up to date with silver; None when silver has nothing new.
 
     Silver rewrites nothing dated before (checkpoint at the last run - lookback), so
-    the history is rewound to that date and replayed from there.
+    the history is rewound to that date and replayed from there. With a longer lookback than
+    before, rows that were settled under the shorter one are taken back first.
+
+    Whether silver has something new is told by its run number, not by ingestion times: those
+    come with the events and may be missing or lie in the future.
     """
     state = RunState(spark, paths.state)
     last = last_run(state)
     reached = state.get("silver_checkpoint", EPOCH)
+    silver_run = state.get("silver_run")
+    if silver_run is not None and silver_run == last["silver_run"]:
+        return None
     since_date = dt.date.fromisoformat(last["checkpoint"]) - dt.timedelta(days=lookback_days)
     events = dimension_events(read_silver(spark, paths.silver, since_date))
 
-    watermark = F.lit(dt.datetime.fromisoformat(last["watermark"])).cast("timestamp_ntz")
-    newest = newer_than(events, watermark).agg(F.max("ingested_at")).first()[0]
-    if newest is None:
-        return None
+    newest = events.agg(F.max("ingested_at")).first()[0]
+    watermark = max(last["watermark"], newest.isoformat()) if newest else last["watermark"]
 
     settled, live = _read_parts(spark, paths, last)
     since = F.lit(since_date).cast("timestamp_ntz")
+    reopened = since_date < dt.date.fromisoformat(last["settled_before"])
+    if reopened:
+        ends = F.col("effective_end")
+        live = live.unionByName(settled.filter(ends >= since))
+        settled = settled.filter(ends < since)
     cuts = busy_timelines(events, rows_per_piece)
     updated = replay(live, events, since, cuts)
     version, base = last["version"] + 1, last["base"]
-    if version - base >= complete_every:
+    if reopened or version - base >= complete_every:
         updated, base = updated.unionByName(settled), version
     ended = F.coalesce(F.col("effective_end") < since, F.lit(False))
     updated.withColumn("settled", ended).write.mode("overwrite").partitionBy("settled").parquet(
@@ -107,7 +119,9 @@ def update_dimension(
         "version": version,
         "base": base,
         "checkpoint": reached,
-        "watermark": newest.isoformat(),
+        "watermark": watermark,
+        "settled_before": since_date.isoformat(),
+        "silver_run": silver_run,
     }
     state.put("dim_user", json.dumps(run))
     return version

@@ -72,18 +72,25 @@ def _empty_lost_dates(spark: SparkSession, paths: Paths, since: dt.date) -> None
 def update_marts(spark: SparkSession, paths: Paths, lookback_days: int = 2) -> None:
     """Recompute the dates silver may have rewritten since the marts were last written."""
     state = RunState(spark, paths.state)
+    run = state.get("silver_run")
+    if run is not None and run == state.get("marts_run"):
+        return
     reached = state.get("silver_checkpoint")
     last = state.get("marts_checkpoint")
     since = dt.date.fromisoformat(last) - dt.timedelta(days=lookback_days) if last else None
     write_marts(spark, paths, since)
     if reached:
         state.put("marts_checkpoint", reached)
+    if run is not None:
+        state.put("marts_run", run)
 
 
 def read_mart(
     spark: SparkSession, paths: Paths, name: str, since: dt.date | None = None
 ) -> DataFrame:
-    return read_table(spark, f"{paths.marts}/{name}", MARTS[name][1], since)
+    """A stored mart, its date first as when it was computed."""
+    table = read_table(spark, f"{paths.marts}/{name}", MARTS[name][1], since)
+    return table.select("event_date", *[c for c in table.columns if c != "event_date"])
 
 
 def register_views(spark: SparkSession, paths: Paths) -> list[str]:

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +16,10 @@ from tidemark.operators.checks import failing_rows, run_checks
 from tidemark.plans.dimension import read_current_users, update_dimension
 from tidemark.plans.marts import MARTS, read_mart, stage, update_marts
 from tidemark.plans.paths import Paths
-from tidemark.schemas import SILVER_SCHEMA
+from tidemark.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from tidemark.sources.raw import read_raw, stream_raw
 from tidemark.sources.state import EPOCH, RunState
 from tidemark.sources.tables import (
-    BACKFILL,
     SILVER_BY,
     read_bronze,
     read_silver,
@@ -31,9 +33,13 @@ LOOKBACK_DAYS = 2
 
 
 def backfill_bronze(spark: SparkSession, paths: Paths, modified_after: str | None = None) -> None:
-    """One batch load of raw files into bronze, for a first load without a stream."""
-    rows = bronze_ops.bronze(read_raw(spark, paths.raw, modified_after))
-    write_load(rows, paths.bronze, BACKFILL)
+    """Load the raw files that bronze has no record of, as a load of its own.
+
+    For a first load without a stream, and for files that a stream passed over.
+    """
+    loaded = read_table(spark, paths.bronze, BRONZE_SCHEMA).select("source_file").distinct()
+    raw = read_raw(spark, paths.raw, modified_after).join(loaded, "source_file", "left_anti")
+    write_load(bronze_ops.bronze(raw), paths.bronze, f"backfill-{uuid.uuid4().hex}")
 
 
 def promote(
@@ -47,6 +53,9 @@ def promote(
     Returns the new checkpoint, or None when the window holds no rows. Partitions
     before the window are not read and not touched.
 
+    A window that holds what it held at the last run is left alone: nothing is written and
+    the dimension and the marts find nothing to do.
+
     Every partition already in the window also gets a blank row (no event_id, dropped
     by `read_silver`), so that one whose events were all corrected to other dates is
     replaced too instead of keeping their old copies.
@@ -56,6 +65,13 @@ def promote(
     since = dt.date.fromisoformat(checkpoint) - dt.timedelta(days=lookback_days)
     bronze = read_bronze(spark, paths.bronze, since)
     window = bronze_ops.lookback(bronze, checkpoint, lookback_days)
+    held = window.agg(
+        F.count("*").alias("rows"),
+        F.bit_xor(F.xxhash64("event_id", "source_file", "ingested_at", "ingested_processing_ts")).alias("hash"),
+    ).first()
+    seen = json.dumps([since.isoformat(), held["rows"], held["hash"]])
+    if seen == state.get("silver_window"):
+        return checkpoint
     stored = read_table(spark, paths.silver, SILVER_SCHEMA, since)
     old = stored.select(SILVER_BY).distinct().collect()
     blanks = spark.createDataFrame(old, "event_date date, event_type string")
@@ -68,7 +84,9 @@ def promote(
     # An event dated in the future must not push on-time events out of the window.
     limit = today or dt.datetime.now(dt.timezone.utc).date()
     moved = max(checkpoint, min(newest, limit).isoformat())
+    state.put("silver_run", int(state.get("silver_run", "0")) + 1)
     state.put("silver_checkpoint", moved)
+    state.put("silver_window", seen)
     return moved
 
 
@@ -89,18 +107,22 @@ def run_pipeline(
     today: dt.date | None = None,
     incoming: DataFrame | None = None,
     check_since: dt.date | None = None,
+    files_per_batch: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """One pass over whatever is new; returns the check results it has written.
 
     `incoming` is a stream of records (`sources.raw.from_text`) to validate and land
     first; without it the raw folder is filled by others. The checks are the only step
-    that reads whole tables; `check_since` limits them to later dates.
+    that reads whole tables; `check_since` limits them to later dates. `files_per_batch` and
+    `archive` bound a batch and the listing of raw files (see `sources.raw.stream_raw`).
     """
     if incoming is not None:
         land_events(
             incoming, paths.raw, paths.logs, paths.rejected, paths.stream("landing")
         ).awaitTermination()
-    load_bronze(stream_raw(spark, paths.raw), paths.bronze, paths.stream("bronze")).awaitTermination()
+    raw = stream_raw(spark, paths.raw, files_per_batch, archive)
+    load_bronze(raw, paths.bronze, paths.stream("bronze")).awaitTermination()
     if promote(spark, paths, lookback_days, today) is not None:
         update_dimension(spark, paths, lookback_days)
         update_marts(spark, paths, lookback_days)
@@ -108,13 +130,34 @@ def run_pipeline(
 
 
 def store_checks(spark: SparkSession, paths: Paths, since: dt.date | None = None) -> DataFrame:
-    """Run the checks, store their results, and next to them the rows that fail."""
+    """Run the checks, store their results, and next to them the rows that fail.
+
+    Failing rows are in a folder of the run, which `read_failing` finds, so that those of an
+    earlier run don't pass for this one's.
+    """
+    state = RunState(spark, paths.state)
+    run = int(state.get("checks_run", "0")) + 1
     tables = check_tables(spark, paths, since)
     run_checks(tables).write.mode("overwrite").parquet(f"{paths.checks}/results")
     results = spark.read.parquet(f"{paths.checks}/results")
     bad = failing_rows(tables)
     for row in results.filter("failing_rows > 0").collect():  # at most one row per check
         found = bad[(row["table"], row["check"], row["column"])]
-        folder = f"{paths.checks}/failing/{row['table']}.{row['column']}.{row['check']}"
-        found.write.mode("overwrite").parquet(folder)
+        found.write.mode("overwrite").parquet(f"{_failing(paths, run)}/{row['table']}.{row['column']}.{row['check']}")
+    state.put("checks_run", run)
     return results
+
+
+def _failing(paths: Paths, run: int) -> str:
+    return f"{paths.checks}/failing/run={run}"
+
+
+def read_failing(spark: SparkSession, paths: Paths, table: str, column: str, check: str) -> DataFrame | None:
+    """Rows that failed a check in the last run; None if none did."""
+    run = int(RunState(spark, paths.state).get("checks_run", "0"))
+    try:
+        return spark.read.parquet(f"{_failing(paths, run)}/{table}.{column}.{check}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

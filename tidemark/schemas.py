@@ -20,14 +20,14 @@ BRONZE_COLUMNS = [
     "ingested_processing_ts", "source_file", "verdict", "event_date",
 ]
 
-# How the bronze table reads back (partition columns last; `load` is the load it came with).
+# How the bronze table reads back (partition columns last; `load` names the load it came with).
 BRONZE_SCHEMA = """
     event_id string, event_ts string, user_id bigint, country string,
     page string, query string, amount string, currency string,
     error_message string, severity string, ingested_at string, request_id string,
     payload variant, raw_text string, reason string,
     ingested_processing_ts timestamp_ntz, source_file string,
-    verdict string, event_date date, event_type string, load bigint
+    verdict string, event_date date, event_type string, load string
 """
 
 SILVER_COLUMNS = [

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # The whole record is kept as a variant, so no schema is inferred and JSON types survive.
 _SCHEMA = "payload variant, _corrupt_record string"
 _OPTIONS = {"singleVariantColumn": "payload"}
+MAX_FILE_AGE = "36500d"
 
 
 def _with_origin(df: DataFrame) -> DataFrame:
@@ -32,9 +33,10 @@ def stream_raw(
     """Stream read of new files. A file is read once, so writers must add files, not rewrite them.
 
     `archive` names a folder to move finished files to, which keeps the listing of a busy
-    source short.
+    source short. A file's modification time may lie up to `MAX_FILE_AGE` before the newest one
+    seen; the default of a week would skip restored history without a word.
     """
-    reader = spark.readStream.schema(_SCHEMA).options(**_OPTIONS)
+    reader = spark.readStream.schema(_SCHEMA).options(**_OPTIONS).option("maxFileAge", MAX_FILE_AGE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if archive:

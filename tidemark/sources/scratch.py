@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,7 +15,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the one the cluster names; a local one only where none is named."""
     base = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError(f"set {_SETTING} to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="run-")
         spark.conf.set(_SETTING, base)

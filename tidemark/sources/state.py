@@ -6,22 +6,21 @@ repeats the run instead of skipping data. Only these few values ever reach the d
 
 from __future__ import annotations
 
-import time
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 EPOCH = "1970-01-01"  # where every checkpoint and watermark starts
 
-_SCHEMA = "value string, written_at bigint, slot int"
+_SCHEMA = "value string, number bigint, slot int"
 
 
 class RunState:
     """Named values on the tables' own file system.
 
     Every value has two slots and a new one overwrites the older slot, so the last
-    value survives a write that fails half-way, and nothing piles up.
+    value survives a write that fails half-way, and nothing piles up. Values are numbered,
+    so the order of writes doesn't depend on anyone's clock.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -36,8 +35,9 @@ class RunState:
     def put(self, name: str, value: object) -> None:
         last = self._last(name)
         slot = 0 if last is None else 1 - last["slot"]
+        number = 1 if last is None else last["number"] + 1
         self.spark.range(0, 1, 1, 1).select(
-            F.lit(str(value)).alias("value"), F.lit(time.time_ns()).alias("written_at")
+            F.lit(str(value)).alias("value"), F.lit(number).cast("bigint").alias("number")
         ).write.mode("overwrite").json(f"{self.path}/{name}/slot={slot}")
 
     def _last(self, name: str):
@@ -47,4 +47,4 @@ class RunState:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
-        return saved.agg(F.max_by(F.struct("value", "slot"), "written_at")).first()[0]
+        return saved.agg(F.max_by(F.struct("value", "slot", "number"), "number")).first()[0]

@@ -12,7 +12,7 @@ from tidemark import schemas
 
 SILVER_BY = ["event_date", "event_type"]
 BRONZE_BY = ["verdict", *SILVER_BY]
-BACKFILL = -1  # `load` of the one batch load
+
 
 def dates_from(day: dt.date) -> str:
     """Path pattern for the ISO dates from `day` on."""
@@ -77,6 +77,10 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "appe
         writer.mode(mode).parquet(path)
 
 
-def write_load(bronze: DataFrame, path: str, load: int) -> None:
-    """Add the bronze rows of one load; repeating a load replaces what it wrote before."""
-    write_partitioned(bronze.withColumn("load", F.lit(load)), path, [*BRONZE_BY, "load"], "replace")
+def write_load(bronze: DataFrame, path: str, load: object) -> None:
+    """Add the bronze rows of one load; repeating a load replaces what it wrote before.
+
+    `load` must be the load's own among all writers of the table: a stream's id and batch, or
+    a new name for every backfill.
+    """
+    write_partitioned(bronze.withColumn("load", F.lit(str(load))), path, [*BRONZE_BY, "load"], "replace")
