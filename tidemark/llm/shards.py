@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,9 @@ from tidemark.llm.common import store
 
 KEY = ["k1", "k2", "k3"]  # compared in turn, each as an unsigned number
 PROBES = 15  # between the ends of an open interval, per round
+#: What one task sorts, as far as `MOST_RANGES` a shard allow: the driver holds a key for each.
+RANGE_BYTES = 128 << 20
+MOST_RANGES = 1000
 _SIGN = -(2**63)
 
 
@@ -156,7 +160,9 @@ def histogram_sort(
         raise ValueError(f"columns {KEY} are taken")
     keyed = store(rows.select(*KEY, "size"), "keys")
     spark = docs.sparkSession
-    per = ranges_per_shard or max(4, -(-2 * int(spark.conf.get("spark.sql.shuffle.partitions")) // n_shards))
+    total = keyed.agg(F.sum("size")).first()[0] or 0
+    by_tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions")) / n_shards
+    per = ranges_per_shard or min(MOST_RANGES, math.ceil(max(4, by_tasks, total / n_shards / RANGE_BYTES)))
     cuts, below = splitters(keyed, n_shards * per, tolerance)
     return _exchange(rows, cuts, below, n_shards, per)
 
