@@ -248,6 +248,11 @@ ORACLE_SQL = {
     "silver_events": f"WITH {SILVER}" + SILVER_SELECT + ", '2024-02-05 00:00:00.000000' "
     "AS ingested_processing_ts, 'adapter' AS source_file FROM silver",
     "silver_incremental": f"WITH {_two_runs(2)}" + SILVER_SELECT + " FROM silver",
+    **{
+        name: f"WITH {APP_EVENTS} SELECT event_id, event_type, {_date('event_date')}, {_ts('ingested_at')} FROM app_events"
+        for name in ("bronze_two_streams", "bronze_backfill_twice")
+    },
+    "silver_idle_run": f"WITH {_two_runs(2)}" + SILVER_SELECT + " FROM silver",
     "silver_incremental_short_lookback": f"WITH {_two_runs(1)}" + SILVER_SELECT + " FROM silver",
     "silver_by_type": f"WITH {SILVER}"
     "SELECT CASE event_type WHEN 'page_view' THEN 'silver_page_views' WHEN 'search' THEN 'silver_searches' "
@@ -303,6 +308,7 @@ ORACLE_SQL = {
     "dq_not_null": _checks("not_null"),
     "dq_unique": _checks("unique"),
     "dq_accepted_values": _checks("accepted_values"),
+    "dimension_lookback_change": f"WITH {FULL_BUILD}{DIM_SELECT}",
     "pipeline_dimension": f"WITH {FULL_BUILD}{DIM_SELECT}",
     "pipeline_marts": f"WITH {_two_runs(2)},{FUNNEL}{MART_ROWS}",
 }

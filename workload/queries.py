@@ -19,11 +19,11 @@ from tidemark.operators import checks, marts, scd
 from tidemark.operators import silver as silver_ops
 from tidemark.operators.ingest import ingestion_log
 from tidemark.operators.validate import extract_fields, validate
-from tidemark.plans.dimension import read_dimension
+from tidemark.plans.dimension import read_dimension, update_dimension
 from tidemark.plans.marts import MARTS, read_mart, update_marts
 from tidemark.plans.paths import Paths
-from tidemark.plans.pipeline import promote, run_pipeline
-from tidemark.sources.raw import from_text, read_raw
+from tidemark.plans.pipeline import backfill_bronze, promote, run_pipeline
+from tidemark.sources.raw import from_text, read_raw, stream_raw
 from tidemark.sources.scratch import scratch_dir
 from tidemark.sources.tables import (
     SILVER_BY,
@@ -32,7 +32,7 @@ from tidemark.sources.tables import (
     write_load,
     write_partitioned,
 )
-from tidemark.streaming.jobs import land_events
+from tidemark.streaming.jobs import land_events, load_bronze
 from workload import adapter
 
 # A date after all test events; caps the checkpoint as the processing date would.
@@ -139,6 +139,33 @@ def bronze_lookback_scan(spark, sf):
     return as_text(_ingested(window.select("event_id", "event_type", "event_date", "ingested_at")))
 
 
+def _in_bronze(spark: SparkSession, paths: Paths) -> DataFrame:
+    bronze = read_bronze(spark, paths.bronze)
+    return as_text(_ingested(bronze.select("event_id", "event_type", "event_date", "ingested_at")))
+
+
+def bronze_two_streams(spark, sf):
+    """Part of the deliveries comes as raw files, the rest as text, each by a stream of its own."""
+    paths = Paths(scratch_dir(spark, "lake"))
+    arrivals, queue = adapter.deliveries(spark, sf), f"{paths.root}/queue"
+    adapter.first_batch(arrivals).write.json(paths.raw)
+    adapter.second_batch(arrivals).select(F.to_json(F.struct("*"))).write.text(queue)
+    files, texts = stream_raw(spark, paths.raw), from_text(spark.readStream.text(queue))
+    load_bronze(files, paths.bronze, paths.stream("files")).awaitTermination()
+    load_bronze(texts, paths.bronze, paths.stream("queue")).awaitTermination()
+    return _in_bronze(spark, paths)
+
+
+def bronze_backfill_twice(spark, sf):
+    """A backfill after each of two batches of raw files; the second finds the first one loaded."""
+    paths = Paths(scratch_dir(spark, "lake"))
+    arrivals = adapter.deliveries(spark, sf)
+    for part in (adapter.first_batch(arrivals), adapter.second_batch(arrivals)):
+        part.write.mode("append").json(paths.raw)
+        backfill_bronze(spark, paths, modified_after="2020-01-01T00:00:00")
+    return _in_bronze(spark, paths)
+
+
 # --- silver -----------------------------------------------------------------
 
 
@@ -181,6 +208,14 @@ def silver_incremental_short_lookback(spark, sf):
     return silver_incremental(spark, sf, lookback=1)
 
 
+def silver_idle_run(spark, sf):
+    """Two more promotions after the last batch change nothing."""
+    paths = _two_promotions(spark, sf, 2)
+    for _ in range(2):
+        promote(spark, paths, 2, TODAY)
+    return as_text(_ingested(read_silver(spark, paths.silver).select(SILVER_OUT)))
+
+
 def silver_by_type(spark, sf):
     paths = Paths(scratch_dir(spark, "lake"))
     write_partitioned(_silver(spark, sf), paths.silver, SILVER_BY, "replace")
@@ -427,11 +462,26 @@ def pipeline_marts(spark, sf):
     return _stored_marts(spark, _two_pipeline_runs(spark, sf))
 
 
+def dimension_lookback_change(spark, sf):
+    """Runs with a lookback of 2 days that settle versions, then one with 10."""
+    paths = Paths(scratch_dir(spark, "lake"))
+    arrivals = adapter.deliveries(spark, sf)
+    early = adapter.first_batch(arrivals)
+    start = F.col("ingested_at") <= "2024-01-10T00:00:00"
+    for part, lookback in ((early.filter(start), 2), (early.filter(~start), 2), (adapter.second_batch(arrivals), 10)):
+        part.write.mode("append").json(paths.raw)
+        backfill_bronze(spark, paths)
+        promote(spark, paths, lookback, TODAY)
+        update_dimension(spark, paths, lookback)
+    return as_text(read_dimension(spark, paths))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        raw_json_scan, bronze_enrich, bronze_lookback_scan,
+        raw_json_scan, bronze_enrich, bronze_lookback_scan, bronze_two_streams, bronze_backfill_twice,
         silver_dedup_latest, silver_events, silver_incremental, silver_incremental_short_lookback,
+        silver_idle_run,
         silver_by_type, checkpoint_max_date, scd_watermark,
         stg_events, mart_dau, mart_revenue, mart_event_mix, mart_funnel, mart_funnel_join,
         mart_incremental, preview_dau,
@@ -439,7 +489,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         scd2_rebuild_touched, scd2_replay, dim_user_current, preview_current_users,
         validate_events, landing_stream, schema_evolution,
         dq_not_null, dq_unique, dq_accepted_values,
-        pipeline_dimension, pipeline_marts,
+        pipeline_dimension, pipeline_marts, dimension_lookback_change,
     )
 }
 QUERIES["ingestion_log"] = ingestion_log_records
