@@ -83,3 +83,46 @@ SELECT d.doc_id, i.item_id, count(*)::BIGINT AS n_found, any_value(n.n_item)::BI
 FROM doc_set d JOIN item_set i ON d.s = i.s JOIN item_size n ON i.item_id = n.item_id
 GROUP BY d.doc_id, i.item_id HAVING 5 * count(*) >= 4 * any_value(n.n_item)
 """
+
+ORACLE_SQL["op1_secret_ownership"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner,
+    concat_ws('/', source, lang) AS repo FROM documents),
+found AS (
+  SELECT row, owner, repo, 'assign' AS kind, 0 AS rank, 8 AS least, regexp_extract_all(t, p) AS whole,
+    regexp_extract_all(t, p, 2) AS value, string_split_regex(t, p) AS gap
+  FROM docs, (SELECT '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)' AS p)
+  UNION ALL SELECT row, owner, repo, 'access', 1, 16, regexp_extract_all(t, 'AKIA[A-Z0-9]+'),
+    regexp_extract_all(t, 'AKIA[A-Z0-9]+'), string_split_regex(t, 'AKIA[A-Z0-9]+') FROM docs
+  UNION ALL SELECT row, owner, repo, 'hex', 2, 32, regexp_extract_all(t, '[0-9a-f]+'),
+    regexp_extract_all(t, '[0-9a-f]+'), string_split_regex(t, '[0-9a-f]+') FROM docs
+  UNION ALL SELECT row, owner, repo, 'token', 3, 20, regexp_extract_all(t, '[A-Za-z0-9+/_=-]{20,}'),
+    regexp_extract_all(t, '[A-Za-z0-9+/_=-]{20,}'), string_split_regex(t, '[A-Za-z0-9+/_=-]{20,}') FROM docs),
+each AS (
+  SELECT row, owner, repo, kind, rank, least, i, whole[i] AS whole, value[i] AS value, gap[i] AS gap
+  FROM (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM found)),
+placed AS (
+  SELECT *, sum(length(gap) + length(whole)) OVER (PARTITION BY row, kind ORDER BY i) AS stop FROM each),
+kept AS (SELECT * FROM placed WHERE length(value) >= least),
+spread AS (SELECT value, count(DISTINCT owner) AS owners FROM kept GROUP BY value),
+spans AS (
+  SELECT row, kind, rank, stop - length(whole) AS start, stop FROM kept WHERE rank < 3
+  UNION
+  SELECT row, CASE WHEN owners = 1 THEN 'live' ELSE 'copied' END, CASE WHEN owners = 1 THEN 3 ELSE 4 END, stop - length(k.value), stop
+  FROM kept k JOIN spread s ON k.value = s.value
+  WHERE owners >= 3 OR owners = 1 AND length(k.value) >= 16
+    AND len(list_distinct(string_split(k.value, ''))) >= 8 AND regexp_matches(k.value, '[0-9]') AND regexp_matches(k.value, '[A-Za-z]')
+    AND NOT regexp_matches(k.value, '(?i)example|sample|dummy|placeholder|change_?me|your|xxxx|test_?key|1234567')),
+joined AS (
+  SELECT row,
+    count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (kind = 'live') AS n_live, count(*) FILTER (kind = 'copied') AS n_copied,
+    string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, rank, stop) FILTER (rank < 3) AS base,
+    string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, rank, stop) FILTER (rank < 4) AS spans,
+    string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, rank, stop) FILTER (rank = 4) AS copied
+  FROM spans GROUP BY row)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(copied, '') AS copied
+FROM docs d LEFT JOIN joined j ON d.row = j.row
+"""
