@@ -1,13 +1,14 @@
 """Deduplication and the incremental silver run."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
 from tidemark.operators import silver as silver_ops
 from tidemark.operators.bronze import bronze
 from tidemark.plans.paths import Paths
-from tidemark.plans.pipeline import backfill_bronze, promote
+from tidemark.plans.pipeline import backfill_bronze, not_promoted, promote
 from tidemark.sources.raw import from_text
 from tidemark.sources.state import RunState
 from tidemark.sources.tables import read_bronze, read_quarantine, read_silver, write_load
@@ -110,6 +111,46 @@ def test_future_event_does_not_move_the_checkpoint_past_today(spark, tmp_path):
     assert set(countries(spark, paths)) == {"0", "1"}
 
 
+def test_emptied_partitions_hold_no_rows(spark, tmp_path):
+    paths = Paths(str(tmp_path))
+    deliver(spark, paths, 0, [("0", "2024-01-09T10:00:00", "US", "a"), ("1", "2024-01-10T10:00:00", "US", "a")])
+    promote(spark, paths, today=TODAY)
+    deliver(spark, paths, 1, [("0", "2024-01-10T11:00:00", "CA", "b")], "2024-02-02 00:00:00")
+    promote(spark, paths, today=TODAY)
+    assert countries(spark, paths) == {"0": "CA", "1": "US"}
+    # The files hold the same rows for a reader that knows nothing of runs.
+    files = spark.read.parquet(paths.silver)
+    assert files.count() == 2 and {str(d) for (d,) in files.select("event_date").collect()} == {"2024-01-10"}
+
+
+def test_events_too_late_are_listed(spark, tmp_path):
+    paths = Paths(str(tmp_path))
+    deliver(spark, paths, 0, [("0", "2024-01-01T10:00:00", "US", "a"), ("1", "2024-01-10T10:00:00", "US", "a")])
+    promote(spark, paths, today=TODAY)
+    assert not_promoted(spark, paths).isEmpty()
+    late = [("0", "2024-01-01T10:00:00", "CA", None), ("2", "2024-01-02T10:00:00", "CA", "b"), ("3", "2024-01-09T10:00:00", "CA", "b")]
+    deliver(spark, paths, 1, late, "2024-02-02 00:00:00")
+    promote(spark, paths, today=TODAY)
+    assert sorted((r.event_id, r.country) for r in not_promoted(spark, paths).collect()) == [("0", "CA"), ("2", "CA")]
+    assert countries(spark, paths) == {"0": "US", "1": "US", "3": "CA"}
+
+
+def test_types_that_clients_make_up_share_a_folder(spark, tmp_path):
+    paths = Paths(str(tmp_path))
+    kinds = ["search", "", "a/b=c", *[f"made up {i}" for i in range(20)]]
+    rows = spark.createDataFrame([(str(i), k) for i, k in enumerate(kinds)], "event_id string, event_type string")
+    rows = rows.selectExpr("*", "'2024-01-10T10:00:00' AS event_ts", "1 AS user_id", "'US' AS country")
+    write_load(bronze(from_text(rows.select(F.to_json(F.struct("*")).alias("value")))), paths.bronze, 0)
+    promote(spark, paths, today=TODAY)
+    for folder in (f"{paths.bronze}/verdict=valid", paths.silver):
+        assert sorted(os.listdir(f"{folder}/event_date=2024-01-10")) == ["type_folder=other", "type_folder=search"]
+    assert sorted(r.event_type for r in read_silver(spark, paths.silver).collect()) == sorted(kinds)
+    assert [r.event_id for r in read_silver(spark, paths.silver, event_type="a/b=c").collect()] == ["2"]
+    searches = read_silver(spark, paths.silver, event_type="search")
+    assert [r.event_id for r in searches.collect()] == ["0"]
+    assert "type_folder" in searches._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+
+
 def test_no_bronze_leaves_the_checkpoint(spark, tmp_path):
     paths = Paths(str(tmp_path))
     assert promote(spark, paths, today=TODAY) is None

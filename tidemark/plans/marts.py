@@ -6,11 +6,13 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import marts
 from tidemark.operators.silver import type_tables
 from tidemark.plans.dimension import read_current_users, read_dimension
 from tidemark.plans.paths import Paths
+from tidemark.schemas import EVENT_TYPES, TYPE_TABLES
 from tidemark.sources.state import RunState
 from tidemark.sources.tables import read_silver, read_table, write_partitioned
 
@@ -58,8 +60,8 @@ def _empty_lost_dates(spark: SparkSession, paths: Paths, since: dt.date) -> None
 
     Only partition values come to the driver.
     """
-    silver = read_silver(spark, paths.silver, since)
-    filled = silver.select("event_date", "event_type").distinct().collect()
+    known = F.when(F.col("event_type").isin(EVENT_TYPES), F.col("event_type"))
+    filled = read_silver(spark, paths.silver, since).select("event_date", known).distinct().collect()
     for name, (_, schema, types) in MARTS.items():
         stored = read_mart(spark, paths, name, since)
         old = {row[0] for row in stored.select("event_date").distinct().collect()}
@@ -101,7 +103,10 @@ def register_views(spark: SparkSession, paths: Paths) -> list[str]:
         "stg_events": marts.stg_events(silver),
         "dim_user_scd": read_dimension(spark, paths),
         "dim_user_current": read_current_users(spark, paths),
-        **type_tables(silver),
+        **{
+            name: type_tables(read_silver(spark, paths.silver, event_type=kind))[name]
+            for name, (kind, _) in TYPE_TABLES.items()
+        },
         **{name: read_mart(spark, paths, name) for name in MARTS},
     }
     for name, view in views.items():

@@ -16,16 +16,15 @@ from tidemark.operators.checks import failing_rows, run_checks
 from tidemark.plans.dimension import read_current_users, update_dimension
 from tidemark.plans.marts import MARTS, read_mart, stage, update_marts
 from tidemark.plans.paths import Paths
-from tidemark.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
+from tidemark.schemas import BRONZE_SCHEMA
 from tidemark.sources.raw import read_raw, stream_raw
 from tidemark.sources.state import EPOCH, RunState
 from tidemark.sources.tables import (
-    SILVER_BY,
     read_bronze,
     read_silver,
     read_table,
     write_load,
-    write_partitioned,
+    write_silver,
 )
 from tidemark.streaming.jobs import land_events, load_bronze
 
@@ -54,11 +53,8 @@ def promote(
     before the window are not read and not touched.
 
     A window that holds what it held at the last run is left alone: nothing is written and
-    the dimension and the marts find nothing to do.
-
-    Every partition already in the window also gets a blank row (no event_id, dropped
-    by `read_silver`), so that one whose events were all corrected to other dates is
-    replaced too instead of keeping their old copies.
+    the dimension and the marts find nothing to do. A partition whose events were all corrected
+    to other dates is emptied.
     """
     state = RunState(spark, paths.state)
     checkpoint = state.get("silver_checkpoint", EPOCH)
@@ -72,12 +68,7 @@ def promote(
     seen = json.dumps([since.isoformat(), held["rows"], held["hash"]])
     if seen == state.get("silver_window"):
         return checkpoint
-    stored = read_table(spark, paths.silver, SILVER_SCHEMA, since)
-    old = stored.select(SILVER_BY).distinct().collect()
-    blanks = spark.createDataFrame(old, "event_date date, event_type string")
-
-    rows = silver_ops.silver(window).unionByName(blanks, allowMissingColumns=True)
-    write_partitioned(rows, paths.silver, SILVER_BY, "replace")
+    write_silver(silver_ops.silver(window), paths.silver, uuid.uuid4().hex, since)
     newest = read_silver(spark, paths.silver, since).agg(F.max("event_date")).first()[0]
     if newest is None:
         return None
@@ -90,6 +81,22 @@ def promote(
     return moved
 
 
+def not_promoted(spark: SparkSession, paths: Paths) -> DataFrame:
+    """The newest copy of every event that silver doesn't hold: it came too late for the
+    lookback window, or a correction moved it to a date before the window.
+
+    Reads both whole tables and joins them by event, so run it when the question comes up. An
+    event no promotion has seen yet is listed too.
+    """
+    newest = silver_ops.silver(read_bronze(spark, paths.bronze))
+    copy = ["event_id", "event_ts", "ingested_at", "ingested_processing_ts", "source_file"]
+    held = read_silver(spark, paths.silver).select(*[F.col(c).alias(f"held_{c}") for c in copy])
+    on = F.col("event_id") == F.col("held_event_id")
+    for c in copy[1:]:
+        on = on & F.col(c).eqNullSafe(F.col(f"held_{c}"))
+    return newest.join(held, on, "left_anti")
+
+
 def check_tables(
     spark: SparkSession, paths: Paths, since: dt.date | None = None
 ) -> dict[str, DataFrame]:

@@ -21,13 +21,14 @@ BRONZE_COLUMNS = [
 ]
 
 # How the bronze table reads back (partition columns last; `load` names the load it came with).
+# `type_folder` is the event type where it is a known one, so that clients can't make folders.
 BRONZE_SCHEMA = """
-    event_id string, event_ts string, user_id bigint, country string,
+    event_id string, event_type string, event_ts string, user_id bigint, country string,
     page string, query string, amount string, currency string,
     error_message string, severity string, ingested_at string, request_id string,
     payload variant, raw_text string, reason string,
     ingested_processing_ts timestamp_ntz, source_file string,
-    verdict string, event_date date, event_type string, load string
+    verdict string, event_date date, type_folder string, load string
 """
 
 SILVER_COLUMNS = [
@@ -36,11 +37,12 @@ SILVER_COLUMNS = [
     "ingested_processing_ts", "source_file",
 ]
 
+# `run` names the promotion that wrote a row.
 SILVER_SCHEMA = """
-    event_id string, event_ts timestamp_ntz, user_id bigint, country string,
+    event_id string, event_type string, event_ts timestamp_ntz, user_id bigint, country string,
     page string, query string, amount double, error_message string, ingested_at string,
-    ingested_processing_ts timestamp_ntz, source_file string,
-    event_date date, event_type string
+    ingested_processing_ts timestamp_ntz, source_file string, run string,
+    event_date date, type_folder string
 """
 
 STAGING_COLUMNS = [

@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 
-SILVER_BY = ["event_date", "event_type"]
+SILVER_BY = ["event_date", "type_folder"]
 BRONZE_BY = ["verdict", *SILVER_BY]
+OTHER_TYPES = "other"  # the folder that unknown event types share
 
 
 def dates_from(day: dt.date) -> str:
@@ -47,7 +48,7 @@ def read_table(
 def read_bronze(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
     """Accepted bronze events."""
     table = read_table(spark, path, schemas.BRONZE_SCHEMA, since, "/verdict=valid")
-    return table.drop("load", "verdict", "raw_text", "reason")
+    return table.drop("load", "verdict", "type_folder", "raw_text", "reason")
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
@@ -58,10 +59,19 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_silver(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
-    """Silver events without the blank rows of rewritten partitions."""
+def read_silver(
+    spark: SparkSession, path: str, since: dt.date | None = None, event_type: str | None = None
+) -> DataFrame:
+    """Silver events; of one type only its folders are read."""
     table = read_table(spark, path, schemas.SILVER_SCHEMA, since)
-    return table.filter(F.col("event_id").isNotNull()).select(schemas.SILVER_COLUMNS)
+    if event_type is not None:
+        table = table.filter((F.col("type_folder") == _folder_of(F.lit(event_type))) & (F.col("event_type") == event_type))
+    return table.select(schemas.SILVER_COLUMNS)
+
+
+def _folder_of(event_type: Column) -> Column:
+    """The type itself if it is a known one, else the shared folder; null stays null."""
+    return F.when(event_type.isin(schemas.EVENT_TYPES), event_type).when(event_type.isNotNull(), OTHER_TYPES)
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "append") -> None:
@@ -83,4 +93,23 @@ def write_load(bronze: DataFrame, path: str, load: object) -> None:
     `load` must be the load's own among all writers of the table: a stream's id and batch, or
     a new name for every backfill.
     """
-    write_partitioned(bronze.withColumn("load", F.lit(str(load))), path, [*BRONZE_BY, "load"], "replace")
+    rows = bronze.withColumns({"type_folder": _folder_of(F.col("event_type")), "load": F.lit(str(load))})
+    write_partitioned(rows, path, [*BRONZE_BY, "load"], "replace")
+
+
+def write_silver(silver: DataFrame, path: str, run: str, since: dt.date | None = None) -> None:
+    """Replace the stored partitions that `silver` has rows for, and empty the other ones of
+    the dates from `since` on: their events have moved or were taken back.
+
+    `run` must be new with every call; it tells fresh partitions from those left over. Only
+    the values of these, dates by known types, come to the driver. A reader that comes between the
+    two steps can see a moved event twice; a repeated run clears that up.
+    """
+    rows = silver.withColumns({"type_folder": _folder_of(F.col("event_type")), "run": F.lit(run)})
+    write_partitioned(rows, path, SILVER_BY, "replace")
+    stored = read_table(silver.sparkSession, path, schemas.SILVER_SCHEMA, since)
+    if since is not None:
+        stored = stored.filter(F.col("event_date") >= F.lit(since))
+    nothing = silver.sparkSession.createDataFrame([], schemas.SILVER_SCHEMA).drop(*SILVER_BY)
+    for day, kind in stored.filter(F.col("run") != run).select(SILVER_BY).distinct().collect():
+        nothing.write.mode("overwrite").parquet(f"{path}/event_date={day.isoformat()}/type_folder={kind}")

@@ -252,6 +252,10 @@ ORACLE_SQL = {
         name: f"WITH {APP_EVENTS} SELECT event_id, event_type, {_date('event_date')}, {_ts('ingested_at')} FROM app_events"
         for name in ("bronze_two_streams", "bronze_backfill_twice")
     },
+    "late_not_promoted": f"WITH {_two_runs(1)}, newest AS (SELECT * EXCLUDE (rn) FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingested_at DESC) AS rn FROM app_events) WHERE rn = 1) "
+    f"SELECT event_id, event_type, {_date('event_date')}, country, {_ts('ingested_at')} FROM newest n "
+    "WHERE NOT EXISTS (SELECT 1 FROM silver s WHERE s.event_id = n.event_id AND s.ingested_at = n.ingested_at)",
     "silver_idle_run": f"WITH {_two_runs(2)}" + SILVER_SELECT + " FROM silver",
     "silver_incremental_short_lookback": f"WITH {_two_runs(1)}" + SILVER_SELECT + " FROM silver",
     "silver_by_type": f"WITH {SILVER}"

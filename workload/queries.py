@@ -19,18 +19,18 @@ from tidemark.operators import checks, marts, scd
 from tidemark.operators import silver as silver_ops
 from tidemark.operators.ingest import ingestion_log
 from tidemark.operators.validate import extract_fields, validate
-from tidemark.plans.dimension import read_dimension, update_dimension
+from tidemark.plans.dimension import last_run, read_dimension, update_dimension
 from tidemark.plans.marts import MARTS, read_mart, update_marts
 from tidemark.plans.paths import Paths
-from tidemark.plans.pipeline import backfill_bronze, promote, run_pipeline
+from tidemark.plans.pipeline import backfill_bronze, not_promoted, promote, run_pipeline
 from tidemark.sources.raw import from_text, read_raw, stream_raw
 from tidemark.sources.scratch import scratch_dir
+from tidemark.sources.state import RunState
 from tidemark.sources.tables import (
-    SILVER_BY,
     read_bronze,
     read_silver,
     write_load,
-    write_partitioned,
+    write_silver,
 )
 from tidemark.streaming.jobs import land_events, load_bronze
 from workload import adapter
@@ -180,7 +180,7 @@ def silver_dedup_latest(spark, sf):
 
 def silver_events(spark, sf):
     paths = Paths(scratch_dir(spark, "lake"))
-    write_partitioned(_silver(spark, sf), paths.silver, SILVER_BY, "replace")
+    write_silver(_silver(spark, sf), paths.silver, "first")
     return as_text(_ingested(read_silver(spark, paths.silver)))
 
 
@@ -216,9 +216,15 @@ def silver_idle_run(spark, sf):
     return as_text(_ingested(read_silver(spark, paths.silver).select(SILVER_OUT)))
 
 
+def late_not_promoted(spark, sf):
+    """What came too late for the windows of two promotions with the short lookback."""
+    late = not_promoted(spark, _two_promotions(spark, sf, 1))
+    return as_text(_ingested(late.select("event_id", "event_type", "event_date", "country", "ingested_at")))
+
+
 def silver_by_type(spark, sf):
     paths = Paths(scratch_dir(spark, "lake"))
-    write_partitioned(_silver(spark, sf), paths.silver, SILVER_BY, "replace")
+    write_silver(_silver(spark, sf), paths.silver, "first")
     tables = silver_ops.type_tables(read_silver(spark, paths.silver))
     tagged = [t.withColumn("table_name", F.lit(name)) for name, t in tables.items()]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
@@ -226,12 +232,17 @@ def silver_by_type(spark, sf):
 
 
 def checkpoint_max_date(spark, sf):
-    newest = _silver(spark, sf).agg(F.max("event_date").alias("last_processed_event_date"))
-    return as_text(newest)
+    """The checkpoint that two promotions have saved."""
+    state = RunState(spark, _two_promotions(spark, sf, 2).state)
+    return spark.createDataFrame([(state.get("silver_checkpoint"),)], "last_processed_event_date string")
 
 
 def scd_watermark(spark, sf):
-    return as_text(_dim_events(spark, sf).agg(F.max("ingested_at").alias("watermark")))
+    """The ingestion watermark that the dimension has saved after two runs."""
+    paths = _two_promotions(spark, sf, 2, lambda paths: update_dimension(spark, paths))
+    saved = last_run(RunState(spark, paths.state))["watermark"]
+    row = spark.createDataFrame([(saved,)], "watermark string")
+    return as_text(row.select(utc_timestamp(F.col("watermark")).alias("watermark")))
 
 
 # --- staging and marts ------------------------------------------------------
@@ -481,7 +492,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         raw_json_scan, bronze_enrich, bronze_lookback_scan, bronze_two_streams, bronze_backfill_twice,
         silver_dedup_latest, silver_events, silver_incremental, silver_incremental_short_lookback,
-        silver_idle_run,
+        silver_idle_run, late_not_promoted,
         silver_by_type, checkpoint_max_date, scd_watermark,
         stg_events, mart_dau, mart_revenue, mart_event_mix, mart_funnel, mart_funnel_join,
         mart_incremental, preview_dau,
