@@ -241,6 +241,9 @@ def test_jaccard_join(spark):
     want = brute_components(rows)
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == want
+    assert all((r.part is None) == (r.n_shingles == 0) for r in got)
+    parts = {(r.part, r.component_id) for r in got if r.part is not None and r.component_id is not None}
+    assert len(parts) == len({p for p, _ in parts}) == len({c for _, c in parts})
     assert prefix_tree.jaccard_join(docs(spark, [])).count() == 0
 
 

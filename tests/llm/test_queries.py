@@ -99,3 +99,23 @@ def test_pipeline(spark, folder):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     again = corpus_pipeline.run(spark, folder).collect()
     assert Counter(again) == Counter(sharded)
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    """Rows that share an id are judged by their texts."""
+    a, b, c = prose(1, 90), prose(2, 90), prose(3, 90)
+    near = mutated(a, 4, 1)
+    rows = [
+        (5, a), (5, a), (5, near), (7, near),  # one group, its smallest id on three rows
+        (5, b), (6, b), (9, a),  # another text of that id; an id that is gone with one text ...
+        (9, c),  # ... and stays with another
+        (None, prose(4, 60)), (None, prose(5, 60)), (None, prose(4, 60)), (None, c),
+        (3, ""), (3, ""), (3, None), (None, None),
+    ]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, part string")
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    either = [t for t in (a, near) if (5, t) in got]
+    assert len(either) == 1
+    assert got == Counter([
+        (5, either[0]), (5, b), (9, c), (None, prose(4, 60)), (None, prose(5, 60)), (3, ""), (3, ""), (3, None), (None, None),
+    ])

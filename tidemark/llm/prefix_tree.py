@@ -287,9 +287,10 @@ def links(full: DataFrame) -> DataFrame:
 def jaccard_join(docs: DataFrame) -> DataFrame:
     """Component of every document under Jaccard similarity of 0.8 of its 5-word shingles.
 
-    Returns per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, the smallest
-    doc_id that links reach. A-Z compare in lower case; a text of fewer than 5 words is one
-    shingle; one without words, or null, has none and links with nothing.
+    Returns per row of `docs` (doc_id, text): doc_id, text_hash, n_shingles, part (a number for
+    the component; null without words), component_id, the smallest doc_id that links reach. A-Z
+    compare in lower case; a text of fewer than 5 words is one shingle; one without words, or
+    null, has none and links with nothing.
 
     Equal sets are one node from the start, known by a 64-bit hash of the set; shingles are 64-bit
     hashes too, so results are exact but for hash collisions. Sets without a possible
@@ -311,14 +312,15 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     least = grouped.groupBy(F.col("part").alias("p")).agg(F.min("least_id").alias("component_id"))
     named = store(
         grouped.join(least, F.col("part") == F.col("p")).select(
-            F.col("node").alias("of"), F.col("n").alias("of_n"), "component_id"
+            F.col("node").alias("of"), F.col("n").alias("of_n"), "part", "component_id"
         ),
         "named",
     )
     linked = sets.filter("n > 0").join(named, (F.col("node") == F.col("of")) & (F.col("n") == F.col("of_n"))).select(
-        "doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id"
+        "doc_id", "text_hash", F.col("n").cast("bigint").alias("n_shingles"), "part", "component_id"
     )
     empty = sets.filter("n = 0").select(
-        "doc_id", F.lit(0).cast("bigint").alias("n_shingles"), F.col("doc_id").alias("component_id")
+        "doc_id", "text_hash", F.lit(0).cast("bigint").alias("n_shingles"), F.lit(None).cast("bigint").alias("part"),
+        F.col("doc_id").alias("component_id"),
     )
     return linked.unionByName(empty)

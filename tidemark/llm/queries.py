@@ -58,7 +58,8 @@ def op4_histogram_sort(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_prefix_tree_join(spark: SparkSession, sf: str) -> DataFrame:
-    return prefix_tree.jaccard_join(table(spark, sf, "documents"))
+    joined = prefix_tree.jaccard_join(table(spark, sf, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id")
 
 
 def op6_weighted_sampling(spark: SparkSession, sf: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -127,7 +128,8 @@ def splitters(keyed: DataFrame, n: int, tolerance: float) -> tuple[np.ndarray, n
             chosen = np.array(chosen, dtype=object)
             return _keys(list(chosen)), np.array([known[k][1] for k in chosen], np.int64)
         # Known edges around open intervals are probed again, so that their keys stay apart.
-        edges = {keys[j] for low in wanted for j in (keys.index(low), keys.index(low) + 1) if j < len(keys)}
+        places = [bisect_left(keys, low) for low in wanted]
+        edges = {keys[j] for place in places for j in (place, place + 1) if j < len(keys)}
         probes = sorted(fresh | edges)
 
 
