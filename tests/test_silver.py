@@ -3,10 +3,12 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import silver as silver_ops
 from tidemark.operators.bronze import bronze
+from tidemark.plans.marts import read_mart, update_marts
 from tidemark.plans.paths import Paths
 from tidemark.plans.pipeline import backfill_bronze, not_promoted, promote
 from tidemark.sources.raw import from_text
@@ -95,6 +97,65 @@ def test_incremental_runs(spark, tmp_path):
     assert sorted(map(str, read_silver(spark, paths.silver).collect())) == before
 
 
+def written(folder):
+    return {f: os.stat(f"{d}/{f}").st_mtime_ns for d, _, files in os.walk(folder) for f in files if f.endswith(".parquet")}
+
+
+def test_a_run_rewrites_the_dates_of_new_loads_only(spark, tmp_path):
+    paths = Paths(str(tmp_path))
+    days = [f"2024-01-{d:02d}T10:00:00" for d in (7, 8, 9, 10)]
+    deliver(spark, paths, 0, [(f"{i}{k}", day, "US", day) for i, day in enumerate(days) for k in "ab"])
+    promote(spark, paths, lookback_days=3, today=TODAY)
+    day = {d: f"{paths.silver}/event_date=2024-01-{d:02d}" for d in (7, 8, 9, 10, 11)}
+    before = {d: written(day[d]) for d in (7, 8, 9, 10)}
+
+    # A new date: the ones before it stay as they are.
+    deliver(spark, paths, 1, [("new", "2024-01-11T10:00:00", "US", "b")], "2024-02-02 00:00:00")
+    promote(spark, paths, lookback_days=3, today=TODAY)
+    assert {d: written(day[d]) for d in before} == before and written(day[11])
+
+    # An event that moves touches the date it leaves and the one it goes to.
+    deliver(spark, paths, 2, [("1a", "2024-01-09T11:00:00", "CA", "c"), ("new", "2024-01-11T10:00:00", "GB", "a")],
+            "2024-02-03 00:00:00")
+    promote(spark, paths, lookback_days=3, today=TODAY)
+    assert {d: written(day[d]) == before[d] for d in before} == {7: True, 8: False, 9: False, 10: True}
+    found = {(r.event_id, r.country, r.event_date.day) for r in read_silver(spark, paths.silver).collect()}
+    assert found == {
+        *((f"{i}{k}", "US", 7 + i) for i in range(4) for k in "ab" if (i, k) != (1, "a")), ("1a", "CA", 9), ("new", "GB", 11)
+    }
+    assert read_silver(spark, paths.silver).count() == 9
+
+
+def test_a_run_that_failed_is_repeated_whole(spark, tmp_path, monkeypatch):
+    paths = Paths(str(tmp_path))
+    deliver(spark, paths, 0, [("0", "2024-01-09T10:00:00", "US", "a"), ("1", "2024-01-10T10:00:00", "US", "a")])
+    promote(spark, paths, today=TODAY)
+    update_marts(spark, paths)
+    deliver(spark, paths, 1, [("0", "2024-01-10T11:00:00", "CA", "b")], "2024-02-02 00:00:00")
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(RunState, "put", lost)
+        with pytest.raises(OSError):
+            promote(spark, paths, today=TODAY)
+    promote(spark, paths, today=TODAY)
+    update_marts(spark, paths)
+    assert countries(spark, paths) == {"0": "CA", "1": "US"}
+    counts = {(str(r.event_date), r.event_count) for r in read_mart(spark, paths, "mart_event_mix").collect()}
+    assert counts == {("2024-01-10", 2)}
+
+
+def test_a_load_that_changed_rebuilds_the_window(spark, tmp_path):
+    paths = Paths(str(tmp_path))
+    deliver(spark, paths, 0, [("0", "2024-01-10T10:00:00", "US", "a"), ("1", "2024-01-10T10:00:00", "US", "a")])
+    promote(spark, paths, today=TODAY)
+    deliver(spark, paths, 0, [("0", "2024-01-10T10:00:00", "CA", "b")], "2024-02-02 00:00:00")
+    promote(spark, paths, today=TODAY)
+    assert countries(spark, paths) == {"0": "CA"}
+
+
 def test_wider_lookback_reaches_further(spark, tmp_path):
     paths = Paths(str(tmp_path))
     deliver(spark, paths, 0, [("0", "2024-01-01T10:00:00", "US", "a"), ("1", "2024-01-10T10:00:00", "US", "a")])

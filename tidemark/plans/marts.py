@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,9 +40,13 @@ def stage(spark: SparkSession, paths: Paths, since: dt.date | None = None) -> Da
     return marts.stg_events(read_silver(spark, paths.silver, since))
 
 
-def write_marts(spark: SparkSession, paths: Paths, since: dt.date | None = None) -> None:
-    """Write all marts: in full, or only the dates from `since` on."""
+def write_marts(
+    spark: SparkSession, paths: Paths, since: dt.date | None = None, dates: list[dt.date] | None = None
+) -> None:
+    """Write all marts: in full, only the dates from `since` on, or of these the given `dates`."""
     stg = stage(spark, paths, since)
+    if dates is not None:
+        stg = stg.filter(F.col("event_date").isin(dates))
     mode = "overwrite" if since is None else "replace"
 
     def write(name: str) -> None:
@@ -52,19 +57,22 @@ def write_marts(spark: SparkSession, paths: Paths, since: dt.date | None = None)
     with ThreadPoolExecutor(len(MARTS)) as pool:
         list(pool.map(write, MARTS))
     if since is not None:
-        _empty_lost_dates(spark, paths, since)
+        _empty_lost_dates(spark, paths, since, dates)
 
 
-def _empty_lost_dates(spark: SparkSession, paths: Paths, since: dt.date) -> None:
+def _empty_lost_dates(
+    spark: SparkSession, paths: Paths, since: dt.date, dates: list[dt.date] | None
+) -> None:
     """Empty the stored dates that no longer have events; replacing partitions keeps them.
 
     Only partition values come to the driver.
     """
     known = F.when(F.col("event_type").isin(EVENT_TYPES), F.col("event_type"))
-    filled = read_silver(spark, paths.silver, since).select("event_date", known).distinct().collect()
+    looked_at = F.lit(True) if dates is None else F.col("event_date").isin(dates)
+    filled = read_silver(spark, paths.silver, since).filter(looked_at).select("event_date", known).distinct().collect()
     for name, (_, schema, types) in MARTS.items():
         stored = read_mart(spark, paths, name, since)
-        old = {row[0] for row in stored.select("event_date").distinct().collect()}
+        old = {row[0] for row in stored.filter(looked_at).select("event_date").distinct().collect()}
         lost = old - {day for day, kind in filled if types is None or kind in types}
         for day in lost:
             nothing = spark.createDataFrame([], schema).drop("event_date")
@@ -72,7 +80,11 @@ def _empty_lost_dates(spark: SparkSession, paths: Paths, since: dt.date) -> None
 
 
 def update_marts(spark: SparkSession, paths: Paths, lookback_days: int = 2) -> None:
-    """Recompute the dates silver may have rewritten since the marts were last written."""
+    """Recompute the dates silver has rewritten since the marts were last written.
+
+    Silver's runs say which dates these are; where one rebuilt its whole window, or is no longer
+    remembered, all dates of the lookback window are recomputed.
+    """
     state = RunState(spark, paths.state)
     run = state.get("silver_run")
     if run is not None and run == state.get("marts_run"):
@@ -80,13 +92,28 @@ def update_marts(spark: SparkSession, paths: Paths, lookback_days: int = 2) -> N
     reached = state.get("silver_checkpoint")
     last = state.get("marts_checkpoint")
     since = dt.date.fromisoformat(last) - dt.timedelta(days=lookback_days) if last else None
-    write_marts(spark, paths, since)
+    dates = _changed_dates(state, run) if last else None
+    if dates:
+        since = min(dates)
+    write_marts(spark, paths, since, dates)
     if reached:
         state.put("marts_checkpoint", reached)
     if run is not None:
         state.put("marts_run", run)
 
 
+def _changed_dates(state: RunState, run: str | None) -> list[dt.date] | None:
+    """Dates that silver has rewritten since the marts' last run; None if that isn't known."""
+    before = state.get("marts_run")
+    if run is None or before is None:
+        return None
+    changes = {c["run"]: c["dates"] for c in json.loads(state.get("silver_changes", "[]"))}
+    found = [changes.get(i) for i in range(int(before) + 1, int(run) + 1)]
+    if None in found:
+        return None
+    return sorted({dt.date.fromisoformat(d) for dates in found for d in dates})
+
+
 def read_mart(
     spark: SparkSession, paths: Paths, name: str, since: dt.date | None = None
 ) -> DataFrame:

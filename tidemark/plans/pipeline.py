@@ -18,6 +18,7 @@ from tidemark.plans.marts import MARTS, read_mart, stage, update_marts
 from tidemark.plans.paths import Paths
 from tidemark.schemas import BRONZE_SCHEMA
 from tidemark.sources.raw import read_raw, stream_raw
+from tidemark.sources.scratch import scratch_dir
 from tidemark.sources.state import EPOCH, RunState
 from tidemark.sources.tables import (
     read_bronze,
@@ -29,6 +30,7 @@ from tidemark.sources.tables import (
 from tidemark.streaming.jobs import land_events, load_bronze
 
 LOOKBACK_DAYS = 2
+CHANGES_KEPT = 100  # runs whose dates are remembered for the marts; further back they use the window
 
 
 def backfill_bronze(spark: SparkSession, paths: Paths, modified_after: str | None = None) -> None:
@@ -47,40 +49,84 @@ def promote(
     lookback_days: int = LOOKBACK_DAYS,
     today: dt.date | None = None,
 ) -> str | None:
-    """Rebuild the silver partitions inside the lookback window from bronze.
+    """Bring the silver partitions inside the lookback window up to date with bronze.
 
     Returns the new checkpoint, or None when the window holds no rows. Partitions
     before the window are not read and not touched.
 
-    A window that holds what it held at the last run is left alone: nothing is written and
-    the dimension and the marts find nothing to do. A partition whose events were all corrected
-    to other dates is emptied.
+    What the window holds is known per date and load. Loads that are new since the last run
+    touch only the dates of their events and of those events' other copies; the rest of the window
+    is left alone. If a load known before has changed, or the window reaches further back than
+    before, the whole window is rebuilt. Without any change nothing is written, and the
+    dimension and the marts find nothing to do.
     """
     state = RunState(spark, paths.state)
     checkpoint = state.get("silver_checkpoint", EPOCH)
     since = dt.date.fromisoformat(checkpoint) - dt.timedelta(days=lookback_days)
-    bronze = read_bronze(spark, paths.bronze, since)
+    bronze = read_bronze(spark, paths.bronze, since, with_load=True)
     window = bronze_ops.lookback(bronze, checkpoint, lookback_days)
-    held = window.agg(
-        F.count("*").alias("rows"),
-        F.bit_xor(F.xxhash64("event_id", "source_file", "ingested_at", "ingested_processing_ts")).alias("hash"),
-    ).first()
-    seen = json.dumps([since.isoformat(), held["rows"], held["hash"]])
-    if seen == state.get("silver_window"):
-        return checkpoint
-    write_silver(silver_ops.silver(window), paths.silver, uuid.uuid4().hex, since)
+    held = _held(window)
+    seen = json.loads(state.get("silver_window", "null"))
+    run = int(state.get("silver_run", "0")) + 1
+    known = {k: v for k, v in seen["held"].items() if k >= since.isoformat()} if seen else {}
+    if seen and since.isoformat() >= seen["since"] and known.items() <= held.items():
+        if known == held:
+            return checkpoint
+        loads = sorted({k.split("/", 1)[1] for k in held.keys() - known.keys()})
+        dates = _promote_loads(spark, paths, window, loads, since)
+    else:
+        write_silver(silver_ops.silver(window.drop("load")), paths.silver, uuid.uuid4().hex, since)
+        dates = None
     newest = read_silver(spark, paths.silver, since).agg(F.max("event_date")).first()[0]
     if newest is None:
         return None
     # An event dated in the future must not push on-time events out of the window.
     limit = today or dt.datetime.now(dt.timezone.utc).date()
     moved = max(checkpoint, min(newest, limit).isoformat())
-    state.put("silver_run", int(state.get("silver_run", "0")) + 1)
+    changes = json.loads(state.get("silver_changes", "[]"))
+    changes.append({"run": run, "dates": dates and [d.isoformat() for d in dates]})
+    state.put("silver_changes", json.dumps(changes[-CHANGES_KEPT:]))
+    state.put("silver_run", run)
     state.put("silver_checkpoint", moved)
-    state.put("silver_window", seen)
+    # Later runs look back from the new checkpoint, or further if the lookback grows.
+    later = (dt.date.fromisoformat(moved) - dt.timedelta(days=lookback_days)).isoformat()
+    kept = {k: v for k, v in held.items() if k >= later}
+    state.put("silver_window", json.dumps({"since": later, "held": kept}))
     return moved
 
 
+def _held(window: DataFrame) -> dict[str, list[int]]:
+    """Rows and a hash of them per date and load, as "date/load": as many as bronze has folders
+    for the window."""
+    parts = window.groupBy("event_date", "load").agg(
+        F.count("*").alias("rows"),
+        F.bit_xor(F.xxhash64("event_id", "source_file", "ingested_at", "ingested_processing_ts")).alias("hash"),
+    )
+    return {f"{r['event_date'].isoformat()}/{r['load']}": [r["rows"], r["hash"]] for r in parts.collect()}
+
+
+def _promote_loads(
+    spark: SparkSession, paths: Paths, window: DataFrame, loads: list[str], since: dt.date
+) -> list[dt.date]:
+    """Take the events of some loads into silver; returns the dates it has rewritten.
+
+    The newest copy of each such event is chosen among all its copies in the window. The dates
+    of all these copies are rewritten, with their other events as they stand; that bronze alone
+    names the dates makes a run that failed half-way name them all again.
+    """
+    fresh = window.filter(F.col("load").isin(loads)).select("event_id").distinct()
+    copies = window.drop("load").join(fresh, "event_id", "left_semi")
+    path = scratch_dir(spark, "newest")
+    silver_ops.silver(copies).write.parquet(path)
+    newest = spark.read.parquet(path)
+    stored = read_silver(spark, paths.silver, since).filter(F.col("event_date") >= F.lit(since))
+    ids = newest.select("event_id")
+    dates = sorted(r[0] for r in copies.select("event_date").distinct().collect())
+    others = stored.filter(F.col("event_date").isin(dates)).join(ids, "event_id", "left_anti")
+    write_silver(others.unionByName(newest), paths.silver, uuid.uuid4().hex, since, dates)
+    return dates
+
+
 def not_promoted(spark: SparkSession, paths: Paths) -> DataFrame:
     """The newest copy of every event that silver doesn't hold: it came too late for the
     lookback window, or a correction moved it to a date before the window.

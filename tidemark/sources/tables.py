@@ -45,10 +45,13 @@ def read_table(
         return spark.createDataFrame([], schema)
 
 
-def read_bronze(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
-    """Accepted bronze events."""
+def read_bronze(
+    spark: SparkSession, path: str, since: dt.date | None = None, with_load: bool = False
+) -> DataFrame:
+    """Accepted bronze events; `with_load` adds the name of the load that each came with."""
     table = read_table(spark, path, schemas.BRONZE_SCHEMA, since, "/verdict=valid")
-    return table.drop("load", "verdict", "type_folder", "raw_text", "reason")
+    hidden = ["verdict", "type_folder", "raw_text", "reason"]
+    return table.drop(*hidden) if with_load else table.drop(*hidden, "load")
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
@@ -97,9 +100,12 @@ def write_load(bronze: DataFrame, path: str, load: object) -> None:
     write_partitioned(rows, path, [*BRONZE_BY, "load"], "replace")
 
 
-def write_silver(silver: DataFrame, path: str, run: str, since: dt.date | None = None) -> None:
+def write_silver(
+    silver: DataFrame, path: str, run: str, since: dt.date | None = None, dates: list[dt.date] | None = None
+) -> None:
     """Replace the stored partitions that `silver` has rows for, and empty the other ones of
-    the dates from `since` on: their events have moved or were taken back.
+    the dates from `since` on (of these the given `dates`): their events have moved or were
+    taken back.
 
     `run` must be new with every call; it tells fresh partitions from those left over. Only
     the values of these, dates by known types, come to the driver. A reader that comes between the
@@ -110,6 +116,8 @@ def write_silver(silver: DataFrame, path: str, run: str, since: dt.date | None =
     stored = read_table(silver.sparkSession, path, schemas.SILVER_SCHEMA, since)
     if since is not None:
         stored = stored.filter(F.col("event_date") >= F.lit(since))
+    if dates is not None:
+        stored = stored.filter(F.col("event_date").isin(dates))
     nothing = silver.sparkSession.createDataFrame([], schemas.SILVER_SCHEMA).drop(*SILVER_BY)
     for day, kind in stored.filter(F.col("run") != run).select(SILVER_BY).distinct().collect():
         nothing.write.mode("overwrite").parquet(f"{path}/event_date={day.isoformat()}/type_folder={kind}")
