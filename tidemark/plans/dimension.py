@@ -4,7 +4,8 @@ Each run writes one version folder split in two: `settled` rows ended before the
 lookback window and can never change again, so later runs neither read nor rewrite
 them; the rest is the live part and is written anew. A reader takes the settled part
 of all folders since the last complete one (the base) and the live part of the last.
-Now and then a run writes a complete folder, and the ones before it are no longer used.
+Now and then a run writes a complete folder, and the ones before it are no longer used; they
+stay for readers under way until the next complete one.
 
 The version counts only once its number is saved, so a run that dies half-way is
 simply repeated into the same folder.
@@ -27,19 +28,20 @@ from tidemark.operators.scd import (
     replay,
 )
 from tidemark.plans.paths import Paths
+from tidemark.sources.scratch import remove_folder
 from tidemark.sources.state import EPOCH, RunState
-from tidemark.sources.tables import read_silver
+from tidemark.sources.tables import read_silver, write_partitioned
 
 _STORED = schemas.DIM_SCHEMA + ", version int, settled boolean"
 _FIRST = json.dumps(
-    {"version": 0, "base": 1, "checkpoint": EPOCH, "watermark": EPOCH, "settled_before": EPOCH, "silver_run": None}
+    {"version": 0, "base": 1, "kept_from": 1, "checkpoint": EPOCH, "watermark": EPOCH, "settled_before": EPOCH, "silver_run": None}
 )
 COMPLETE_EVERY = 100  # versions
 
 
 def last_run(state: RunState) -> dict:
-    """What the last completed run saved: version and base, the silver checkpoint and run it
-    saw, the ingestion watermark, and the date before which rows count as settled."""
+    """What the last completed run saved: version and base, the first version still stored, the
+    silver checkpoint and run it saw, the ingestion watermark, and the date before which rows count as settled."""
     return json.loads(state.get("dim_user", _FIRST))
 
 
@@ -111,13 +113,19 @@ def update_dimension(
     if reopened or version - base >= complete_every:
         updated, base = updated.unionByName(settled), version
     ended = F.coalesce(F.col("effective_end") < since, F.lit(False))
-    updated.withColumn("settled", ended).write.mode("overwrite").partitionBy("settled").parquet(
-        f"{paths.dimension}/version={version}"
+    write_partitioned(
+        updated.withColumn("settled", ended), f"{paths.dimension}/version={version}", ["settled"], "overwrite"
     )
+    kept_from = last.get("kept_from", 1)
+    if base != last["base"]:
+        for unused in range(kept_from, last["base"]):
+            remove_folder(spark, f"{paths.dimension}/version={unused}")
+        kept_from = last["base"]
     # One value, so that version, checkpoint and watermark move together.
     run = {
         "version": version,
         "base": base,
+        "kept_from": kept_from,
         "checkpoint": reached,
         "watermark": watermark,
         "settled_before": since_date.isoformat(),

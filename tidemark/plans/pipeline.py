@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import bronze as bronze_ops
 from tidemark.operators import silver as silver_ops
 from tidemark.operators.checks import failing_rows, run_checks
+from tidemark.plans.compaction import compact_bronze
 from tidemark.plans.dimension import read_current_users, update_dimension
 from tidemark.plans.marts import MARTS, read_mart, stage, update_marts
 from tidemark.plans.paths import Paths
@@ -30,6 +31,7 @@ from tidemark.sources.tables import (
 from tidemark.streaming.jobs import land_events, load_bronze
 
 LOOKBACK_DAYS = 2
+COMPACT_DAYS = 30  # closed dates that a run looks at; `compact_bronze` by itself takes all
 CHANGES_KEPT = 100  # runs whose dates are remembered for the marts; further back they use the window
 
 
@@ -179,6 +181,9 @@ def run_pipeline(
     if promote(spark, paths, lookback_days, today) is not None:
         update_dimension(spark, paths, lookback_days)
         update_marts(spark, paths, lookback_days)
+        reached = RunState(spark, paths.state).get("silver_checkpoint")
+        closed = dt.date.fromisoformat(reached) - dt.timedelta(days=lookback_days)
+        compact_bronze(spark, paths, closed, closed - dt.timedelta(days=COMPACT_DAYS))
     return store_checks(spark, paths, check_since)
 
 
