@@ -455,6 +455,25 @@ def test_perplexity_bands(spark):
     assert got[900].log_perplexity > got[900].upper and got[901].log_perplexity < got[901].lower
 
 
+def test_perplexity_bands_follow_quartiles(spark):
+    """Strewn symbols lie below, lists above the band of a large language; a foreign passage is spared."""
+    r = random.Random(3)
+    german = ["".join(r.choices("qzxjkvbgfuyp", k=r.randint(3, 8))) for _ in range(400)]
+    other = lambda seed, n: " ".join(random.Random(seed).choices(german, k=n))
+    rows = [(i, prose(i, 80 + i % 50), "en", "s") for i in range(600)]
+    rows += [(1000 + i, other(i, 80 + i % 50), "de", "s") for i in range(100)]
+    strewn = [" ".join(f"{w}{c * 3}" for w, c in zip(prose(700 + i, 90).split(), "#*$%&|" * 15)) for i in range(5)]
+    listed = [" | ".join(prose(800 + i, 90).split()) for i in range(5)]
+    foreign = f"{prose(900, 200)} {other(500, 80)} {prose(950, 50)}"
+    rows += [(2000 + i, t, "en", "s") for i, t in enumerate(strewn + listed)]
+    rows += [(3000, foreign, "en", "s")] * 2
+    got = quality.judge(docs(spark, rows)).collect()
+    assert len(got) == len(rows)
+    assert sorted(x.doc_id for x in got if not x.kept) == list(range(2000, 2010))
+    spared = [x for x in got if x.doc_id >= 3000]
+    assert all(x.log_perplexity > x.upper >= x.fitted for x in spared)
+
+
 def test_kneser_ney_sums_to_one():
     import numpy as np
 

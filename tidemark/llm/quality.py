@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import store
+from tidemark.llm.common import broadcast_if_small, store
 
 ORDER = 4
 CLASSES = 32  # so a language's model has at most 32^4 n-grams, whatever its texts
@@ -19,6 +19,9 @@ CLASSES = 32  # so a language's model has at most 32^4 n-grams, whatever its tex
 PASS_NGRAMS = 8_000_000
 BIN = 1e-3  # nats; width of the bins that give the quartiles
 WINDOW = 8
+PIECE = 16  # characters that get one language where a document is fitted to several
+#: Documents that speak for a language before passages in other documents are fitted to it.
+LEAST_DOCS = 20
 
 _SPACE = b" \t\n\x0b\x0c\r"
 _CONTINUATION = bytes(range(0x80, 0xC0))
@@ -151,8 +154,8 @@ def estimate(hashes: np.ndarray, counts: np.ndarray) -> Model:
     return model
 
 
-def log_perplexity(found: np.ndarray, model: Model) -> float:
-    """Mean negative log probability of the characters, in nats."""
+def log_probabilities(found: np.ndarray, model: Model) -> np.ndarray:
+    """Log probability of every character, in nats."""
     logp = np.zeros(len(found))
     left = np.arange(len(found))  # characters whose n-gram wasn't found at a higher order
     for order in range(ORDER, 0, -1):
@@ -167,7 +170,17 @@ def log_perplexity(found: np.ndarray, model: Model) -> float:
         before = grams[~hit] // np.uint32(CLASSES)
         at = np.minimum(np.searchsorted(contexts, before), len(contexts) - 1)
         logp[left] += np.where(contexts[at] == before, weights[at], 0.0)
-    return -float(logp.mean())
+    return logp
+
+
+def log_perplexity(found: np.ndarray, model: Model) -> float:
+    """Mean negative log probability of the characters, in nats."""
+    return -float(log_probabilities(found, model).mean())
+
+
+def piece_costs(found: np.ndarray, model: Model) -> np.ndarray:
+    """Negative log probability of each piece of `PIECE` characters, in nats."""
+    return -np.add.reduceat(log_probabilities(found, model), np.arange(0, len(found), PIECE))
 
 
 # --- documents ----------------------------------------------------------------
@@ -246,25 +259,71 @@ def _models(counts: DataFrame, langs: list[str]) -> dict[str, list]:
     return models
 
 
-def bands(scored: DataFrame, width: float, slack: tuple[float, float]) -> DataFrame:
-    """lang, lower, upper: quartiles of the log perplexity, moved out by `width` times their
-    distance and at least `slack`. Exact over fine bins, whose counts each task adds up before
-    the shuffle, so reruns agree and no language's rows meet."""
+def bands(scored: DataFrame, width: float, floor: float) -> DataFrame:
+    """lang, lower, upper, middle, n: quartiles of the log perplexity, moved out by `width` times
+    their distance. A language of n documents moves them by `floor` / sqrt(n) at least, as far as
+    chance may move the quartiles of so few. Exact over fine bins, whose counts each task adds up
+    before the shuffle, so reruns agree and no language's rows meet."""
     bins = (F.round(F.col("log_perplexity") / BIN) * BIN).alias("bin")
-    quartile = [F.percentile("bin", q).alias(n) for q, n in ((0.25, "q1"), (0.75, "q3"))]
-    down, up = (F.greatest((F.col("q3") - F.col("q1")) * width, F.lit(x)) for x in slack)
-    return scored.select("lang", bins).groupBy(F.col("lang").alias("band")).agg(*quartile).select(
-        "band", (F.col("q1") - down).alias("lower"), (F.col("q3") + up).alias("upper")
+    quartile = [F.percentile("bin", q).alias(name) for q, name in ((0.25, "q1"), (0.75, "q3"))]
+    out = F.greatest((F.col("q3") - F.col("q1")) * width, F.lit(floor) / F.sqrt("n"))
+    return (
+        scored.select("lang", bins).groupBy(F.col("lang").alias("band")).agg(*quartile, F.count("*").alias("n"))
+        .select(
+            "band", (F.col("q1") - out).alias("lower"), (F.col("q3") + out).alias("upper"),
+            ((F.col("q1") + F.col("q3")) / 2).alias("middle"), "n",
+        )
     )
 
 
-def judge(docs: DataFrame, width: float = 3.0, slack: tuple[float, float] = (0.15, 0.35)) -> DataFrame:
+def fit(above: DataFrame, counts: DataFrame, passes: list[list[str]], speak: dict[str, tuple]) -> DataFrame:
+    """text_hash, lang and `fitted`: the log perplexity with every piece of a document under the
+    language that fits it and its neighbours best, as far from its own language's middle as the
+    pieces are from the middles of theirs. `above` has a row per text and language, `speak` the
+    middle and the number of documents per language.
+
+    Each pass holds the models of its languages, is stored, and frees them before the next one.
+    """
+    kind = "text_hash long, lang string, text string, best array<double>, moved array<double>"
+    empty = F.array().cast("array<double>")
+    so_far = above.select("text_hash", "lang", "text", empty.alias("best"), empty.alias("moved"))
+    for langs in passes:
+        shared = above.sparkSession.sparkContext.broadcast(_models(counts, [x for x in langs if x in speak]))
+
+        def rows(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                best, moved = [], []
+                for text, own, b, m in batch[["text", "lang", "best", "moved"]].itertuples(index=False):
+                    found = classes(text)
+                    length = np.diff([*range(0, len(found), PIECE), len(found)])
+                    b, m = (np.array(x) if len(x) else np.full(len(length), np.inf) for x in (b, m))
+                    for lang, model in shared.value.items():
+                        if lang != own and speak[lang][1] < LEAST_DOCS:
+                            continue
+                        cost = piece_costs(found, model)
+                        around = np.convolve(cost, np.ones(3))[1:-1]
+                        better = around < b
+                        b = np.where(better, around, b)
+                        m = np.where(better, cost + length * (speak[own][0] - speak[lang][0]), m)
+                    best.append(b)
+                    moved.append(m)
+                yield batch.assign(best=best, moved=moved)
+
+        so_far = store(so_far.mapInPandas(rows, kind), "fitted")
+        shared.destroy()
+    total = F.aggregate("moved", F.lit(0.0), lambda x, y: x + y)
+    return so_far.select("text_hash", "lang", (total / F.length("text")).alias("fitted"))
+
+
+def judge(docs: DataFrame, width: float = 3.0, floor: float = 0.5) -> DataFrame:
     """Counts, base rules and perplexity band of every document; one row per row of `docs`.
 
     `docs` has doc_id, text, lang. base_failed: fewer than 20 words, or over 30 % of them in
     8-word windows that stand twice or more. kept: base rules hold and the log perplexity per
-    character lies in its language's band. The band reaches further up than down, as a passage in
-    another language raises perplexity and is no fault, while strewn symbols lower it.
+    character lies in its language's band (see `bands`). A passage in another language raises
+    perplexity and is no fault: a document above the band is judged by `fitted` (see `fit`),
+    for which each piece is scored under the language that fits it best, out of those with
+    `LEAST_DOCS` documents and the document's own.
 
     The model is modified Kneser-Ney of order 4 over 32 character classes, per language,
     counted by Spark over all documents. Over words it would grow with the vocabulary and
@@ -294,8 +353,22 @@ def judge(docs: DataFrame, width: float = 3.0, slack: tuple[float, float] = (0.1
     few = F.col("n_words") < 20
     repeats = F.col("n_repeat_words") * 100 > F.col("n_words") * 30
     measured = store(measured.withColumn("base_failed", few | repeats), "measured")
-    edges = bands(measured.filter(~F.col("base_failed") & F.col("log_perplexity").isNotNull()), width, slack)
-    inside = F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
-    return measured.join(store(edges, "bands"), F.col("lang") == F.col("band"), "left").withColumn(
-        "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))
-    ).drop("band")
+    scored = measured.filter(~F.col("base_failed") & F.col("log_perplexity").isNotNull())
+    edges = store(bands(scored, width, floor), "bands")
+    key = ["text_hash", "lang"]
+    high = store(
+        scored.join(edges, F.col("lang") == F.col("band")).filter(F.col("log_perplexity") > F.col("upper"))
+        .select(*[F.col(k).alias(f"high_{k}") for k in key]).distinct(),
+        "high",
+    )
+    on = (F.col("text_hash") == F.col("high_text_hash")) & (F.col("lang") == F.col("high_lang"))
+    above = docs.join(broadcast_if_small(high), on, "left_semi").dropDuplicates(key)
+    speak = {r["band"]: (r["middle"], r["n"]) for r in edges.collect()}  # a row per language
+    fitted = fit(above, counts, passes, speak)
+    fitted = fitted.select(*[F.col(k).alias(f"high_{k}") for k in key], "fitted")
+    inside = F.coalesce("fitted", "log_perplexity").between(F.col("lower"), F.col("upper"))
+    return (
+        measured.join(edges.drop("middle", "n"), F.col("lang") == F.col("band"), "left").drop("band")
+        .join(broadcast_if_small(fitted), on, "left").drop(*[f"high_{k}" for k in key])
+        .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
+    )
