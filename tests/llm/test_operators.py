@@ -177,6 +177,20 @@ def test_containment(spark):
     assert decontaminate.contained(docs(spark, rows), table.limit(0)).count() == 0
 
 
+def test_containment_of_several_texts_of_an_item(spark):
+    """Texts that share an id, or have none, are found each by itself."""
+    items = [(None, prose(710, 24)), (None, prose(711, 24)), (1, prose(712, 30)), (1, prose(713, 16)), (2, prose(714, 20))]
+    table = spark.createDataFrame([*items, items[0]], "item_id long, text string")
+    whole = [f"{prose(720 + k, 50)} {text} {prose(730 + k, 50)}" for k, (_, text) in enumerate(items)]
+    rows = [*enumerate(whole), (5, f"{items[2][1]} {items[3][1]}"), (6, prose(740, 100))]
+    rows += [(7, f"{prose(741, 30)} {mutated(items[2][1], 1, 1)} {items[3][1]}")]
+    got = decontaminate.contained(docs(spark, [(d, t, "en", "s") for d, t in rows]), table).collect()
+    want = {(0, None, 20, 20), (1, None, 20, 20), (2, 1, 26, 26), (3, 1, 12, 12), (4, 2, 16, 16), (5, 1, 26, 26), (7, 1, 12, 12)}
+    assert tally((r.doc_id, r.item_id, r.n_found, r.n_item) for r in got) == Counter(want)
+    kept = decontaminate.decontaminate(docs(spark, [(d, t, "en", "s") for d, t in rows]), table)
+    assert [r.doc_id for r in kept.collect()] == [6]
+
+
 # --- 4 sharding -----------------------------------------------------------------
 
 

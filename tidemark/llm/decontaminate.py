@@ -73,9 +73,13 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> Data
 
     Letters compare in lower case. Items without words match nothing, and so do null texts;
     an item of fewer than 5 words is one shingle and matches only a text of these words.
-    Repeated items are one item; repeated rows give one row; empty tables give none.
+    Each text of an item_id, null too, is an item of its own; of several found in a document
+    the one of the highest containment is reported, of these the largest. Repeated items are
+    one item; repeated rows give one row; empty tables give none.
     """
-    items = items.select(F.col("item_id").alias("item"), words(F.col("text")).alias("tokens"))
+    items = items.select(
+        F.struct("item_id", F.xxhash64("text").alias("item_hash")).alias("item"), words(F.col("text")).alias("tokens")
+    )
     signed = store(signatures(items, threshold), "signatures")
     # An item needs ceil(threshold * n) shingles; in its class at least that of the smallest size.
     signed = signed.dropDuplicates(["item", "hash"]).withColumn(
@@ -107,12 +111,13 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> Data
     both = suspects.join(sized, same(F.col("doc_id"), F.col("pd")) & same(F.col("text_hash"), F.col("ph")))
     n_found = F.size(F.array_intersect("doc_set", "item_set"))
     return (
-        both.select("doc_id", "text_hash", F.col("item").alias("item_id"), n_found.cast("bigint").alias("n_found"),
+        both.select("doc_id", "text_hash", F.col("item.item_id").alias("item_id"), n_found.cast("bigint").alias("n_found"),
                     F.size("item_set").cast("bigint").alias("n_item"))
         .filter(F.col("n_found") >= F.col("n_item") * threshold - 1e-9)
-        .groupBy("doc_id", "text_hash", "item_id")
-        .agg(F.max("n_found").alias("n_found"), F.max("n_item").alias("n_item"))
         .withColumn("containment", F.col("n_found") / F.col("n_item"))
+        .groupBy("doc_id", "text_hash", "item_id")
+        .agg(F.max(F.struct("containment", "n_item", "n_found")).alias("best"))
+        .select("doc_id", "text_hash", "item_id", "best.n_found", "best.n_item", "best.containment")
     )
 
 
