@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from test_operators import brute_components, brute_counts, brute_targets, mutated, prose, shingles, WORD
@@ -119,3 +120,20 @@ def test_near_duplicates_of_repeated_ids(spark):
     assert got == Counter([
         (5, either[0]), (5, b), (9, c), (None, prose(4, 60)), (None, prose(5, 60)), (3, ""), (3, ""), (3, None), (None, None),
     ])
+
+
+CLASHING = ["id", "hash", "rows", "words", "all_taken", "share", "copies", "rest", "d", "h", "k1", "k2", "k3", "_hs",
+            "_text_hash", "own_hash", "text_hash", "gone_id", "lower", "kept", "item", "part", "one"]
+
+
+@pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
+def test_stages_keep_columns_of_any_name(spark, folder, stage):
+    """Rows are those of the plain table, and each keeps its values in columns that clash with helpers."""
+    name, run = corpus_pipeline.STAGES[stage]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id < 60 or doc_id > 120 or doc_id is null")
+    wide = docs.select("*", *[F.concat_ws(" ", F.lit(c), "doc_id").alias(c) for c in CLASHING])
+    plain, got = run(spark, docs, folder).collect(), run(spark, wide, folder).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((r.doc_id, r.text) for r in plain) and got
+    for r in got:
+        own = "" if r.doc_id is None else f" {r.doc_id}"
+        assert all(r[c] == f"{c}{own}" for c in CLASHING), name

@@ -46,3 +46,15 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def same(left: Column, right: Column) -> Column:
     """Equality under which nulls match, usable as a join key."""
     return left.eqNullSafe(right)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+        taken.add(name.lower())
+    return out

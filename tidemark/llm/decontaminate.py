@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, broadcast_if_small, same, store
+from tidemark.llm.common import WORD, broadcast_if_small, same, store, unused
 
 SHINGLE = 5
 
@@ -97,7 +97,7 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> Data
 
     wanted = pairs.groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h")).agg(F.lit(1).alias("one"))
     only = same(F.col("doc_id"), F.col("d")) & same(F.col("text_hash"), F.col("h"))
-    suspects = docs.withColumn("text_hash", F.xxhash64("text")).join(
+    suspects = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(
         broadcast_if_small(wanted.drop("one")), only, "left_semi"
     )
     suspects = suspects.select("doc_id", "text_hash", words(F.col("text")).alias("tokens")).select(
@@ -124,10 +124,9 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> Data
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
     """The rows of `docs` that hold no item."""
     found = store(contained(docs, items, threshold), "contaminated")
-    gone = found.groupBy(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).agg(
-        F.lit(1).alias("one")
-    )
+    gone_id, gone_hash = unused(docs, "gone_id", "gone_hash")
+    gone = found.groupBy("doc_id", "text_hash").agg(F.lit(1).alias("one")).drop("one").toDF(gone_id, gone_hash)
     return docs.join(
-        broadcast_if_small(gone.drop("one")),
-        same(F.col("doc_id"), F.col("gone_id")) & same(F.xxhash64("text"), F.col("gone_hash")), "left_anti",
+        broadcast_if_small(gone),
+        same(F.col("doc_id"), F.col(gone_id)) & same(F.xxhash64("text"), F.col(gone_hash)), "left_anti",
     )

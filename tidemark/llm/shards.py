@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import store
 
-KEY = ["k1", "k2", "k3"]  # compared in turn, each as an unsigned number
+KEY = ["_hs_1", "_hs_2", "_hs_3"]  # compared in turn, each as an unsigned number
 PROBES = 15  # between the ends of an open interval, per round
 #: What one task sorts, as far as `MOST_RANGES` a shard allow: the driver holds a key for each.
 RANGE_BYTES = 128 << 20
@@ -151,15 +151,13 @@ def histogram_sort(
     others; rows repeated whole are interchangeable; an empty table gives no rows; columns
     of `docs` are kept, but for ones named like the three added or starting with `_hs_`.
     """
-    own = [c for c in docs.columns if c not in ("size", "shard", "slot") and not c.startswith("_hs_")]
+    own = [c for c in docs.columns if c.lower() not in ("size", "shard", "slot") and not c.lower().startswith("_hs_")]
     rows = docs.select(
         *own,
         (F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 8).alias("size"),
-        F.xxhash64("text").alias("k1"), unsigned_order(F.col("doc_id")).alias("k2"),
-        F.xxhash64(*own).alias("k3"),
-    ) if not {*KEY} & {*own} else None
-    if rows is None:
-        raise ValueError(f"columns {KEY} are taken")
+        F.xxhash64("text").alias(KEY[0]), unsigned_order(F.col("doc_id")).alias(KEY[1]),
+        F.xxhash64(*own).alias(KEY[2]),
+    )
     keyed = store(rows.select(*KEY, "size"), "keys")
     spark = docs.sparkSession
     total = keyed.agg(F.sum("size")).first()[0] or 0
@@ -177,12 +175,12 @@ def _exchange(rows: DataFrame, cuts: np.ndarray, below: np.ndarray, n_shards: in
     offsets = starts - starts[(np.arange(len(starts)) // per) * per]
 
     def place(k1: pd.Series, k2: pd.Series, k3: pd.Series) -> pd.DataFrame:
-        keys = _packed(pd.DataFrame({"k1": k1, "k2": k2, "k3": k3}), KEY)
+        keys = _packed(pd.DataFrame(dict(zip(KEY, (k1, k2, k3), strict=True))), KEY)
         at = np.searchsorted(cuts, keys, side="right")
         return pd.DataFrame({"range": at.astype(np.int32), "offset": offsets[at]})
 
-    placed = rows.withColumn("_hs", F.pandas_udf(place, "range int, offset long")(*KEY))
-    placed = placed.withColumn("_hs_range", F.col("_hs.range")).withColumn("_hs_offset", F.col("_hs.offset"))
+    placed = rows.withColumn("_hs_place", F.pandas_udf(place, "range int, offset long")(*KEY))
+    placed = placed.withColumn("_hs_range", F.col("_hs_place.range")).withColumn("_hs_offset", F.col("_hs_place.offset"))
     unsigned = [F.col(k).bitwiseXOR(F.lit(_SIGN)) for k in KEY]
     place_in = F.row_number().over(W.partitionBy("_hs_range").orderBy(*unsigned)) - 1
     return placed.select(
