@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, language, mixing, prefix_tree, quality, secrets, shards, url_filter, warc
+from tidemark.llm import (
+    chat,
+    decontaminate,
+    language,
+    mixing,
+    packing,
+    prefix_tree,
+    quality,
+    secrets,
+    shards,
+    spelling,
+    url_filter,
+    warc,
+    whitening,
+)
 from tidemark.llm.common import table
 from tidemark.llm.oracle import ORACLE_SQL
 
@@ -87,11 +101,28 @@ def op10_perplexity_bands(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_configuration_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers  # the files of public tokenizers, which every executor has
+
+    docs = table(spark, sf, "documents")
+    pieces = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return packing.place(pieces)
+
+
+def op12_contour_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.components(table(spark, sf, "embeddings"))
+
+
+def op13_variable_gram_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_ownership, op2_language_fusion, op3_containment_search, op4_histogram_sort, op5_prefix_tree_join,
         op6_weighted_sampling, op7_warc_derivatives, op8_snapshot_collapse, op9_url_expressions, op10_perplexity_bands,
+        op11_configuration_packing, op12_contour_whitening, op13_variable_gram_variants,
     )
 }
 
