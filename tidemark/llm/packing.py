@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
+import operator
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +23,6 @@ from tidemark.llm.configurations import pack as pack_histogram
 CAPACITY = 2048
 END = 0  # the id behind every document
 CACHED_WORDS = 800_000  # kept by a Python worker between batches, about 160 MB
-WORDS_AT_ONCE = 2_000  # given to the tokenizer in one text
 CHUNK_CHARS = 1 << 20  # text whose words are looked up together
 #: Rows whose rank within their length is counted in one group; more where a corpus would need
 #: over a million groups.
@@ -59,32 +61,19 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        vocabulary = self.tokenizer.get_vocab()
-        #: By id, whether a token ends a piece of the tokenizer's.
-        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.model = self.tokenizer.model
         self.cache: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Of words of letters: one text for all, cut where pieces end, as a word is one piece."""
-        joined = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
-        ids = np.array(joined, "<u4")
-        ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
-        if len(ends) != len(words):  # a letter whose lower case isn't one letter
-            return self._encode(words)
-        whole = ids.tobytes()
-        return [whole[low:high] for low, high in zip([0, *ends], ends)]
-
     def _learn(self, missing: set[str]) -> None:
-        words = [u for u in missing if u.isalpha()]
-        for i in range(0, len(words), WORDS_AT_ONCE):
-            part = words[i : i + WORDS_AT_ONCE]
-            self.cache.update(zip(part, self._encode_words(part), strict=True))
-        others = [u for u in missing if not u.isalpha()]
+        """Lower-case words of ASCII letters are one piece that no step before the model changes."""
+        tokens = self.model.tokenize
+        plain = [u for u in missing if u.isascii() and u.isalpha() and u.islower()]
+        self.cache.update((u, array("I", [t.id for t in tokens(u)]).tobytes()) for u in plain)
+        others = list(missing.difference(plain))
         self.cache.update(zip(others, self._encode(others), strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -92,8 +81,9 @@ class _Encoder:
             self.cache.clear()
         split = [_units(t) for t in texts]
         found = [u and list(map(self.cache.get, u)) for u in split]
-        missing = {u for units, ids in zip(split, found, strict=True) if ids and None in ids
-                   for u, i in zip(units, ids, strict=True) if i is None}
+        missing: set[str] = set()
+        for units, ids in zip(split, found, strict=True):
+            missing.update(itertools.compress(units or (), map(operator.not_, ids or ())))
         self._learn(missing)
         known, out = self.cache.__getitem__, []
         for text, units, ids in zip(texts, split, found, strict=True):

@@ -246,7 +246,8 @@ def variants(docs: DataFrame, list_length: int = LIST_LENGTH, most_grams: int =
     there are no rows. Equal counts are settled by code-point order.
     """
     words = store(word_counts(slipped(runs(docs))), "words")
-    table = store(forms(words, near_pairs(words, list_length, most_grams)), "forms")
+    pairs = store(near_pairs(words, list_length, most_grams), "pairs")
+    table = store(forms(words, pairs), "forms")
     return roots(table).select("word", "form", "root", "n", "n_near", "form_n")
 
 
