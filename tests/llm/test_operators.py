@@ -514,3 +514,23 @@ def test_kneser_ney_sums_to_one():
 
 def test_text_crc(spark):
     assert spark.sql("select crc32('Grüße')").first()[0] == zlib.crc32("Grüße".encode())
+
+
+BIG = [2**53 + 1, 2**53 + 3, None, 2**53 + 5]
+
+
+def big_ids(spark):
+    """Ids that a double can't hold, beside a null one, in one batch; the first two are near copies."""
+    text = prose(70, 90)
+    rows = list(zip(BIG, [text, mutated(text, 1, 1), prose(71, 80), prose(72, 85)]))
+    return docs(spark, [(i, t, "en", "s") for i, t in rows]).coalesce(1)
+
+
+def test_ids_beyond_doubles_keep_their_links(spark):
+    got = {r.doc_id: r.component_id for r in prefix_tree.jaccard_join(big_ids(spark)).collect()}
+    assert got == {BIG[0]: BIG[0], BIG[1]: BIG[0], None: None, BIG[3]: BIG[3]}
+
+
+def test_ids_beyond_doubles_are_judged(spark):
+    judged = quality.judge(big_ids(spark)).collect()
+    assert sorted(r.doc_id or 0 for r in judged) == sorted(i or 0 for i in BIG)

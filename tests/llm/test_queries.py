@@ -137,3 +137,15 @@ def test_stages_keep_columns_of_any_name(spark, folder, stage):
     for r in got:
         own = "" if r.doc_id is None else f" {r.doc_id}"
         assert all(r[c] == f"{c}{own}" for c in CLASHING), name
+
+
+def test_stages_with_ids_beyond_doubles(spark):
+    """One null id in a batch doesn't change the others: the short text goes, and the near copy."""
+    text = prose(70, 90)
+    ids = [2**53 + 1, 2**53 + 3, None, 2**53 + 5]
+    texts = [text, mutated(text, 1, 1), prose(71, 80), "too short"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in zip(ids, texts)], "doc_id long, text string, lang string").coalesce(1)
+    good = corpus_pipeline.quality_rules(spark, docs, "")
+    assert sorted(r.doc_id or 0 for r in good.collect()) == [0, ids[0], ids[1]]
+    single = corpus_pipeline.near_duplicates(spark, good.coalesce(1), "")
+    assert sorted(r.doc_id or 0 for r in single.collect()) == [0, ids[0]]

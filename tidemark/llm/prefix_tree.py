@@ -61,19 +61,19 @@ def sample_length(n: int) -> int:
 
 def _sets(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, text_hash, n, node (hash of the set), the sample (smallest hashes), and
-    how many of the sample any partner must have in its own."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingle_set(t) for t in batch["text"]]
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "n": [len(s) for s in sets],
-                "node": [set_hash(s) for s in sets], "sample": [s[: sample_length(len(s))] for s in sets],
-                "common": [surplus(least_overlap(len(s))) for s in sets],
-            })
-
-    return docs.mapInPandas(rows, f"doc_id {kind}, text_hash long, n int, node long, sample array<long>, common int")
+    how many of the sample any partner must have in its own. Ids stay out of Python, whose frames
+    would turn longs beside a null into doubles."""
+
+    def of_texts(texts: pd.Series) -> pd.DataFrame:
+        sets = [shingle_set(t) for t in texts]
+        return pd.DataFrame({
+            "n": [len(s) for s in sets], "node": [set_hash(s) for s in sets],
+            "sample": [s[: sample_length(len(s))] for s in sets],
+            "common": [surplus(least_overlap(len(s))) for s in sets],
+        })
+
+    found = F.pandas_udf(of_texts, "n int, node long, sample array<long>, common int")("text")
+    return docs.select("doc_id", "text_hash", found.alias("set")).select("doc_id", "text_hash", "set.*")
 
 
 def _single(tokens: DataFrame) -> DataFrame:

@@ -229,25 +229,19 @@ def measure(docs: DataFrame, models: dict[str, list]) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            counts = [base_counts(t) for t in batch["text"]]
-            score = [
-                log_perplexity(classes(t), shared.value[lang]) if t and lang in shared.value else None
-                for t, lang in zip(batch["text"], batch["lang"], strict=True)
-            ]
-            names = [part.split()[0] for part in _MEASURES.split(", ")]
-            out = pd.DataFrame(counts, columns=names)
-            out.insert(0, "lang", batch["lang"].to_numpy())
-            out.insert(0, "text_hash", batch["text_hash"].to_numpy())
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            out["log_perplexity"] = pd.array(score, dtype="Float64")
-            yield out
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text_hash", "lang", "text").mapInPandas(
-        rows, f"doc_id {kind}, text_hash long, lang string, {_MEASURES}, log_perplexity double"
-    )
+    def rows(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
+        names = [part.split()[0] for part in _MEASURES.split(", ")]
+        out = pd.DataFrame([base_counts(t) for t in texts], columns=names)
+        score = [
+            log_perplexity(classes(t), shared.value[lang]) if t and lang in shared.value else None
+            for t, lang in zip(texts, langs, strict=True)
+        ]
+        out["log_perplexity"] = pd.array(score, dtype="Float64")
+        return out
+
+    # Ids stay out of Python, whose frames would turn longs beside a null into doubles.
+    found = F.pandas_udf(rows, f"{_MEASURES}, log_perplexity double")("text", "lang")
+    return docs.select("doc_id", "text_hash", "lang", found.alias("found")).select("doc_id", "text_hash", "lang", "found.*")
 
 
 def _models(counts: DataFrame, langs: list[str]) -> dict[str, list]:
