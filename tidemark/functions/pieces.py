@@ -1,98 +1,65 @@
 """Split the timelines of very busy keys into pieces that fit a task.
 
-A window over one key runs in one task. When a key holds a large share of all
-rows, its timeline is cut at sampled positions and the window runs per (key, piece);
-the caller stitches neighbouring pieces together. Cuts only decide where rows are
-processed, never what the result is: every row is in exactly one piece, wherever
-the cuts fall. Positions are the whole sort key, so that even rows with the same
-time can be in different pieces.
-
-Sizes: with `target = max(rows_per_piece, rows / MAX_PIECES)` only keys with more than
-`target` rows are cut, so there are fewer than MAX_PIECES such keys and fewer than
-2 * MAX_PIECES cuts in total, whatever the data. That bound is what makes it safe to
-collect and broadcast the cuts.
+A window over one key runs in one task. When a key holds a large share of all rows, the rows of
+such keys are range partitioned by the whole sort key, so a partition is a stretch of one timeline or of a
+few neighbouring ones; its number is the piece. The window then runs per (key, piece) and the caller stitches
+neighbouring pieces together. Where partitions end only decides where rows are processed,
+never what the result is: every row is in exactly one piece, and pieces follow the order.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidemark.sources.scratch import scratch_dir
 
 MAX_PIECES = 100_000
 ROWS_PER_PIECE = 5_000_000
-SAMPLES_PER_PIECE = 50  # rows looked at to place a cut
 
 
-def plan_cuts(
-    df: DataFrame, key: str, order: list[str], rows_per_piece: int = ROWS_PER_PIECE
-) -> DataFrame | None:
-    """`(key, cuts)` for the busy keys of `df`, or None when there are none.
+@dataclass(frozen=True)
+class Busy:
+    """Keys with more rows than a piece: a stored table of fewer than MAX_PIECES rows, and the pieces they make."""
+
+    key: str
+    keys: DataFrame
+    pieces: int
+
+    def others(self, df: DataFrame) -> DataFrame:
+        """Rows of keys that are not busy."""
+        return df.join(F.broadcast(self.keys), self.key, "left_anti")
+
+    def rows(self, df: DataFrame) -> DataFrame:
+        """Rows of busy keys, without bringing a key's rows together."""
+        return df.join(F.broadcast(self.keys), self.key, "left_semi")
+
 
-    Counts the rows, then if one key could be busy the rows per key, and only for busy
-    keys samples positions.
+def busy_keys(df: DataFrame, key: str, rows_per_piece: int = ROWS_PER_PIECE) -> Busy | None:
+    """The keys of `df` that need cutting, or None when there are none.
+
+    Counts the rows, then if one key could be busy the rows per key. With `target = max(rows_per_piece, rows /
+    MAX_PIECES)` only keys with more than `target` rows are busy, so there are fewer than MAX_PIECES of
+    them, which makes it safe to broadcast them.
     """
     total = df.count()
     target = max(rows_per_piece, math.ceil(total / MAX_PIECES))
     if total <= target:
         return None
     per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    busy = per_key.filter(F.col("n") > target).collect()  # fewer than MAX_PIECES rows
-    if not busy:
-        return None
+    path = scratch_dir(df.sparkSession, "busy-keys")
+    per_key.filter(F.col("n") > target).write.parquet(path)
+    busy = df.sparkSession.read.schema(per_key.schema).parquet(path)
+    rows = busy.agg(F.sum("n")).first()[0]
+    return Busy(key, busy.select(key), math.ceil(rows / target)) if rows else None
+
+
+def with_piece(rows: DataFrame, key: str, order: list[str], pieces: int) -> DataFrame:
+    """Add `piece`: the range of (key, order) that a row is in, of about `pieces` even ones; nulls come first.
 
-    spark = df.sparkSession
-    pieces = spark.createDataFrame(
-        [(row[key], math.ceil(row["n"] / target)) for row in busy],
-        T.StructType([df.schema[key], T.StructField("pieces", T.IntegerType())]),
-    )
-    seen = (
-        df.select(key, F.struct(*order).alias("position"))
-        .join(F.broadcast(pieces), key)
-        .sample(min(1.0, SAMPLES_PER_PIECE / target), seed=1)
-        .groupBy(key, "pieces")
-        .agg(F.sort_array(F.collect_list("position")).alias("seen"))
-    )
-    evenly = F.transform(
-        F.sequence(F.lit(1), F.col("pieces") - 1),
-        lambda i: F.get("seen", F.floor(i.cast("bigint") * F.size("seen") / F.col("pieces")).cast("int")),
-    )
-    cuts = seen.select(key, evenly.alias("cuts"))
-    # Another run could sample other rows, so the cuts are fixed here once.
-    found = cuts.collect()
-    return spark.createDataFrame(found, cuts.schema) if found else None
-
-
-def with_piece(df: DataFrame, cuts: DataFrame | None, key: str, position: Column) -> DataFrame:
-    """Add `piece`: how many cuts of the row's key are at or before its position.
-
-    A NULL position is before all cuts.
+    The ranges are drawn anew whenever the plan runs, so store what is made of it before reading it twice.
     """
-    if cuts is None:
-        return df.withColumn("piece", F.lit(0))
-    steps = [2**i for i in reversed(range(MAX_PIECES.bit_length()))]
-    # Binary search over the sorted cuts; a step past the end compares with NULL.
-    found = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda low, step: F.when(F.get("cuts", low + step - 1) <= position, low + step).otherwise(low),
-    )
-    return (
-        df.join(F.broadcast(cuts), key, "left")
-        .withColumn("piece", F.when(F.col("cuts").isNull(), F.lit(0)).otherwise(found))
-        .drop("cuts")
-    )
-
-
-def expand_pieces(keys: DataFrame, cuts: DataFrame | None, key: str) -> DataFrame:
-    """`(key, piece)` for every piece of every key of `keys`, for joins on both columns."""
-    if cuts is None:
-        return keys.withColumn("piece", F.lit(0))
-    last = F.when(F.col("cuts").isNull(), F.lit(0)).otherwise(F.size("cuts"))
-    return (
-        keys.join(F.broadcast(cuts), key, "left")
-        .withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
-        .drop("cuts")
-    )
+    return rows.repartitionByRange(pieces, key, *order).withColumn("piece", F.spark_partition_id())

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import utc_timestamp
-from tidemark.functions.pieces import ROWS_PER_PIECE, expand_pieces, plan_cuts, with_piece
+from tidemark.functions.pieces import ROWS_PER_PIECE, Busy, busy_keys, with_piece
+from tidemark.sources.scratch import scratch_dir
 
 EVENT_ORDER = ["event_ts", "ingested_at", "event_id"]
 # The current version (turn 0) goes before the events (turn 1) of its user.
@@ -40,24 +41,26 @@ def newer_than(events: DataFrame, watermark: Column) -> DataFrame:
     return events.filter(F.col("ingested_at") > watermark)
 
 
-def busy_timelines(events: DataFrame, rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame | None:
-    """Where to cut the timelines of users with very many events; None if there are none.
+def busy_timelines(events: DataFrame, rows_per_piece: int = ROWS_PER_PIECE) -> Busy | None:
+    """The users whose timelines are too long for a task; None if there are none.
 
     Any events that contain the ones to build from will do, duplicates included.
     """
-    return plan_cuts(events, "user_id", EVENT_ORDER, rows_per_piece)
+    return busy_keys(events, "user_id", rows_per_piece)
 
 
 def _starts_version(previous: Column) -> Column:
     return previous.isNull() | (previous != F.col("country"))
 
 
-def _versions(rows: DataFrame, cuts: DataFrame | None) -> DataFrame:
+def _versions(rows: DataFrame, busy: Busy | None) -> DataFrame:
     """Versions from `(user_id, country, event_ts, ingested_at, event_id, turn)`."""
-    if cuts is None:
+    if busy is None:
         found = _within(rows, ["user_id"])
     else:
-        found = _stitched(rows, cuts)
+        columns = ["user_id", "country", "event_ts", "effective_end"]
+        cut = stitch(with_piece(busy.rows(rows), "user_id", TIMELINE, busy.pieces))
+        found = cut.select(columns).unionByName(_within(busy.others(rows), ["user_id"]).select(columns))
     return found.select(
         "user_id",
         "country",
@@ -77,13 +80,17 @@ def _within(rows: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def _stitched(rows: DataFrame, cuts: DataFrame) -> DataFrame:
-    """As `_within(rows, ["user_id"])`, with the timelines of busy users cut into pieces."""
-    cut_users = F.broadcast(cuts.select("user_id"))
-    others = rows.join(cut_users, "user_id", "left_anti")
-    busy = rows.join(cut_users, "user_id", "left_semi")
-    position = F.when(F.col("turn") > 0, F.struct(*EVENT_ORDER))  # the turn-0 row is in piece 0
-    inside = _within(with_piece(busy, cuts, "user_id", position), ["user_id", "piece"])
+def stitch(placed: DataFrame) -> DataFrame:
+    """As `_within(rows, ["user_id"])` over rows whose `piece` cuts every user's timeline in order.
+
+    The window runs per piece, and its version starts are written; one row per user and piece then carries the country
+    from piece to piece. A user may have any number of pieces.
+    """
+    spark = placed.sparkSession
+    path = scratch_dir(spark, "pieces")
+    starts = _within(placed, ["user_id", "piece"])
+    starts.write.parquet(path)
+    inside = spark.read.schema(starts.schema).parquet(path)
 
     # One row per piece: no more rows than there are cuts and busy users.
     opens = F.col("previous").isNull()
@@ -116,25 +123,23 @@ def _stitched(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     )
     # A piece's first row starts a version only if the country before it differs.
     repeats = F.col("previous").isNull() & ~F.col("opens_version")
-    found = (
+    return (
         inside.join(F.broadcast(edges), ["user_id", "piece"])
         .filter(~repeats)
         .withColumn("effective_end", F.coalesce("effective_end", "next_start"))
     )
-    columns = ["user_id", "country", "event_ts", "effective_end"]
-    return found.select(columns).unionByName(_within(others, ["user_id"]).select(columns))
 
 
-def full_build(events: DataFrame, cuts: DataFrame | None = None) -> DataFrame:
+def full_build(events: DataFrame, busy: Busy | None = None) -> DataFrame:
     """The whole history from `dimension_events`.
 
-    `cuts` (from `busy_timelines`) spreads very busy users over several tasks; it never
+    `busy` (from `busy_timelines`) spreads very busy users over several tasks; it never
     changes the result.
     """
-    return _versions(events.withColumn("turn", F.lit(1)), cuts)
+    return _versions(events.withColumn("turn", F.lit(1)), busy)
 
 
-def apply_batch(dim: DataFrame, batch: DataFrame, cuts: DataFrame | None = None) -> DataFrame:
+def apply_batch(dim: DataFrame, batch: DataFrame, busy: Busy | None = None) -> DataFrame:
     """The history after a batch of `dimension_events`.
 
     Current versions join their user's timeline as its first row, so untouched
@@ -150,7 +155,7 @@ def apply_batch(dim: DataFrame, batch: DataFrame, cuts: DataFrame | None = None)
     )
     rows = current.unionByName(batch.withColumn("turn", F.lit(1)))
     closed = dim.filter("not is_current").select(schemas.DIM_COLUMNS)
-    return closed.unionByName(_versions(rows, cuts))
+    return closed.unionByName(_versions(rows, busy))
 
 
 def rewind(dim: DataFrame, since: Column) -> DataFrame:
@@ -164,7 +169,7 @@ def rewind(dim: DataFrame, since: Column) -> DataFrame:
 
 
 def replay(
-    dim: DataFrame, events: DataFrame, since: Column, cuts: DataFrame | None = None
+    dim: DataFrame, events: DataFrame, since: Column, busy: Busy | None = None
 ) -> DataFrame:
     """Late-safe update when nothing dated before `since` has changed.
 
@@ -172,23 +177,24 @@ def replay(
     so pass a scan that prunes them.
     """
     window = events.filter(F.col("event_ts") >= since)
-    return apply_batch(rewind(dim, since), window, cuts)
+    return apply_batch(rewind(dim, since), window, busy)
 
 
 def rebuild_users(
-    dim: DataFrame, events: DataFrame, batch: DataFrame, cuts: DataFrame | None = None
+    dim: DataFrame, events: DataFrame, batch: DataFrame, busy: Busy | None = None
 ) -> DataFrame:
     """Late-safe update however old the batch's events are: rebuild its users from all events."""
     touched = batch.select("user_id").distinct()
-    if cuts is None:
+    if busy is None:
         theirs = events.join(touched, "user_id", "left_semi")
     else:
-        # Join per piece, so that a busy user's events are not brought together first.
-        pieces = expand_pieces(touched, cuts, "user_id")
-        placed = with_piece(events, cuts, "user_id", F.struct(*EVENT_ORDER))
-        theirs = placed.join(pieces, ["user_id", "piece"], "left_semi").drop("piece")
+        # Busy users are few, so their events meet a broadcast and not each other.
+        hot = touched.join(F.broadcast(busy.keys), "user_id", "left_semi")
+        theirs = busy.others(events).join(touched, "user_id", "left_semi").unionByName(
+            busy.rows(events).join(F.broadcast(hot), "user_id", "left_semi")
+        )
     untouched = dim.join(touched, "user_id", "left_anti")
-    return untouched.select(schemas.DIM_COLUMNS).unionByName(full_build(theirs, cuts))
+    return untouched.select(schemas.DIM_COLUMNS).unionByName(full_build(theirs, busy))
 
 
 def current_users(dim: DataFrame) -> DataFrame:

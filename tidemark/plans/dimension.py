@@ -107,8 +107,7 @@ def update_dimension(
         ends = F.col("effective_end")
         live = live.unionByName(settled.filter(ends >= since))
         settled = settled.filter(ends < since)
-    cuts = busy_timelines(events, rows_per_piece)
-    updated = replay(live, events, since, cuts)
+    updated = replay(live, events, since, busy_timelines(events, rows_per_piece))
     version, base = last["version"] + 1, last["base"]
     if reopened or version - base >= complete_every:
         updated, base = updated.unionByName(settled), version

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import utc_timestamp
+from tidemark.functions.pieces import Busy
 from tidemark.operators import bronze as bronze_ops
 from tidemark.operators import checks, marts, scd
 from tidemark.operators import silver as silver_ops
@@ -79,17 +80,17 @@ def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _cuts(spark: SparkSession, sf: str) -> DataFrame | None:
-    """Where to cut busy users' timelines, found on all deliveries before any shuffle."""
+def _busy(spark: SparkSession, sf: str) -> Busy | None:
+    """Busy users, found on all deliveries before any shuffle."""
     deliveries = silver_ops.normalize(adapter.bronze_rows(spark, sf))
     return scd.busy_timelines(scd.dimension_events(deliveries))
 
 
 def _dim(spark: SparkSession, sf: str) -> DataFrame:
-    events, cuts = _dim_events(spark, sf), _cuts(spark, sf)
-    if cuts is not None:  # then the events are read more than once
+    events, busy = _dim_events(spark, sf), _busy(spark, sf)
+    if busy is not None:  # then the events are read more than once
         events = _stored(spark, events)
-    return scd.full_build(events, cuts)
+    return scd.full_build(events, busy)
 
 
 def _cut() -> Column:
@@ -320,32 +321,32 @@ def scd2_full_build(spark, sf):
 def scd2_full_build_pieces(spark, sf):
     """The same build with every timeline longer than 20 events cut into pieces."""
     events = _stored(spark, _dim_events(spark, sf))
-    cuts = scd.busy_timelines(events, rows_per_piece=20)
-    return as_text(scd.full_build(events, cuts))
+    busy = scd.busy_timelines(events, rows_per_piece=20)
+    return as_text(scd.full_build(events, busy))
 
 
-def _two_batches(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
-    """All events, the dimension after the first batch, the second batch, and the cuts."""
+def _two_batches(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame, Busy | None]:
+    """All events, the dimension after the first batch, the second batch, and the busy users."""
     events = _stored(spark, _dim_events(spark, sf))
-    cuts = _cuts(spark, sf)
-    before = scd.full_build(events.filter(F.col("ingested_at") <= _cut()), cuts)
-    return events, _stored(spark, before), events.filter(F.col("ingested_at") > _cut()), cuts
+    busy = _busy(spark, sf)
+    before = scd.full_build(events.filter(F.col("ingested_at") <= _cut()), busy)
+    return events, _stored(spark, before), events.filter(F.col("ingested_at") > _cut()), busy
 
 
 def scd2_incremental_apply(spark, sf):
-    _, dim, batch, cuts = _two_batches(spark, sf)
-    return as_text(scd.apply_batch(dim, batch, cuts))
+    _, dim, batch, busy = _two_batches(spark, sf)
+    return as_text(scd.apply_batch(dim, batch, busy))
 
 
 def scd2_rebuild_touched(spark, sf):
-    events, dim, batch, cuts = _two_batches(spark, sf)
-    return as_text(scd.rebuild_users(dim, events, batch, cuts))
+    events, dim, batch, busy = _two_batches(spark, sf)
+    return as_text(scd.rebuild_users(dim, events, batch, busy))
 
 
 def scd2_replay(spark, sf):
     """Late-safe update from four days before the cut, the longest an event is late."""
-    events, dim, _, cuts = _two_batches(spark, sf)
-    return as_text(scd.replay(dim, events, _cut() - F.expr("INTERVAL 4 DAYS"), cuts))
+    events, dim, _, busy = _two_batches(spark, sf)
+    return as_text(scd.replay(dim, events, _cut() - F.expr("INTERVAL 4 DAYS"), busy))
 
 
 def dim_user_current(spark, sf):
