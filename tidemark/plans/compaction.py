@@ -78,11 +78,11 @@ def compact_bronze(
     old = [_folder(paths, g, load) for g in groups for load in g["loads"]]
     run = uuid.uuid4().hex
     new = [_folder(paths, g, f"compact{g['level'] + 1}-{run}") for g in groups]
-    state = RunState(spark, paths.state)
-    state.put("compaction", json.dumps({"old": old, "new": new, "written": False}))
+    step = RunState(spark, paths.state).begin()
+    step.commit({"compaction": json.dumps({"old": old, "new": new, "written": False})})
     rows = spark.read.schema(schemas.BRONZE_SCHEMA).option("basePath", paths.bronze).parquet(*old)
     folded = F.concat(F.lit("compact"), (_level() + 1).cast("string"), F.lit(f"-{run}"))
     write_partitioned(rows.withColumn("load", folded), paths.bronze, [*BRONZE_BY, "load"])
-    state.put("compaction", json.dumps({"old": old, "new": new, "written": True}))
+    step.commit({"compaction": json.dumps({"old": old, "new": new, "written": True})})
     finish_compaction(spark, paths)
     return len(old)

@@ -27,9 +27,10 @@ from tidemark.operators.scd import (
     dimension_events,
     replay,
 )
+from tidemark.plans.changes import changes_after
 from tidemark.plans.paths import Paths
 from tidemark.sources.scratch import remove_folder
-from tidemark.sources.state import EPOCH, RunState
+from tidemark.sources.state import EPOCH, RunState, Step
 from tidemark.sources.tables import read_silver, write_partitioned
 
 _STORED = schemas.DIM_SCHEMA + ", version int, settled boolean"
@@ -39,7 +40,7 @@ _FIRST = json.dumps(
 COMPLETE_EVERY = 100  # versions
 
 
-def last_run(state: RunState) -> dict:
+def last_run(state: RunState | Step) -> dict:
     """What the last completed run saved: version and base, the first version still stored, the
     silver checkpoint and run it saw, the ingestion watermark, and the date before which rows count as settled."""
     return json.loads(state.get("dim_user", _FIRST))
@@ -81,20 +82,25 @@ def update_dimension(
 ) -> int | None:
     """Bring the dimension up to date with silver; None when silver has nothing new.
 
-    Silver rewrites nothing dated before (checkpoint at the last run - lookback), so
-    the history is rewound to that date and replayed from there. With a longer lookback than
-    before, rows that were settled under the shorter one are taken back first.
+    The history is rewound to the first date that silver's runs have changed since, and replayed from
+    there; however far back a promotion looked, its dates are known. Only where that isn't remembered
+    the date is (checkpoint at the last run - lookback). Rows that were settled after
+    that date are taken back first.
 
     Whether silver has something new is told by its run number, not by ingestion times: those
     come with the events and may be missing or lie in the future.
     """
-    state = RunState(spark, paths.state)
-    last = last_run(state)
-    reached = state.get("silver_checkpoint", EPOCH)
-    silver_run = state.get("silver_run")
+    step = RunState(spark, paths.state).begin()
+    last = last_run(step)
+    reached = step.get("silver_checkpoint", EPOCH)
+    silver_run = step.get("silver_run")
     if silver_run is not None and silver_run == last["silver_run"]:
         return None
-    since_date = dt.date.fromisoformat(last["checkpoint"]) - dt.timedelta(days=lookback_days)
+    changed = changes_after(step, last["silver_run"])
+    if changed:
+        since_date = changed.since
+    else:
+        since_date = dt.date.fromisoformat(last["checkpoint"]) - dt.timedelta(days=lookback_days)
     events = dimension_events(read_silver(spark, paths.silver, since_date))
 
     newest = events.agg(F.max("ingested_at")).first()[0]
@@ -130,5 +136,5 @@ def update_dimension(
         "settled_before": since_date.isoformat(),
         "silver_run": silver_run,
     }
-    state.put("dim_user", json.dumps(run))
+    step.commit({"dim_user": json.dumps(run)})
     return version

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import marts
 from tidemark.operators.silver import type_tables
+from tidemark.plans.changes import changes_after
 from tidemark.plans.dimension import read_current_users, read_dimension
 from tidemark.plans.paths import Paths
 from tidemark.schemas import EVENT_TYPES, TYPE_TABLES
@@ -82,36 +82,23 @@ def _empty_lost_dates(
 def update_marts(spark: SparkSession, paths: Paths, lookback_days: int = 2) -> None:
     """Recompute the dates silver has rewritten since the marts were last written.
 
-    Silver's runs say which dates these are; where one rebuilt its whole window, or is no longer
-    remembered, all dates of the lookback window are recomputed.
+    Silver's runs say which dates these are; where one rebuilt its whole window all dates of that window are
+    recomputed, and where one is no longer remembered those of the lookback window.
     """
-    state = RunState(spark, paths.state)
-    run = state.get("silver_run")
-    if run is not None and run == state.get("marts_run"):
+    step = RunState(spark, paths.state).begin()
+    run = step.get("silver_run")
+    if run is not None and run == step.get("marts_run"):
         return
-    reached = state.get("silver_checkpoint")
-    last = state.get("marts_checkpoint")
+    reached = step.get("silver_checkpoint")
+    last = step.get("marts_checkpoint")
     since = dt.date.fromisoformat(last) - dt.timedelta(days=lookback_days) if last else None
-    dates = _changed_dates(state, run) if last else None
-    if dates:
-        since = min(dates)
+    changed = changes_after(step, step.get("marts_run")) if last else None
+    dates = None
+    if changed:
+        since, dates = min(changed.since, since) if changed.dates is None else changed.since, changed.dates
     write_marts(spark, paths, since, dates)
-    if reached:
-        state.put("marts_checkpoint", reached)
-    if run is not None:
-        state.put("marts_run", run)
-
-
-def _changed_dates(state: RunState, run: str | None) -> list[dt.date] | None:
-    """Dates that silver has rewritten since the marts' last run; None if that isn't known."""
-    before = state.get("marts_run")
-    if run is None or before is None:
-        return None
-    changes = {c["run"]: c["dates"] for c in json.loads(state.get("silver_changes", "[]"))}
-    found = [changes.get(i) for i in range(int(before) + 1, int(run) + 1)]
-    if None in found:
-        return None
-    return sorted({dt.date.fromisoformat(d) for dates in found for d in dates})
+    saved = {"marts_checkpoint": reached, "marts_run": run}
+    step.commit({name: value for name, value in saved.items() if value is not None})
 
 
 def read_mart(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import bronze as bronze_ops
 from tidemark.operators import silver as silver_ops
 from tidemark.operators.checks import failing_rows, run_checks
+from tidemark.plans.changes import with_run
 from tidemark.plans.compaction import compact_bronze
 from tidemark.plans.dimension import read_current_users, update_dimension
 from tidemark.plans.marts import MARTS, read_mart, stage, update_marts
@@ -32,7 +33,6 @@ from tidemark.streaming.jobs import land_events, load_bronze
 
 LOOKBACK_DAYS = 2
 COMPACT_DAYS = 30  # closed dates that a run looks at; `compact_bronze` by itself takes all
-CHANGES_KEPT = 100  # runs whose dates are remembered for the marts; further back they use the window
 
 
 def backfill_bronze(spark: SparkSession, paths: Paths, modified_after: str | None = None) -> None:
@@ -60,16 +60,17 @@ def promote(
     touch only the dates of their events and of those events' other copies; the rest of the window
     is left alone. If a load known before has changed, or the window reaches further back than
     before, the whole window is rebuilt. Without any change nothing is written, and the
-    dimension and the marts find nothing to do.
+    dimension and the marts find nothing to do. Raises ConflictingRunError if another run has saved
+    its state meanwhile; run it again then.
     """
-    state = RunState(spark, paths.state)
-    checkpoint = state.get("silver_checkpoint", EPOCH)
+    step = RunState(spark, paths.state).begin()
+    checkpoint = step.get("silver_checkpoint", EPOCH)
     since = dt.date.fromisoformat(checkpoint) - dt.timedelta(days=lookback_days)
     bronze = read_bronze(spark, paths.bronze, since, with_load=True)
     window = bronze_ops.lookback(bronze, checkpoint, lookback_days)
     held = _held(window)
-    seen = json.loads(state.get("silver_window", "null"))
-    run = int(state.get("silver_run", "0")) + 1
+    seen = json.loads(step.get("silver_window", "null"))
+    run = int(step.get("silver_run", "0")) + 1
     known = {k: v for k, v in seen["held"].items() if k >= since.isoformat()} if seen else {}
     if seen and since.isoformat() >= seen["since"] and known.items() <= held.items():
         if known == held:
@@ -85,15 +86,15 @@ def promote(
     # An event dated in the future must not push on-time events out of the window.
     limit = today or dt.datetime.now(dt.timezone.utc).date()
     moved = max(checkpoint, min(newest, limit).isoformat())
-    changes = json.loads(state.get("silver_changes", "[]"))
-    changes.append({"run": run, "dates": dates and [d.isoformat() for d in dates]})
-    state.put("silver_changes", json.dumps(changes[-CHANGES_KEPT:]))
-    state.put("silver_run", run)
-    state.put("silver_checkpoint", moved)
     # Later runs look back from the new checkpoint, or further if the lookback grows.
     later = (dt.date.fromisoformat(moved) - dt.timedelta(days=lookback_days)).isoformat()
     kept = {k: v for k, v in held.items() if k >= later}
-    state.put("silver_window", json.dumps({"since": later, "held": kept}))
+    step.commit({
+        "silver_changes": with_run(step, run, since, dates),
+        "silver_run": run,
+        "silver_checkpoint": moved,
+        "silver_window": json.dumps({"since": later, "held": kept}),
+    })
     return moved
 
 
@@ -193,8 +194,8 @@ def store_checks(spark: SparkSession, paths: Paths, since: dt.date | None = None
     Failing rows are in a folder of the run, which `read_failing` finds, so that those of an
     earlier run don't pass for this one's.
     """
-    state = RunState(spark, paths.state)
-    run = int(state.get("checks_run", "0")) + 1
+    step = RunState(spark, paths.state).begin()
+    run = int(step.get("checks_run", "0")) + 1
     tables = check_tables(spark, paths, since)
     run_checks(tables).write.mode("overwrite").parquet(f"{paths.checks}/results")
     results = spark.read.parquet(f"{paths.checks}/results")
@@ -202,7 +203,7 @@ def store_checks(spark: SparkSession, paths: Paths, since: dt.date | None = None
     for row in results.filter("failing_rows > 0").collect():  # at most one row per check
         found = bad[(row["table"], row["check"], row["column"])]
         found.write.mode("overwrite").parquet(f"{_failing(paths, run)}/{row['table']}.{row['column']}.{row['check']}")
-    state.put("checks_run", run)
+    step.commit({"checks_run": run})
     return results
 
 
