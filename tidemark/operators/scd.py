@@ -36,6 +36,12 @@ def dimension_events(silver: DataFrame) -> DataFrame:
     ).dropna(subset=["user_id", "country", "event_ts"])
 
 
+def user_bucket(buckets: int) -> Column:
+    """Which of a number of buckets a user belongs to. Of two numbers that divide each other,
+    the bucket under the smaller is the other's remainder."""
+    return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
+
+
 def newer_than(events: DataFrame, watermark: Column) -> DataFrame:
     """Events ingested after the watermark (a timestamp_ntz)."""
     return events.filter(F.col("ingested_at") > watermark)

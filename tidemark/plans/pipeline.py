@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import bronze as bronze_ops
 from tidemark.operators import silver as silver_ops
 from tidemark.operators.checks import failing_rows, run_checks
-from tidemark.plans.changes import with_run
+from tidemark.operators.scd import user_bucket
+from tidemark.plans.changes import USER_BUCKETS, with_run
 from tidemark.plans.compaction import compact_bronze
 from tidemark.plans.dimension import read_current_users, update_dimension
 from tidemark.plans.marts import MARTS, read_mart, stage, update_marts
@@ -76,10 +77,10 @@ def promote(
         if known == held:
             return checkpoint
         loads = sorted({k.split("/", 1)[1] for k in held.keys() - known.keys()})
-        dates = _promote_loads(spark, paths, window, loads, since)
+        dates, users = _promote_loads(spark, paths, window, loads, since)
     else:
         write_silver(silver_ops.silver(window.drop("load")), paths.silver, uuid.uuid4().hex, since)
-        dates = None
+        dates = users = None
     newest = read_silver(spark, paths.silver, since).agg(F.max("event_date")).first()[0]
     if newest is None:
         return None
@@ -90,7 +91,7 @@ def promote(
     later = (dt.date.fromisoformat(moved) - dt.timedelta(days=lookback_days)).isoformat()
     kept = {k: v for k, v in held.items() if k >= later}
     step.commit({
-        "silver_changes": with_run(step, run, since, dates),
+        "silver_changes": with_run(step, run, since, dates, users),
         "silver_run": run,
         "silver_checkpoint": moved,
         "silver_window": json.dumps({"since": later, "held": kept}),
@@ -110,8 +111,9 @@ def _held(window: DataFrame) -> dict[str, list[int]]:
 
 def _promote_loads(
     spark: SparkSession, paths: Paths, window: DataFrame, loads: list[str], since: dt.date
-) -> list[dt.date]:
-    """Take the events of some loads into silver; returns the dates it has rewritten.
+) -> tuple[list[dt.date], list[int]]:
+    """Take the events of some loads into silver; returns the dates it has rewritten, and the buckets
+    of the users of these events' copies.
 
     The newest copy of each such event is chosen among all its copies in the window. The dates
     of all these copies are rewritten, with their other events as they stand; that bronze alone
@@ -124,10 +126,11 @@ def _promote_loads(
     newest = spark.read.parquet(path)
     stored = read_silver(spark, paths.silver, since).filter(F.col("event_date") >= F.lit(since))
     ids = newest.select("event_id")
-    dates = sorted(r[0] for r in copies.select("event_date").distinct().collect())
+    touched = copies.select("event_date", user_bucket(USER_BUCKETS).alias("users")).distinct().collect()
+    dates, users = sorted({r["event_date"] for r in touched}), sorted({r["users"] for r in touched})
     others = stored.filter(F.col("event_date").isin(dates)).join(ids, "event_id", "left_anti")
     write_silver(others.unionByName(newest), paths.silver, uuid.uuid4().hex, since, dates)
-    return dates
+    return dates, users
 
 
 def not_promoted(spark: SparkSession, paths: Paths) -> DataFrame:

@@ -26,3 +26,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder of a table, on whatever file system it is; nothing happens if it is gone."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column, from the names of the folders below `path`; none if it isn't there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return [name.split("=", 1)[1] for name in names if name.startswith(f"{column}=")]
