@@ -12,7 +12,7 @@ from tidemark.plans.marts import read_mart, update_marts
 from tidemark.plans.paths import Paths
 from tidemark.plans.pipeline import backfill_bronze, not_promoted, promote
 from tidemark.sources.raw import from_text
-from tidemark.sources.state import RunState
+from tidemark.sources.state import RunState, Step
 from tidemark.sources.tables import read_bronze, read_quarantine, read_silver, write_load
 
 TODAY = dt.date(2024, 3, 1)
@@ -137,7 +137,7 @@ def test_a_run_that_failed_is_repeated_whole(spark, tmp_path, monkeypatch):
         raise OSError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(RunState, "put", lost)
+        patch.setattr(Step, "commit", lost)
         with pytest.raises(OSError):
             promote(spark, paths, today=TODAY)
     promote(spark, paths, today=TODAY)

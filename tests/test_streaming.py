@@ -12,7 +12,7 @@ from tidemark.plans.marts import MARTS, read_mart, register_views, stage, update
 from tidemark.plans.paths import Paths
 from tidemark.plans.pipeline import backfill_bronze, promote, read_failing, run_pipeline, store_checks
 from tidemark.sources.raw import from_text, stream_raw
-from tidemark.sources.state import RunState
+from tidemark.sources.state import RunState, Step
 from tidemark.sources.tables import read_bronze, read_quarantine, read_silver
 from tidemark.streaming.jobs import land_events, load_bronze
 
@@ -177,7 +177,7 @@ def test_dimension_survives_a_crash_before_the_version_is_saved(spark, tmp_path,
     load(spark, paths)
     promote(spark, paths, today=TODAY)
     with monkeypatch.context() as patch:
-        patch.setattr(RunState, "put", lost)
+        patch.setattr(Step, "commit", lost)
         with pytest.raises(OSError):
             update_dimension(spark, paths)
     assert everything(read_dimension(spark, paths)) == before
