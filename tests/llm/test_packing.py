@@ -103,6 +103,15 @@ def test_ids_of_documents_are_kept_beside_null_ones(spark):
     assert [r.doc_id for r in packing.pieces(docs, PATH).collect()] == ids
 
 
+def test_words_of_all_latin_letters():
+    """Word by word as the tokenizer does it, in either case, with marks and letters that have no case."""
+    letters = [chr(c) for c in range(0x21, 0x100)]
+    texts = [" ".join(f"{a}{b}{m}" for b in letters[::7] for m in ("", ".", "!", "..")) for a in letters]
+    encode, tokenizer = packing._Encoder(PATH), Tokenizer.from_file(PATH)
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encode(texts) == want
+
+
 def test_cache_may_be_cleared_at_any_batch(monkeypatch):
     monkeypatch.setattr(packing, "CACHED_WORDS", 3)
     encode = packing._Encoder(PATH)

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import itertools
-import operator
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -31,26 +28,34 @@ MOST_GROUPS = 1_000_000
 
 _PIECE = "piece int, start long, length long, ids_crc32 long"
 
-# Runs of Latin-1 letters and of other visible characters. The tokenizer ends a piece at such a border, but
-# that an apostrophe may take the letters behind it along, so these stay together.
-_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
-_UNITS = re.compile(rf"[^{_LETTERS} \t\n\r]*'[{_LETTERS}]+|[{_LETTERS}]+|[^{_LETTERS} \t\n\r]+")
-_SPACED = re.compile(r"[^ \t\n\r]+")
+_MARKS = ".,;:!?"
+
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies write a byte as the Latin-1 character of its number if that can be seen, the other
+    bytes as the characters from 256 on, in their order."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in seen]
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
+_BYTES = _byte_letters()
 
 
 def _units(text: str) -> list[str] | None:
-    """Parts that the tokenizer treats alike wherever they stand; None for a text to be encoded whole.
+    """Parts between white space, which the tokenizer treats alike wherever they stand; None for a text to be
+    encoded whole, as a special token in a text is recognised before it is split.
 
-    A special token in a text is recognised before it is split, so these texts stay whole. Beyond
-    Latin-1, combining marks may change the letter before them; white space parts these.
+    Beyond Latin-1 the lower case of a letter may depend on what is around it, so only the tokenizer makes it there.
     """
     if "<|" in text:
         return None
     try:
         text.encode("latin-1")
+        text = text.lower()
     except UnicodeEncodeError:
-        return _SPACED.findall(text)
-    return _UNITS.findall(text.lower())  # the tokenizer lower-cases too
+        pass
+    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
 class _Encoder:
@@ -62,18 +67,32 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.model = self.tokenizer.model
+        self.marks = dict(zip(_MARKS, self._encode(list(_MARKS)), strict=True))
         self.cache: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _word(self, word: str) -> bytes:
+        letters = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
     def _learn(self, missing: set[str]) -> None:
-        """Lower-case words of ASCII letters are one piece that no step before the model changes."""
-        tokens = self.model.tokenize
-        plain = [u for u in missing if u.isascii() and u.isalpha() and u.islower()]
-        self.cache.update((u, array("I", [t.id for t in tokens(u)]).tobytes()) for u in plain)
-        others = list(missing.difference(plain))
+        """A lower-case word of Latin-1 letters is one piece that no step before the model changes but for writing its
+        bytes as letters, and so is a mark behind it. All else goes through the whole tokenizer."""
+        found, others = {}, []
+        for unit in missing:
+            if unit and max(unit) <= "ÿ" and unit.islower():
+                if unit.isalpha():
+                    found[unit] = self._word(unit)
+                    continue
+                stem = unit[:-1]
+                if unit[-1] in self.marks and stem.isalpha():
+                    found[unit] = (self.cache.get(stem) or self._word(stem)) + self.marks[unit[-1]]
+                    continue
+            others.append(unit)
+        self.cache.update(found)
         self.cache.update(zip(others, self._encode(others), strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -83,14 +102,17 @@ class _Encoder:
         found = [u and list(map(self.cache.get, u)) for u in split]
         missing: set[str] = set()
         for units, ids in zip(split, found, strict=True):
-            missing.update(itertools.compress(units or (), map(operator.not_, ids or ())))
+            if ids and None in ids:
+                missing.update(u for u, i in zip(units, ids, strict=True) if i is None)
         self._learn(missing)
-        known, out = self.cache.__getitem__, []
+        out = []
         for text, units, ids in zip(texts, split, found, strict=True):
             if units is None:
                 out.append(self._encode([text])[0])
-            else:
-                out.append(b"".join(map(known, units) if None in ids else ids))
+                continue
+            if None in ids:
+                ids = [self.cache[u] if i is None else i for u, i in zip(units, ids, strict=True)]
+            out.append(b"".join(ids))
         return out
 
 
