@@ -11,12 +11,12 @@ import math
 
 import numpy as np
 
-STEP = 0.1  # the most of a length's demand that one pricing covers
+STEP = 0.2  # the most of a length's demand that one pricing covers
 SHARPNESS = 1.0  # how fast the price of a covered length falls
 SLACK = 0.003  # configurations this close to the best one of a pricing are used too
-PASSES = 6  # over the lengths, with corrected prices
+PASSES = 5  # over the lengths, with corrected prices
 CLOSE = 0.002  # a cover this close to the bound is good enough
-ROUNDS = 3  # the program itself, then what rounding has left
+ROUNDS = 2  # the program itself, then what rounding has left
 
 
 def best_values(prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

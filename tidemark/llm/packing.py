@@ -19,7 +19,7 @@ from tidemark.llm.configurations import pack as pack_histogram
 
 CAPACITY = 2048
 END = 0  # the id behind every document
-CACHED_WORDS = 800_000  # kept by a Python worker between batches, about 160 MB
+CACHED_WORDS = 1_500_000  # kept by a Python worker between batches, about 300 MB
 CHUNK_CHARS = 1 << 20  # text whose words are looked up together
 #: Rows whose rank within their length is counted in one group; more where a corpus would need
 #: over a million groups.
