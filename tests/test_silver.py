@@ -12,6 +12,7 @@ from tidemark.plans.marts import read_mart, update_marts
 from tidemark.plans.paths import Paths
 from tidemark.plans.pipeline import backfill_bronze, not_promoted, promote
 from tidemark.sources.raw import from_text
+from tidemark.sources.snapshots import Snapshots
 from tidemark.sources.state import RunState, Step
 from tidemark.sources.tables import read_bronze, read_quarantine, read_silver, write_load
 
@@ -97,8 +98,12 @@ def test_incremental_runs(spark, tmp_path):
     assert sorted(map(str, read_silver(spark, paths.silver).collect())) == before
 
 
-def written(folder):
-    return {f: os.stat(f"{d}/{f}").st_mtime_ns for d, _, files in os.walk(folder) for f in files if f.endswith(".parquet")}
+def files_by_day(spark, paths):
+    """The files that hold each day of the published silver."""
+    found = {}
+    for file in read_silver(spark, paths.silver).inputFiles():
+        found.setdefault(int(file.split("/event_date=2024-01-")[1][:2]), set()).add(file)
+    return found
 
 
 def test_a_run_rewrites_the_dates_of_new_loads_only(spark, tmp_path):
@@ -106,19 +111,20 @@ def test_a_run_rewrites_the_dates_of_new_loads_only(spark, tmp_path):
     days = [f"2024-01-{d:02d}T10:00:00" for d in (7, 8, 9, 10)]
     deliver(spark, paths, 0, [(f"{i}{k}", day, "US", day) for i, day in enumerate(days) for k in "ab"])
     promote(spark, paths, lookback_days=3, today=TODAY)
-    day = {d: f"{paths.silver}/event_date=2024-01-{d:02d}" for d in (7, 8, 9, 10, 11)}
-    before = {d: written(day[d]) for d in (7, 8, 9, 10)}
+    before = files_by_day(spark, paths)
 
     # A new date: the ones before it stay as they are.
     deliver(spark, paths, 1, [("new", "2024-01-11T10:00:00", "US", "b")], "2024-02-02 00:00:00")
     promote(spark, paths, lookback_days=3, today=TODAY)
-    assert {d: written(day[d]) for d in before} == before and written(day[11])
+    now = files_by_day(spark, paths)
+    assert {d: now[d] for d in before} == before and sorted(now) == [7, 8, 9, 10, 11]
 
     # An event that moves touches the date it leaves and the one it goes to.
     deliver(spark, paths, 2, [("1a", "2024-01-09T11:00:00", "CA", "c"), ("new", "2024-01-11T10:00:00", "GB", "a")],
             "2024-02-03 00:00:00")
     promote(spark, paths, lookback_days=3, today=TODAY)
-    assert {d: written(day[d]) == before[d] for d in before} == {7: True, 8: False, 9: False, 10: True}
+    now = files_by_day(spark, paths)
+    assert {d: now[d] == before[d] for d in before} == {7: True, 8: False, 9: False, 10: True}
     found = {(r.event_id, r.country, r.event_date.day) for r in read_silver(spark, paths.silver).collect()}
     assert found == {
         *((f"{i}{k}", "US", 7 + i) for i in range(4) for k in "ab" if (i, k) != (1, "a")), ("1a", "CA", 9), ("new", "GB", 11)
@@ -179,9 +185,7 @@ def test_emptied_partitions_hold_no_rows(spark, tmp_path):
     deliver(spark, paths, 1, [("0", "2024-01-10T11:00:00", "CA", "b")], "2024-02-02 00:00:00")
     promote(spark, paths, today=TODAY)
     assert countries(spark, paths) == {"0": "CA", "1": "US"}
-    # The files hold the same rows for a reader that knows nothing of runs.
-    files = spark.read.parquet(paths.silver)
-    assert files.count() == 2 and {str(d) for (d,) in files.select("event_date").collect()} == {"2024-01-10"}
+    assert Snapshots(spark, paths.silver).begin().dates("") == [dt.date(2024, 1, 10)]
 
 
 def test_events_too_late_are_listed(spark, tmp_path):
@@ -203,7 +207,8 @@ def test_types_that_clients_make_up_share_a_folder(spark, tmp_path):
     rows = rows.selectExpr("*", "'2024-01-10T10:00:00' AS event_ts", "1 AS user_id", "'US' AS country")
     write_load(bronze(from_text(rows.select(F.to_json(F.struct("*")).alias("value")))), paths.bronze, 0)
     promote(spark, paths, today=TODAY)
-    for folder in (f"{paths.bronze}/verdict=valid", paths.silver):
+    (run,) = Snapshots(spark, paths.silver).begin().places[""].values()
+    for folder in (f"{paths.bronze}/verdict=valid", f"{paths.silver}/run={run}"):
         assert sorted(os.listdir(f"{folder}/event_date=2024-01-10")) == ["type_folder=other", "type_folder=search"]
     assert sorted(r.event_type for r in read_silver(spark, paths.silver).collect()) == sorted(kinds)
     assert [r.event_id for r in read_silver(spark, paths.silver, event_type="a/b=c").collect()] == ["2"]

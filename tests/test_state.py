@@ -71,10 +71,11 @@ def test_a_promotion_beside_another_is_refused(spark, tmp_path, monkeypatch):
     write, inner = pipeline.write_silver, []
 
     def beside(*args, **kwargs):
-        write(*args, **kwargs)
+        published = write(*args, **kwargs)
         if not inner:
             inner.append(1)
             promote(spark, paths, 2, TODAY)
+        return published
 
     monkeypatch.setattr(pipeline, "write_silver", beside)
     with pytest.raises(ConflictingRunError):

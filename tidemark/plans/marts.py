@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,10 @@ from tidemark.operators.silver import type_tables
 from tidemark.plans.changes import changes_after
 from tidemark.plans.dimension import read_current_users, read_dimension
 from tidemark.plans.paths import Paths
-from tidemark.schemas import EVENT_TYPES, TYPE_TABLES
+from tidemark.schemas import TYPE_TABLES
+from tidemark.sources.snapshots import Snapshot, Snapshots
 from tidemark.sources.state import RunState
-from tidemark.sources.tables import read_silver, read_table, write_partitioned
+from tidemark.sources.tables import read_silver, write_partitioned
 
 # Function, stored columns, and the event types the mart is made from (None: all).
 # Every mart is keyed by date, so a run can replace just the dates it touched.
@@ -41,42 +43,27 @@ def stage(spark: SparkSession, paths: Paths, since: dt.date | None = None) -> Da
 
 
 def write_marts(
-    spark: SparkSession, paths: Paths, since: dt.date | None = None, dates: list[dt.date] | None = None
-) -> None:
-    """Write all marts: in full, only the dates from `since` on, or of these the given `dates`."""
+    spark: SparkSession,
+    paths: Paths,
+    since: dt.date | None = None,
+    dates: list[dt.date] | None = None,
+    begun: Snapshot | None = None,
+) -> Snapshot:
+    """Write all marts, in full, only the dates from `since` on, or of these the given `dates`, and publish them
+    together: a reader never sees one mart ahead of another. Dates without events any more go with it."""
+    begun = begun or Snapshots(spark, paths.marts).begin()
     stg = stage(spark, paths, since)
     if dates is not None:
         stg = stg.filter(F.col("event_date").isin(dates))
-    mode = "overwrite" if since is None else "replace"
+    run = uuid.uuid4().hex
 
     def write(name: str) -> None:
-        mart = MARTS[name][0]
-        write_partitioned(mart(stg), f"{paths.marts}/{name}", ["event_date"], mode)
+        write_partitioned(MARTS[name][0](stg), f"{paths.marts}/{name}/run={run}", ["event_date"], "overwrite")
 
     # The marts do not depend on each other, so their jobs may overlap.
     with ThreadPoolExecutor(len(MARTS)) as pool:
         list(pool.map(write, MARTS))
-    if since is not None:
-        _empty_lost_dates(spark, paths, since, dates)
-
-
-def _empty_lost_dates(
-    spark: SparkSession, paths: Paths, since: dt.date, dates: list[dt.date] | None
-) -> None:
-    """Empty the stored dates that no longer have events; replacing partitions keeps them.
-
-    Only partition values come to the driver.
-    """
-    known = F.when(F.col("event_type").isin(EVENT_TYPES), F.col("event_type"))
-    looked_at = F.lit(True) if dates is None else F.col("event_date").isin(dates)
-    filled = read_silver(spark, paths.silver, since).filter(looked_at).select("event_date", known).distinct().collect()
-    for name, (_, schema, types) in MARTS.items():
-        stored = read_mart(spark, paths, name, since)
-        old = {row[0] for row in stored.filter(looked_at).select("event_date").distinct().collect()}
-        lost = old - {day for day, kind in filled if types is None or kind in types}
-        for day in lost:
-            nothing = spark.createDataFrame([], schema).drop("event_date")
-            nothing.write.mode("overwrite").parquet(f"{paths.marts}/{name}/event_date={day.isoformat()}")
+    return begun.publish(dict.fromkeys(MARTS, run), since, dates)
 
 
 def update_marts(spark: SparkSession, paths: Paths, lookback_days: int = 2) -> None:
@@ -86,6 +73,7 @@ def update_marts(spark: SparkSession, paths: Paths, lookback_days: int = 2) -> N
     recomputed, and where one is no longer remembered those of the lookback window.
     """
     step = RunState(spark, paths.state).begin()
+    begun = Snapshots(spark, paths.marts).begin()
     run = step.get("silver_run")
     if run is not None and run == step.get("marts_run"):
         return
@@ -96,32 +84,42 @@ def update_marts(spark: SparkSession, paths: Paths, lookback_days: int = 2) -> N
     dates = None
     if changed:
         since, dates = min(changed.since, since) if changed.dates is None else changed.since, changed.dates
-    write_marts(spark, paths, since, dates)
+    write_marts(spark, paths, since, dates, begun)
     saved = {"marts_checkpoint": reached, "marts_run": run}
     step.commit({name: value for name, value in saved.items() if value is not None})
 
 
 def read_mart(
-    spark: SparkSession, paths: Paths, name: str, since: dt.date | None = None
+    spark: SparkSession, paths: Paths, name: str, since: dt.date | None = None, snapshot: int | None = None
 ) -> DataFrame:
-    """A stored mart, its date first as when it was computed."""
-    table = read_table(spark, f"{paths.marts}/{name}", MARTS[name][1], since)
+    """A mart as last published, or of an earlier snapshot, its date first as when it was computed."""
+    snapshots = Snapshots(spark, paths.marts)
+    return _of_snapshot(snapshots.begin() if snapshot is None else snapshots.at(snapshot), name, since)
+
+
+def _of_snapshot(snapshot: Snapshot, name: str, since: dt.date | None = None) -> DataFrame:
+    table = snapshot.read(name, f"{MARTS[name][1]}, run string", since).drop("run")
     return table.select("event_date", *[c for c in table.columns if c != "event_date"])
 
 
 def register_views(spark: SparkSession, paths: Paths) -> list[str]:
-    """Register every table under its name for SQL; returns the names the catalog lists."""
-    silver = read_silver(spark, paths.silver)
+    """Register every table under its name for SQL; returns the names the catalog lists.
+
+    The views of silver and its types are of one snapshot, and so are those of the marts.
+    """
+    number = Snapshots(spark, paths.silver).begin().number
+    stored = Snapshots(spark, paths.marts).begin()
+    silver = read_silver(spark, paths.silver, snapshot=number)
     views = {
         "silver_events": silver,
         "stg_events": marts.stg_events(silver),
         "dim_user_scd": read_dimension(spark, paths),
         "dim_user_current": read_current_users(spark, paths),
         **{
-            name: type_tables(read_silver(spark, paths.silver, event_type=kind))[name]
+            name: type_tables(read_silver(spark, paths.silver, event_type=kind, snapshot=number))[name]
             for name, (kind, _) in TYPE_TABLES.items()
         },
-        **{name: read_mart(spark, paths, name) for name in MARTS},
+        **{name: _of_snapshot(stored, name) for name in MARTS},
     }
     for name, view in views.items():
         view.createOrReplaceTempView(name)

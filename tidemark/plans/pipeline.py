@@ -19,9 +19,10 @@ from tidemark.plans.compaction import compact_bronze
 from tidemark.plans.dimension import read_current_users, update_dimension
 from tidemark.plans.marts import MARTS, read_mart, stage, update_marts
 from tidemark.plans.paths import Paths
-from tidemark.schemas import BRONZE_SCHEMA
+from tidemark.schemas import BRONZE_SCHEMA, SILVER_COLUMNS, SILVER_SCHEMA
 from tidemark.sources.raw import read_raw, stream_raw
 from tidemark.sources.scratch import scratch_dir
+from tidemark.sources.snapshots import Snapshot, Snapshots
 from tidemark.sources.state import EPOCH, RunState
 from tidemark.sources.tables import (
     read_bronze,
@@ -65,6 +66,7 @@ def promote(
     its state meanwhile; run it again then.
     """
     step = RunState(spark, paths.state).begin()
+    begun = Snapshots(spark, paths.silver).begin()
     checkpoint = step.get("silver_checkpoint", EPOCH)
     since = dt.date.fromisoformat(checkpoint) - dt.timedelta(days=lookback_days)
     bronze = read_bronze(spark, paths.bronze, since, with_load=True)
@@ -77,16 +79,17 @@ def promote(
         if known == held:
             return checkpoint
         loads = sorted({k.split("/", 1)[1] for k in held.keys() - known.keys()})
-        dates, users = _promote_loads(spark, paths, window, loads, since)
+        published, dates, users = _promote_loads(spark, begun, window, loads, since)
     else:
-        write_silver(silver_ops.silver(window.drop("load")), paths.silver, uuid.uuid4().hex, since)
+        rows = silver_ops.silver(window.drop("load"))
+        published = write_silver(rows, paths.silver, uuid.uuid4().hex, since, begun=begun)
         dates = users = None
-    newest = read_silver(spark, paths.silver, since).agg(F.max("event_date")).first()[0]
-    if newest is None:
+    held_dates = published.dates("", since)
+    if not held_dates:
         return None
     # An event dated in the future must not push on-time events out of the window.
     limit = today or dt.datetime.now(dt.timezone.utc).date()
-    moved = max(checkpoint, min(newest, limit).isoformat())
+    moved = max(checkpoint, min(held_dates[-1], limit).isoformat())
     # Later runs look back from the new checkpoint, or further if the lookback grows.
     later = (dt.date.fromisoformat(moved) - dt.timedelta(days=lookback_days)).isoformat()
     kept = {k: v for k, v in held.items() if k >= later}
@@ -110,10 +113,10 @@ def _held(window: DataFrame) -> dict[str, list[int]]:
 
 
 def _promote_loads(
-    spark: SparkSession, paths: Paths, window: DataFrame, loads: list[str], since: dt.date
-) -> tuple[list[dt.date], list[int]]:
-    """Take the events of some loads into silver; returns the dates it has rewritten, and the buckets
-    of the users of these events' copies.
+    spark: SparkSession, begun: Snapshot, window: DataFrame, loads: list[str], since: dt.date
+) -> tuple[Snapshot, list[dt.date], list[int]]:
+    """Take the events of some loads into silver; returns the snapshot, the dates it has rewritten, and the
+    buckets of the users of these events' copies.
 
     The newest copy of each such event is chosen among all its copies in the window. The dates
     of all these copies are rewritten, with their other events as they stand; that bronze alone
@@ -124,13 +127,14 @@ def _promote_loads(
     path = scratch_dir(spark, "newest")
     silver_ops.silver(copies).write.parquet(path)
     newest = spark.read.parquet(path)
-    stored = read_silver(spark, paths.silver, since).filter(F.col("event_date") >= F.lit(since))
+    stored = begun.read("", SILVER_SCHEMA, since).select(SILVER_COLUMNS)
     ids = newest.select("event_id")
     touched = copies.select("event_date", user_bucket(USER_BUCKETS).alias("users")).distinct().collect()
     dates, users = sorted({r["event_date"] for r in touched}), sorted({r["users"] for r in touched})
     others = stored.filter(F.col("event_date").isin(dates)).join(ids, "event_id", "left_anti")
-    write_silver(others.unionByName(newest), paths.silver, uuid.uuid4().hex, since, dates)
-    return dates, users
+    path = begun.snapshots.path
+    published = write_silver(others.unionByName(newest), path, uuid.uuid4().hex, since, dates, begun)
+    return published, dates, users
 
 
 def not_promoted(spark: SparkSession, paths: Paths) -> DataFrame:

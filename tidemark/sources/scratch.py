@@ -30,9 +30,14 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of a partition column, from the names of the folders below `path`; none if it isn't there."""
+    return list(folder_ages(spark, path, column))
+
+
+def folder_ages(spark: SparkSession, path: str, column: str) -> dict[str, float]:
+    """Values of a partition column and when their folders last changed, in seconds since 1970."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if not files.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
-    return [name.split("=", 1)[1] for name in names if name.startswith(f"{column}=")]
+        return {}
+    found = [(status.getPath().getName(), status.getModificationTime() / 1000) for status in files.listStatus(folder)]
+    return {name.split("=", 1)[1]: changed for name, changed in found if name.startswith(f"{column}=")}

@@ -29,14 +29,23 @@ class RunState:
     record one is refused, whatever the values are. A record appears by rename, so none is ever half written.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, kept: int | None = None):
         self.spark = spark
         self.path = path
+        self.kept = KEPT if kept is None else kept
 
     def begin(self) -> Step:
         """The values as they are now, and the right to save the next ones."""
-        number = max(self._numbers(), default=0)
-        return Step(self, number, self._read(number) if number else {})
+        return self.at(max(self.numbers(), default=0))
+
+    def at(self, number: int) -> Step:
+        """The values of one record; ValueError if it isn't there. Number 0 is before the first one, without values."""
+        try:
+            return Step(self, number, self._read(number) if number else {})
+        except Py4JJavaError as error:
+            if error.java_exception.getClass().getSimpleName() != "FileNotFoundException":
+                raise
+            raise ValueError(f"{self.path} has no record {number}") from None
 
     def get(self, name: str, default: str | None = None) -> str | None:
         """Last value saved under `name`."""
@@ -53,7 +62,8 @@ class RunState:
         conf = self.spark._jsparkSession.sessionState().newHadoopConf()
         return self._path("_").getFileSystem(conf)
 
-    def _numbers(self) -> list[int]:
+    def numbers(self) -> list[int]:
+        """Numbers of the records that are kept."""
         files, folder = self._files(), self._path("_").getParent()
         if not files.exists(folder):
             return []
@@ -85,8 +95,8 @@ class RunState:
             if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
                 raise ConflictingRunError(f"record {number} of {self.path} was saved by another run") from None
             raise
-        for old in self._numbers():
-            if old < number - KEPT:
+        for old in self.numbers():
+            if old < number - self.kept:
                 files.delete(self._path(f"{old:012d}.json"), False)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.sources.snapshots import Snapshot, Snapshots
 
 SILVER_BY = ["event_date", "type_folder"]
 BRONZE_BY = ["verdict", *SILVER_BY]
@@ -63,10 +64,16 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_silver(
-    spark: SparkSession, path: str, since: dt.date | None = None, event_type: str | None = None
+    spark: SparkSession,
+    path: str,
+    since: dt.date | None = None,
+    event_type: str | None = None,
+    snapshot: int | None = None,
 ) -> DataFrame:
-    """Silver events; of one type only its folders are read."""
-    table = read_table(spark, path, schemas.SILVER_SCHEMA, since)
+    """Silver events as last published, or of an earlier snapshot; of one type only its folders are read."""
+    snapshots = Snapshots(spark, path)
+    found = snapshots.begin() if snapshot is None else snapshots.at(snapshot)
+    table = found.read("", schemas.SILVER_SCHEMA, since)
     if event_type is not None:
         table = table.filter((F.col("type_folder") == _folder_of(F.lit(event_type))) & (F.col("event_type") == event_type))
     return table.select(schemas.SILVER_COLUMNS)
@@ -101,23 +108,20 @@ def write_load(bronze: DataFrame, path: str, load: object) -> None:
 
 
 def write_silver(
-    silver: DataFrame, path: str, run: str, since: dt.date | None = None, dates: list[dt.date] | None = None
-) -> None:
-    """Replace the stored partitions that `silver` has rows for, and empty the other ones of
-    the dates from `since` on (of these the given `dates`): their events have moved or were
-    taken back.
-
-    `run` must be new with every call; it tells fresh partitions from those left over. Only
-    the values of these, dates by known types, come to the driver. A reader that comes between the
-    two steps can see a moved event twice; a repeated run clears that up.
+    silver: DataFrame,
+    path: str,
+    run: str,
+    since: dt.date | None = None,
+    dates: list[dt.date] | None = None,
+    begun: Snapshot | None = None,
+) -> Snapshot:
+    """Publish `silver` in the place of the dates from `since` on (of these the given `dates`); returns the snapshot.
+
+    Dates that lost all their events go with it. `run` must be new with every call. `begun` is the snapshot that
+    `silver` was computed from; if another run has published since, ConflictingRunError is raised and
+    readers see nothing of this one.
     """
-    rows = silver.withColumns({"type_folder": _folder_of(F.col("event_type")), "run": F.lit(run)})
-    write_partitioned(rows, path, SILVER_BY, "replace")
-    stored = read_table(silver.sparkSession, path, schemas.SILVER_SCHEMA, since)
-    if since is not None:
-        stored = stored.filter(F.col("event_date") >= F.lit(since))
-    if dates is not None:
-        stored = stored.filter(F.col("event_date").isin(dates))
-    nothing = silver.sparkSession.createDataFrame([], schemas.SILVER_SCHEMA).drop(*SILVER_BY)
-    for day, kind in stored.filter(F.col("run") != run).select(SILVER_BY).distinct().collect():
-        nothing.write.mode("overwrite").parquet(f"{path}/event_date={day.isoformat()}/type_folder={kind}")
+    begun = begun or Snapshots(silver.sparkSession, path).begin()
+    rows = silver.withColumn("type_folder", _folder_of(F.col("event_type")))
+    write_partitioned(rows, f"{path}/run={run}", SILVER_BY, "overwrite")
+    return begun.publish({"": run}, since, dates)
