@@ -43,6 +43,10 @@ class Paths:
     def checks(self) -> str:
         return f"{self.root}/warehouse/checks"
 
+    @property
+    def schemas(self) -> str:
+        return f"{self.root}/_schemas"
+
     @property
     def state(self) -> str:
         return f"{self.root}/_state"

@@ -256,6 +256,9 @@ ORACLE_SQL = {
     "SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ingested_at DESC) AS rn FROM app_events) WHERE rn = 1) "
     f"SELECT event_id, event_type, {_date('event_date')}, country, {_ts('ingested_at')} FROM newest n "
     "WHERE NOT EXISTS (SELECT 1 FROM silver s WHERE s.event_id = n.event_id AND s.ingested_at = n.ingested_at)",
+    "silver_snapshot_read": f"WITH {APP_EVENTS}, newest AS (SELECT *, row_number() OVER (PARTITION BY event_id "
+    "ORDER BY ingested_at DESC) AS rn FROM app_events WHERE ingested_at <= TIMESTAMP '2024-01-20 00:00:00') "
+    + SILVER_SELECT + " FROM newest WHERE rn = 1",
     "silver_idle_run": f"WITH {_two_runs(2)}" + SILVER_SELECT + " FROM silver",
     "silver_incremental_short_lookback": f"WITH {_two_runs(1)}" + SILVER_SELECT + " FROM silver",
     "silver_by_type": f"WITH {SILVER}"
@@ -305,6 +308,14 @@ ORACLE_SQL = {
     "THEN CAST(json_extract_string(props, '$.k') AS BIGINT) ELSE -1 END AS nested_k, "
     "CASE WHEN event_type = 'error' AND ts >= TIMESTAMP '2024-01-16 00:00:00' "
     "THEN event_type ELSE '' END AS error_message FROM events",
+    "schema_registry": "WITH found AS (SELECT CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN 2 ELSE 1 END AS version, "
+    "bool_or(user_id IS NOT NULL) AS has_user, bool_or(json_extract(props, '$.k') IS NOT NULL) AS has_k "
+    "FROM events GROUP BY ALL) "
+    "SELECT version, 'generation ' || version AS load, path, type, change, type_before FROM found JOIN (VALUES "
+    "(1, 'event_id', 'STRING', 'added', ''), (1, 'score', 'BIGINT', 'added', ''), (1, 'session', 'BIGINT', 'added', ''), "
+    "(2, 'score', 'DOUBLE', 'widened', 'BIGINT'), (2, 'session', 'VARIANT', 'conflict', 'BIGINT'), "
+    "(2, 'context.k', 'BIGINT', 'added', '')) t(v, path, type, change, type_before) ON version = v "
+    "WHERE path = 'event_id' OR (path = 'context.k' AND has_k) OR (path IN ('score', 'session') AND has_user)",
     "ingestion_log": f"WITH {APP_EVENTS}"
     "SELECT 'event_ingested' AS type, md5(event_id) AS request_id, event_id, event_type, "
     f"{_ts('ingested_at')}, "

@@ -24,8 +24,10 @@ from tidemark.plans.dimension import last_run, read_dimension, update_dimension
 from tidemark.plans.marts import MARTS, read_mart, update_marts
 from tidemark.plans.paths import Paths
 from tidemark.plans.pipeline import backfill_bronze, not_promoted, promote, run_pipeline
+from tidemark.plans.registry import history, register
 from tidemark.sources.raw import from_text, read_raw, stream_raw
 from tidemark.sources.scratch import scratch_dir
+from tidemark.sources.snapshots import Snapshots
 from tidemark.sources.state import RunState
 from tidemark.sources.tables import (
     read_bronze,
@@ -217,6 +219,14 @@ def silver_idle_run(spark, sf):
     return as_text(_ingested(read_silver(spark, paths.silver).select(SILVER_OUT)))
 
 
+def silver_snapshot_read(spark, sf):
+    """What a reader sees after the second promotion that keeps to the snapshot of the first one."""
+    pinned: list[int] = []
+    paths = _two_promotions(spark, sf, 2, lambda paths: pinned.append(Snapshots(spark, paths.silver).begin().number))
+    kept = read_silver(spark, paths.silver, snapshot=pinned[0])
+    return as_text(_ingested(kept.select(SILVER_OUT)))
+
+
 def late_not_promoted(spark, sf):
     """What came too late for the windows of two promotions with the short lookback."""
     late = not_promoted(spark, _two_promotions(spark, sf, 1))
@@ -422,6 +432,24 @@ def schema_evolution(spark, sf):
     )
 
 
+def schema_registry(spark, sf):
+    """Versions after two generations of records: fields come, one is widened, one changes its type."""
+    paths = Paths(scratch_dir(spark, "lake"))
+    events = adapter.test_events(spark, sf)
+    later = F.col("ts") >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    number = F.col("user_id")
+    generations = (
+        (~later, [number.alias("score"), number.alias("session")]),
+        (later, [(number + 0.5).alias("score"), F.concat(F.lit("s"), number).alias("session"),
+                 F.from_json("props", "k bigint").alias("context")]),
+    )
+    for i, (chosen, fields) in enumerate(generations):
+        records = events.filter(chosen).select(F.col("event_id").cast("string").alias("event_id"), *fields)
+        register(from_text(records.select(F.to_json(F.struct("*")).alias("value"))), paths, f"generation {i + 1}")
+    found = history(spark, paths)
+    return as_text(found.withColumn("type_before", F.coalesce("type_before", F.lit(""))))
+
+
 def ingestion_log_records(spark, sf):
     stamped = adapter.deliveries(spark, sf).withColumn("request_id", F.md5("event_id"))
     return as_text(_ingested(ingestion_log(stamped)))
@@ -493,13 +521,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         raw_json_scan, bronze_enrich, bronze_lookback_scan, bronze_two_streams, bronze_backfill_twice,
         silver_dedup_latest, silver_events, silver_incremental, silver_incremental_short_lookback,
-        silver_idle_run, late_not_promoted,
+        silver_idle_run, silver_snapshot_read, late_not_promoted,
         silver_by_type, checkpoint_max_date, scd_watermark,
         stg_events, mart_dau, mart_revenue, mart_event_mix, mart_funnel, mart_funnel_join,
         mart_incremental, preview_dau,
         scd_incremental_filter, scd2_full_build, scd2_full_build_pieces, scd2_incremental_apply,
         scd2_rebuild_touched, scd2_replay, dim_user_current, preview_current_users,
-        validate_events, landing_stream, schema_evolution,
+        validate_events, landing_stream, schema_evolution, schema_registry,
         dq_not_null, dq_unique, dq_accepted_values,
         pipeline_dimension, pipeline_marts, dimension_lookback_change,
     )
