@@ -105,6 +105,19 @@ def test_secrets(spark):
     assert by_id[10].n_live == 1  # long token of no base kind
 
 
+def test_secrets_judged_by_owners_and_repositories(spark):
+    """A value in many repositories of one owner is copied; with two owners it is shared."""
+    many, two, few = (hashlib.sha1(k).hexdigest() for k in (b"many", b"two", b"few"))
+    rows = [(i, f"key {many}", "a", f"r{i}") for i in range(6)] + [(10, f"key {two}", "a", "r0"), (11, f"key {two}", "b", "r0")]
+    rows += [(20 + i, f"key {few}", "c", f"r{i % 3}") for i in range(9)]
+    got = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, owner string, repo string")).collect()}
+    counts = {d: (r.n_live, r.n_shared, r.n_copied, r.owned) for d, r in got.items()}
+    assert {counts[i] for i in range(6)} == {(0, 0, 1, "copied:4:44:1:6")}
+    assert counts[10] == counts[11] == (0, 1, 0, "shared:4:44:2:2")
+    assert {counts[20 + i] for i in range(9)} == {(1, 0, 0, "live:4:44:1:3")}
+    assert {r.spans for r in got.values()} == {"hex:4:44", "hex:4:44,live:4:44"}
+
+
 def test_secrets_empty(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, owner string, repo string")
     assert secrets.scan(empty).count() == 0
@@ -165,9 +178,13 @@ def test_containment(spark):
     want = set()
     for d, t, *_ in rows:
         for i, text in items:
-            q = shingles(text)
-            if q and 5 * len(q & shingles(t)) >= 4 * len(q):
-                want.add((d, i, len(q & shingles(t)), len(q)))
+            q, own = shingles(text), (t or "").lower().split()
+            size = len((text or "").split())
+            has = shingles(t) if size >= 5 else {tuple(own[k : k + size]) for k in range(len(own) - size + 1)}
+            if size < 5:
+                q = {tuple(text.lower().split())} if size else set()
+            if q and 5 * len(q & has) >= 4 * len(q):
+                want.add((d, i, len(q & has), len(q)))
     assert tally(got.select("doc_id", "item_id", "n_found", "n_item").collect()) == Counter(want)
     kept = decontaminate.decontaminate(docs(spark, rows), table)
     assert {(r.doc_id, r.text) for r in kept.collect()} == {
@@ -177,6 +194,16 @@ def test_containment(spark):
     assert decontaminate.contained(docs(spark, rows), table.limit(0)).count() == 0
 
 
+def test_short_items_inside_long_texts(spark):
+    items = [(1, "Zebra"), (2, "capital of france is"), (3, "of france"), (4, "is paris now"), (5, prose(715, 12))]
+    long = prose(716, 3000)
+    texts = ["The capital of France is Paris", f"{long} capital of france is {long}", f"{long} zebra", "zebra", "of France",
+             "capital of france", f"is paris {long} now", long, "", None, f"{items[4][1]} zebra"]
+    got = decontaminate.contained(docs(spark, [(d, t, "en", "s") for d, t in enumerate(texts)]), spark.createDataFrame(items, "item_id long, text string"))
+    want = {(0, 2), (0, 3), (1, 2), (1, 3), (2, 1), (3, 1), (4, 3), (5, 3), (10, 1), (10, 5)}
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == sorted(want)
+
+
 def test_containment_of_several_texts_of_an_item(spark):
     """Texts that share an id, or have none, are found each by itself."""
     items = [(None, prose(710, 24)), (None, prose(711, 24)), (1, prose(712, 30)), (1, prose(713, 16)), (2, prose(714, 20))]
@@ -390,6 +417,12 @@ def test_collapse(spark):
     assert chat.collapse(table.limit(0)).count() == 0
 
 
+def test_collapse_of_equal_conversations_without_an_id(spark):
+    rows = [(c, t, "user", text) for c in (None, 5, 3) for t, text in ((1, "a"), (2, "b"))] + [(7, 1, "user", "z"), (6, 1, "user", "z")]
+    got = chat.collapse(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert {(r.conv_id, r.n_turns) for r in got.collect()} == {(None, 2), (6, 1)}
+
+
 # --- 9 URLs ---------------------------------------------------------------------
 
 
@@ -422,6 +455,12 @@ def test_url_rules(spark):
         return host, path, rule, fit.get(rule, "allow")
 
     assert tally((r.page_id, r.host, r.path, r.rule, r.verdict) for r in got) == tally((i, *brute(u)) for i, u, _ in rows)
+    # With prefixes of 4 bits most expressions meet rules that aren't theirs.
+    rule_rows = spark.createDataFrame(rules, "host string, path string, verdict string")
+    coarse = url_filter.judge(table, rule_rows, short_digits=1)
+    assert tally(coarse.collect()) == tally(got)
+    plan = coarse._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("short") and "(sha2(cast(expression" in plan and "= digest" not in plan.replace("<= digest", "").replace(">= digest", "")
     none = spark.createDataFrame([], "host string, path string, verdict string")
     assert {r.verdict for r in url_filter.judge(table, none).collect()} == {"allow"}
     assert url_filter.judge(table.limit(0), none).count() == 0

@@ -36,13 +36,15 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
 def maximal(turns: DataFrame) -> DataFrame:
     """conv_id and n_turns of conversations that are not a prefix of a longer one.
 
-    Of equal conversations the smallest conv_id stays. Proper prefixes are made distinct
+    Of equal conversations the smallest conv_id stays, null before all others. Proper prefixes are made distinct
     (combined before the shuffle), so a first turn that all share is one row; whole
     conversations are made distinct before the anti join for the same reason.
     """
     hashed = store(prefix_hashes(turns), "prefixes")
     key = ["depth", "hash_a", "hash_b"]
-    whole = hashed.filter(F.col("depth") == F.col("n_turns")).groupBy(*key).agg(F.min("conv_id").alias("conv_id"))
+    # Of a struct, because the smallest of plain ids passes over nulls.
+    smallest = F.min(F.struct("conv_id"))["conv_id"].alias("conv_id")
+    whole = hashed.filter(F.col("depth") == F.col("n_turns")).groupBy(*key).agg(smallest)
     proper = hashed.filter(F.col("depth") < F.col("n_turns")).groupBy(*key).agg(F.lit(1).alias("one"))
     return whole.join(proper, key, "left_anti").select("conv_id", F.col("depth").alias("n_turns"))
 

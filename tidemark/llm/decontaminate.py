@@ -31,6 +31,21 @@ def shingle_hashes(tokens: str) -> Column:
     ).cast("array<bigint>")
 
 
+def _runs(tokens: str, size: int, of) -> Column:
+    """`of(i)` for the first word i of every run of `size` words."""
+    last = F.size(tokens) - size
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), of)).otherwise(F.array())
+
+
+def run_hashes(tokens: str, size: int) -> Column:
+    """Hashes of all runs of fewer words than a shingle has; equal to a short item's, as hashing passes over nulls."""
+    return _runs(tokens, size, lambda i: F.xxhash64(*[F.get(F.col(tokens), i + k) for k in range(size)])).cast("array<bigint>")
+
+
+def run_texts(tokens: str, size: int) -> Column:
+    return _runs(tokens, size, lambda i: F.array_join(F.slice(F.col(tokens), i + 1, size), " ")).cast("array<string>")
+
+
 def shingle_texts(tokens: str) -> Column:
     return _shingles(F.size(tokens), lambda i: F.array_join(F.slice(F.col(tokens), i + 1, SHINGLE), " ")).cast(
         "array<string>"
@@ -71,8 +86,10 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> Data
     Item hashes are broadcast if a count proves them few; beyond that the join shuffles.
     A document's shingles never leave their task unless they match a min-hash.
 
-    Letters compare in lower case. Items without words match nothing, and so do null texts;
-    an item of fewer than 5 words is one shingle and matches only a text of these words.
+    An item of fewer than 5 words is one shingle of so many words. It is looked up among all runs of its
+    length in every document; only lengths that occur among the items cost anything.
+
+    Letters compare in lower case. Items without words match nothing, and so do null texts.
     Each text of an item_id, null too, is an item of its own; of several found in a document
     the one of the highest containment is reported, of these the largest. Repeated items are
     one item; repeated rows give one row; empty tables give none.
@@ -86,9 +103,16 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> Data
         "least", F.ceil(F.lit(threshold) * F.pow(F.lit(2.0), F.col("size_class")) - 1e-9)
     )
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("tokens"))
-    hashed = texts.select("doc_id", "text_hash", shingle_hashes("tokens").alias("hashes"))
+    n_words = F.size("tokens")
+    lengths = items.filter((n_words > 0) & (n_words < SHINGLE)).select(n_words.alias("n")).distinct()
+    short = sorted(row["n"] for row in lengths.collect())  # of 1 to 4
+    hashed = texts.select(
+        "doc_id", "text_hash", shingle_hashes("tokens").alias("hashes"),
+        *[run_hashes("tokens", n).alias(f"runs_{n}") for n in short],
+    )
+    every = F.concat("hashes", *[f"runs_{n}" for n in short]) if short else F.col("hashes")
     looked_up = hashed.select(
-        "doc_id", "text_hash", F.size("hashes").alias("n_doc"), F.explode_outer("hashes").alias("shingle")
+        "doc_id", "text_hash", F.size("hashes").alias("n_doc"), F.explode_outer(every).alias("shingle")
     )
     hits = looked_up.join(
         broadcast_if_small(signed), (F.col("shingle") == F.col("hash")) & (F.col("n_doc") >= F.col("least"))
@@ -101,7 +125,7 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> Data
         broadcast_if_small(wanted.drop("one")), only, "left_semi"
     )
     suspects = suspects.select("doc_id", "text_hash", words(F.col("text")).alias("tokens")).select(
-        "doc_id", "text_hash", F.array_distinct(shingle_texts("tokens")).alias("doc_set")
+        "doc_id", "text_hash", F.array_distinct(F.concat(shingle_texts("tokens"), *[run_texts("tokens", n) for n in short])).alias("doc_set"),
     )
     parts = items.select("item", F.explode_outer(shingle_texts("tokens")).alias("s")).dropDuplicates(["item", "s"])
     item_sets = parts.groupBy(F.col("item").alias("i")).agg(F.collect_set("s").alias("item_set"))

@@ -63,25 +63,30 @@ FROM conv c
 WHERE NOT EXISTS (
   SELECT 1 FROM conv o
   WHERE o.said[1] IS NOT DISTINCT FROM c.said[1]
-    AND (o.n_turns > c.n_turns OR o.n_turns = c.n_turns AND o.conv_id < c.conv_id)
+    AND (o.n_turns > c.n_turns OR o.n_turns = c.n_turns AND (o.conv_id < c.conv_id OR o.conv_id IS NULL AND c.conv_id IS NOT NULL))
     AND o.said[1:c.n_turns] = c.said)
 """
 
 ORACLE_SQL["op3_containment_search"] = r"""
 WITH doc_words AS (
-  SELECT DISTINCT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  SELECT DISTINCT doc_id, md5(text) AS t, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
 item_words AS (
-  SELECT DISTINCT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+  SELECT DISTINCT item_id, md5(text) AS t, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+sizes AS (SELECT 5 AS k UNION SELECT DISTINCT len(w) FROM item_words WHERE len(w) BETWEEN 1 AND 4),
 doc_set AS (
-  SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(list_transform(
-    range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM doc_words WHERE len(w) > 0)),
+  SELECT DISTINCT doc_id, t, s FROM (SELECT doc_id, t, unnest(list_transform(
+    range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s FROM doc_words, sizes WHERE len(w) >= k)),
 item_set AS (
-  SELECT DISTINCT item_id, s FROM (SELECT item_id, unnest(list_transform(
+  SELECT DISTINCT item_id, t, s FROM (SELECT item_id, t, unnest(list_transform(
     range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM item_words WHERE len(w) > 0)),
-item_size AS (SELECT item_id, count(*) AS n_item FROM item_set GROUP BY item_id)
-SELECT d.doc_id, i.item_id, count(*)::BIGINT AS n_found, any_value(n.n_item)::BIGINT AS n_item
-FROM doc_set d JOIN item_set i ON d.s = i.s JOIN item_size n ON i.item_id = n.item_id
-GROUP BY d.doc_id, i.item_id HAVING 5 * count(*) >= 4 * any_value(n.n_item)
+item_size AS (SELECT item_id, t, count(*) AS n_item FROM item_set GROUP BY item_id, t),
+found AS (
+  SELECT d.doc_id, d.t, i.item_id, count(*)::BIGINT AS n_found, any_value(n.n_item)::BIGINT AS n_item
+  FROM doc_set d JOIN item_set i ON d.s = i.s JOIN item_size n ON i.item_id IS NOT DISTINCT FROM n.item_id AND i.t = n.t
+  GROUP BY d.doc_id, d.t, i.item_id, i.t HAVING 5 * count(*) >= 4 * any_value(n.n_item))
+SELECT doc_id, item_id, n_found, n_item FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, t, item_id ORDER BY n_found / n_item DESC, n_item DESC) AS best FROM found)
+WHERE best = 1
 """
 
 ORACLE_SQL["op1_secret_ownership"] = r"""
@@ -104,25 +109,30 @@ each AS (
 placed AS (
   SELECT *, sum(length(gap) + length(whole)) OVER (PARTITION BY row, kind ORDER BY i) AS stop FROM each),
 kept AS (SELECT * FROM placed WHERE length(value) >= least),
-spread AS (SELECT value, count(DISTINCT owner) AS owners FROM kept GROUP BY value),
+spread AS (
+  SELECT *, CASE WHEN owners >= 3 OR repos >= 4 THEN 5 WHEN owners = 1 THEN 3 ELSE 4 END AS rank
+  FROM (SELECT value, count(DISTINCT owner) AS owners, count(DISTINCT {'o': owner, 'r': repo}) AS repos FROM kept GROUP BY value)),
 spans AS (
-  SELECT row, kind, rank, stop - length(whole) AS start, stop FROM kept WHERE rank < 3
+  SELECT row, kind, rank, stop - length(whole) AS start, stop, NULL AS owners, NULL AS repos FROM kept WHERE rank < 3
   UNION
-  SELECT row, CASE WHEN owners = 1 THEN 'live' ELSE 'copied' END, CASE WHEN owners = 1 THEN 3 ELSE 4 END, stop - length(k.value), stop
+  SELECT row, ['live', 'shared', 'copied'][s.rank - 2], s.rank, stop - length(k.value), stop, owners, repos
   FROM kept k JOIN spread s ON k.value = s.value
-  WHERE owners >= 3 OR owners = 1 AND length(k.value) >= 16
+  WHERE s.rank = 5 OR length(k.value) >= 16
     AND len(list_distinct(string_split(k.value, ''))) >= 8 AND regexp_matches(k.value, '[0-9]') AND regexp_matches(k.value, '[A-Za-z]')
     AND NOT regexp_matches(k.value, '(?i)example|sample|dummy|placeholder|change_?me|your|xxxx|test_?key|1234567')),
 joined AS (
   SELECT row,
     count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
-    count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (kind = 'live') AS n_live, count(*) FILTER (kind = 'copied') AS n_copied,
+    count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (kind = 'live') AS n_live, count(*) FILTER (kind = 'shared') AS n_shared,
+    count(*) FILTER (kind = 'copied') AS n_copied,
     string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, rank, stop) FILTER (rank < 3) AS base,
     string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, rank, stop) FILTER (rank < 4) AS spans,
-    string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, rank, stop) FILTER (rank = 4) AS copied
+    string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, rank, stop) FILTER (rank = 5) AS copied,
+    string_agg(concat(kind, ':', start, ':', stop, ':', owners, ':', repos), ',' ORDER BY start, rank, stop) FILTER (rank > 2) AS owned
   FROM spans GROUP BY row)
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-  coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied, sha256(coalesce(base, '')) AS base_sha256,
-  coalesce(spans, '') AS spans, coalesce(copied, '') AS copied
+  coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared, coalesce(n_copied, 0) AS n_copied, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(copied, '') AS copied,
+  coalesce(owned, '') AS owned
 FROM docs d LEFT JOIN joined j ON d.row = j.row
 """

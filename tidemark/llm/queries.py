@@ -90,7 +90,8 @@ def op8_snapshot_collapse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_url_expressions(spark: SparkSession, sf: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    values = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, verdict)")
     return url_filter.judge(table(spark, sf, "pages"), rules).drop("url")
 
 

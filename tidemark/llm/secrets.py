@@ -77,9 +77,14 @@ def candidates(docs: DataFrame) -> DataFrame:
     )
 
 
-def ownership(found: DataFrame, max_owners: int = 1, copied_owners: int = 3) -> DataFrame:
+def ownership(
+    found: DataFrame, max_owners: int = 1, copied_owners: int = 3, copied_repos: int = 4
+) -> DataFrame:
     """Per candidate hash: n_owners, n_repos and whether it is copied, shared or specific.
 
+    Copied: with `copied_owners` owners or in `copied_repos` repositories, be they of one owner.
+    Specific: with `max_owners` at most and not copied. Shared: all between.
+
     Distinct (hash, owner, repo) first, combined before the shuffle, then sums: a value that
     stands in any part of the documents is a few rows per task.
     """
@@ -90,23 +95,24 @@ def ownership(found: DataFrame, max_owners: int = 1, copied_owners: int = 3) ->
         .agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"))
         .withColumn(
             "spread",
-            F.when(F.col("n_owners") >= copied_owners, "copied")
+            F.when((F.col("n_owners") >= copied_owners) | (F.col("n_repos") >= copied_repos), "copied")
             .when(F.col("n_owners") > max_owners, "shared").otherwise("specific"),
         )
     )
 
 
-def scan(docs: DataFrame, max_owners: int = 1, copied_owners: int = 3) -> DataFrame:
+def scan(docs: DataFrame, max_owners: int = 1, copied_owners: int = 3, copied_repos: int = 4) -> DataFrame:
     """Secrets of every document, judged by who else has them.
 
     `docs` has doc_id, text, owner, repo. Matches of the `BASE` kinds are spans as they are.
     Every value found, and every other long token, is a candidate: its hash is counted over
-    distinct owners and repositories of the whole corpus. One that stands with at most
-    `max_owners` owners and looks live (see `looks_live`) adds a span of kind `live` over the
-    value; one with `copied_owners` or more is a widely copied example, counted in n_copied.
+    distinct owners and repositories of the whole corpus (see `ownership`). A specific one that
+    looks live (see `looks_live`) adds a span of kind `live` over the value; a shared one that looks live is
+    counted in n_shared, and a widely copied one, an example, in n_copied.
 
-    Returns doc_id, n_assign, n_access, n_hex, n_live, n_copied, base_sha256, spans, copied
-    (spans of widely copied candidates). A null text is empty; a null owner or repository is
+    Returns doc_id, n_assign, n_access, n_hex, n_live, n_shared, n_copied, base_sha256, spans, copied
+    (spans of widely copied candidates) and owned: kind:start:end:owners:repositories of all candidates
+    that are live, shared or copied. A null text is empty; a null owner or repository is
     one of its own; repeated rows each get the same row; an empty table gives none; a text
     without a match has empty lists; other columns are not read.
     """
@@ -116,26 +122,31 @@ def scan(docs: DataFrame, max_owners: int = 1, copied_owners: int = 3) -> DataFr
         F.coalesce(F.col("repo").cast("string"), F.lit("")).alias("repo"),
     )
     found = store(candidates(keyed).withColumn("value_hash", F.sha2("value", 256)), "secrets")
-    spread = ownership(found, max_owners, copied_owners)
+    spread = ownership(found, max_owners, copied_owners, copied_repos)
     judged = found.join(spread, F.col("value_hash") == F.col("hash"))
-    order = {k: i for i, k in enumerate([*BASE, "live", "copied"])}
+    order = {k: i for i, k in enumerate([*BASE, "live", "shared", "copied"])}
 
     def span(kind: Column, start: str, end: str, rank: Column) -> Column:
         text = F.concat_ws(":", kind, F.col(start).cast("string"), F.col(end).cast("string"))
-        return F.struct(F.col(start).alias("start"), rank.alias("rank"), F.col(end).alias("end"), text.alias("text"))
+        owned = F.concat_ws(":", text, F.col("n_owners").cast("string"), F.col("n_repos").cast("string"))
+        return F.struct(
+            F.col(start).alias("start"), rank.alias("rank"), F.col(end).alias("end"), text.alias("text"), owned.alias("owned")
+        )
 
     rank = F.create_map(*[F.lit(x) for k in BASE for x in (k, order[k])])
     base = F.when(F.col("kind").isin(*BASE), span(F.col("kind"), "start", "end", rank[F.col("kind")]))
-    live = F.when(
-        (F.col("spread") == "specific") & looks_live(F.col("value")),
-        span(F.lit("live"), "value_start", "end", F.lit(order["live"])),
-    )
-    copied = F.when(
-        F.col("spread") == "copied", span(F.lit("copied"), "value_start", "end", F.lit(order["copied"]))
-    )
+
+    def judged_as(kind: str, spread: str, which: Column) -> Column:
+        return F.when(
+            (F.col("spread") == spread) & which, span(F.lit(kind), "value_start", "end", F.lit(order[kind]))
+        )
+
+    live = judged_as("live", "specific", looks_live(F.col("value")))
+    shared = judged_as("shared", "shared", looks_live(F.col("value")))
+    copied = judged_as("copied", "copied", F.lit(True))
     key = ["doc_id", "text_hash", "owner", "repo"]
     per_doc = (
-        judged.select(*key, F.explode_outer(F.array(base, live, copied)).alias("s"))
+        judged.select(*key, F.explode_outer(F.array(base, live, shared, copied)).alias("s"))
         .filter("s is not null")
         .groupBy(*[F.col(k).alias(f"_{k}") for k in key])
         .agg(F.array_sort(F.collect_set("s")).alias("all"))
@@ -144,8 +155,8 @@ def scan(docs: DataFrame, max_owners: int = 1, copied_owners: int = 3) -> DataFr
     def ranked(*kinds: str) -> Column:
         return F.filter("all", lambda s: s["rank"].isin(*[order[k] for k in kinds]))
 
-    def joined(spans: Column) -> Column:
-        return F.array_join(F.transform(spans, lambda s: s["text"]), ",")
+    def joined(spans: Column, field: str = "text") -> Column:
+        return F.array_join(F.transform(spans, lambda s: s[field]), ",")
 
     def number(kind: str) -> Column:
         return F.coalesce(F.size(ranked(kind)), F.lit(0)).cast("bigint").alias(f"n_{kind}")
@@ -158,4 +169,5 @@ def scan(docs: DataFrame, max_owners: int = 1, copied_owners: int = 3) -> DataFr
     return rows.select(
         "doc_id", *[number(k) for k in order], F.sha2(joined(ranked(*BASE)), 256).alias("base_sha256"),
         joined(ranked(*BASE, "live")).alias("spans"), joined(ranked("copied")).alias("copied"),
+        joined(ranked("live", "shared", "copied"), "owned").alias("owned"),
     )

@@ -11,6 +11,11 @@ from tidemark.llm.common import ascii_lower, same
 SHORT_DIGITS = 8
 
 
+def short_hash(expression: Column, digits: int = SHORT_DIGITS) -> Column:
+    """The first hex digits of an expression's digest, as a number."""
+    return F.conv(F.substring(F.sha2(expression, 256), 1, digits), 16, 10).cast("bigint")
+
+
 def host_of(url: Column) -> Column:
     """Between the first :// and the next / ? # or end, A-Z lower-cased; else empty."""
     return F.coalesce(ascii_lower(F.regexp_extract(url, r"://([^/?#]*)", 1)), F.lit(""))
@@ -25,7 +30,7 @@ def _labels(host: Column) -> Column:
     return F.size(F.split(host, r"\."))
 
 
-def _prepared(rules: DataFrame) -> DataFrame:
+def _prepared(rules: DataFrame, short_digits: int) -> DataFrame:
     """One row per expression: of repeated rules with different verdicts, block holds."""
     expression = F.concat(ascii_lower(F.col("host")), F.col("path"))
     return (
@@ -33,7 +38,7 @@ def _prepared(rules: DataFrame) -> DataFrame:
         .groupBy(expression.alias("rule"), ascii_lower(F.col("host")).alias("rule_host"))
         .agg(F.max("verdict").alias("rule_verdict"))
         .withColumn("digest", F.sha2("rule", 256))
-        .withColumn("short", F.substring("digest", 1, SHORT_DIGITS))
+        .withColumn("short", short_hash(F.col("rule"), short_digits))
     )
 
 
@@ -58,7 +63,12 @@ def expressions(host: Column, path: Column, labels: int, slashes: int) -> Column
 
 
 def judge(
-    pages: DataFrame, rules: DataFrame, url: str = "url", key: str = "page_id", default: str = "allow"
+    pages: DataFrame,
+    rules: DataFrame,
+    url: str = "url",
+    key: str = "page_id",
+    default: str = "allow",
+    short_digits: int = SHORT_DIGITS,
 ) -> DataFrame:
     """A verdict for every row of `pages`: key, url, host, path, rule, verdict.
 
@@ -69,14 +79,15 @@ def judge(
 
     How far an address is expanded follows from the rules (most labels, most slashes),
     so a long address costs no more expressions than rules could match. The join compares
-    short hash prefixes; the whole digest is confirmed behind it. Spark broadcasts the
+    hash prefixes of `short_digits` hex digits, and no digest travels to it; that of an expression is
+    computed again for the pairs that meet, and confirmed. Spark broadcasts the
     rules if their known size allows it and shuffles by hash prefix otherwise.
 
     A null url, or one without ://, has an empty host and path and gets the default.
     Repeated rows each get their row; a null key is a key like others; other columns of
     `pages` are not read; without rules all rows get the default.
     """
-    rules = _prepared(rules)
+    rules = _prepared(rules, short_digits)
     reach = rules.select(
         F.max(_labels(F.col("rule_host"))),
         F.max(F.size(F.split(F.substr("rule", F.length("rule_host") + 1), "/")) - 1),
@@ -92,11 +103,12 @@ def judge(
     looked_up = (
         rows.filter(F.col("host") != "")
         .select("key", "url_hash", F.explode_outer(found).alias("expression"))
-        .withColumn("sha", F.sha2("expression", 256))
-        .withColumn("sha_short", F.substring("sha", 1, SHORT_DIGITS))
+        .withColumn("expression_short", short_hash(F.col("expression"), short_digits))
     )
+    # Both bounds instead of an equality, which Spark would make a key of the join.
+    sha = F.sha2("expression", 256)
     confirmed = looked_up.join(
-        rules, (looked_up.sha_short == rules.short) & (looked_up.sha == rules.digest)
+        rules, (F.col("expression_short") == F.col("short")) & (sha >= F.col("digest")) & (sha <= F.col("digest"))
     )
     best = confirmed.groupBy(F.col("key").alias("k"), F.col("url_hash").alias("h")).agg(
         F.max(F.struct(F.length("rule"), "host_length", "rule", "rule_verdict")).alias("best")
