@@ -55,7 +55,7 @@ def mix(
     epochs: float = 2.0,
     seed: str = "mix",
 ) -> DataFrame:
-    """Words to take from every document: doc_id, text_hash, size, source_size, target, taken.
+    """Words to take from every document: doc_id, source, text_hash, size, source_size, target, taken.
 
     `docs` has doc_id, source, text; `quality` a positive weight per doc_id. As many whole
     epochs of a source as its target holds come first. The rest is sampled: each document
@@ -111,7 +111,7 @@ def mix(
     before = F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - before))
     return rows.select(
-        "doc_id", "text_hash", "size", "source_size", "target",
+        "doc_id", "source", "text_hash", "size", "source_size", "target",
         (F.col("whole") * F.col("size") + part).cast("bigint").alias("taken"),
     )
 
