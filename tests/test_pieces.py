@@ -56,6 +56,26 @@ def test_rows_of_one_moment_are_spread(spark):
     assert len(sizes) == 100 and max(row["count"] for row in sizes) <= 15
 
 
+def test_small_pieces_share_partitions(spark):
+    """Pieces of ten rows, 300 of them: no task each, yet all in order."""
+    placed = with_piece(skewed(spark), "k", ORDER, 300, 10)
+    assert placed.rdd.getNumPartitions() <= 4
+    spans = placed.groupBy("piece").agg(
+        F.min(F.struct("k", *ORDER)).alias("a"), F.max(F.struct("k", *ORDER)).alias("b"), F.count("*").alias("n")
+    ).orderBy("piece")
+    rows = spans.collect()
+    assert len(rows) >= 300 and max(row.n for row in rows) == 10 and sum(row.n for row in rows) == 3000
+    assert all(before.b < after.a for before, after in zip(rows, rows[1:]))
+
+
+def test_small_pieces_build_the_same_history(spark):
+    events = timeline(spark, 2000)
+    busy = scd.busy_timelines(events, 7)
+    assert busy.pieces == 286 and busy.rows_per_piece == 7
+    got, want = scd.full_build(events, busy), scd.full_build(events)
+    assert got.count() == 667 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_number_of_busy_keys_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(pieces, "MAX_PIECES", 20)
     busy = busy_keys(skewed(spark), "k", 1)

@@ -65,7 +65,7 @@ def _versions(rows: DataFrame, busy: Busy | None) -> DataFrame:
         found = _within(rows, ["user_id"])
     else:
         columns = ["user_id", "country", "event_ts", "effective_end"]
-        cut = stitch(with_piece(busy.rows(rows), "user_id", TIMELINE, busy.pieces))
+        cut = stitch(with_piece(busy.rows(rows), "user_id", TIMELINE, busy.pieces, busy.rows_per_piece))
         found = cut.select(columns).unionByName(_within(busy.others(rows), ["user_id"]).select(columns))
     return found.select(
         "user_id",
