@@ -41,8 +41,10 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     delay = F.when(F.col("id") % 5 == 0, 30 + F.col("id") % 1411).otherwise(1)
     resend = F.when(F.col("id") % 10 == 0, F.array(F.lit(0), F.lit(2880))).otherwise(F.array(F.lit(0)))
     arrival = F.col("ts") + F.make_dt_interval(mins=(F.col("delay") + F.col("resend")).cast("int"))
+    # A file of one row group is read by one task, so the rows are spread before the work on them.
     return (
         test_events(spark, sf_dir)
+        .repartition("event_id", "ts", "user_id")
         .withColumnRenamed("event_id", "id")
         .withColumns({"k": F.get_json_object("props", "$.k").cast("bigint"), "delay": delay})
         .withColumn("resend", F.explode(resend))
