@@ -112,6 +112,18 @@ def test_words_of_all_latin_letters():
     assert encode(texts) == want
 
 
+def test_runs_of_marks_behind_words():
+    """Ids are the tokenizer's, and a run of marks is encoded once for all words before it."""
+    encode, tokenizer = packing._Encoder(PATH), Tokenizer.from_file(PATH)
+    runs = ["$$$", ".%%%", "!!", "'s", "'", "-", "-x", ".'", "<|", "|>"]
+    texts = [f"{word}{run} {word}" for run in runs for word in ("the", "ab", "était", "ß")]
+    assert encode(texts) == [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    whole: list[str] = []
+    encode._encode = lambda texts: whole.extend(texts) or packing._Encoder._encode(encode, texts)
+    encode(["one### two### three### one###"])
+    assert whole == ["###"]
+
+
 def test_cache_may_be_cleared_at_any_batch(monkeypatch):
     monkeypatch.setattr(packing, "CACHED_WORDS", 3)
     encode = packing._Encoder(PATH)

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pandas as pd
@@ -28,7 +31,8 @@ MOST_GROUPS = 1_000_000
 
 _PIECE = "piece int, start long, length long, ids_crc32 long"
 
-_MARKS = ".,;:!?"
+#: What may follow a word as a piece of its own; an apostrophe may belong to the letters behind it.
+_MARKS = string.punctuation.replace("'", "")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -67,7 +71,7 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.model = self.tokenizer.model
-        self.marks = dict(zip(_MARKS, self._encode(list(_MARKS)), strict=True))
+        self.marks: dict[str, bytes] = {}  # runs of them
         self.cache: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -78,32 +82,39 @@ class _Encoder:
         letters = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES)
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
+    def _run(self, marks: str) -> bytes:
+        found = self.marks.get(marks)
+        if found is None:
+            found = self.marks[marks] = self._encode([marks])[0]
+        return found
+
     def _learn(self, missing: set[str]) -> None:
         """A lower-case word of Latin-1 letters is one piece that no step before the model changes but for writing its
-        bytes as letters, and so is a mark behind it. All else goes through the whole tokenizer."""
-        found, others = {}, []
+        bytes as letters, and so is a run of marks behind it. All else goes through the whole tokenizer."""
+        cache, others = self.cache, []
         for unit in missing:
             if unit and max(unit) <= "ÿ" and unit.islower():
-                if unit.isalpha():
-                    found[unit] = self._word(unit)
-                    continue
-                stem = unit[:-1]
-                if unit[-1] in self.marks and stem.isalpha():
-                    found[unit] = (self.cache.get(stem) or self._word(stem)) + self.marks[unit[-1]]
+                stem = unit.rstrip(_MARKS)
+                if stem.isalpha():
+                    ids = cache.get(stem)
+                    if ids is None:
+                        ids = cache[stem] = self._word(stem)
+                    if len(stem) < len(unit):
+                        cache[unit] = ids + self._run(unit[len(stem):])
                     continue
             others.append(unit)
-        self.cache.update(found)
-        self.cache.update(zip(others, self._encode(others), strict=True))
+        cache.update(zip(others, self._encode(others), strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHED_WORDS:
             self.cache.clear()
+            self.marks.clear()
         split = [_units(t) for t in texts]
         found = [u and list(map(self.cache.get, u)) for u in split]
         missing: set[str] = set()
         for units, ids in zip(split, found, strict=True):
             if ids and None in ids:
-                missing.update(u for u, i in zip(units, ids, strict=True) if i is None)
+                missing.update(compress(units, map(is_, ids, repeat(None))))
         self._learn(missing)
         out = []
         for text, units, ids in zip(texts, split, found, strict=True):
