@@ -1,4 +1,4 @@
-"""Quality rules: counts per document and n-gram perplexity bands per language."""
+"""Quality rules: counts per document, perplexity bands per language by characters and by words."""
 
 from __future__ import annotations
 
@@ -22,6 +22,15 @@ WINDOW = 8
 PIECE = 16  # characters that get one language where a document is fitted to several
 #: Documents that speak for a language before passages in other documents are fitted to it.
 LEAST_DOCS = 20
+WORD_ORDER = 2
+#: Occurrences of a context that give its own counts a quarter of the weight, half at most.
+CONTEXT = 10.0
+#: Bits of an n-gram's hash: of a billion n-grams one in 280,000 shares its key with another.
+KEY_BITS = 48
+#: Characters of text that one group holds, while its words are counted and while they are scored.
+BLOCK_CHARS = 2_000_000
+#: Characters of text whose n-grams one group adds up.
+RANGE_CHARS = 4_000_000
 
 _SPACE = b" \t\n\x0b\x0c\r"
 _CONTINUATION = bytes(range(0x80, 0xC0))
@@ -183,6 +192,155 @@ def piece_costs(found: np.ndarray, model: Model) -> np.ndarray:
     return -np.add.reduceat(log_probabilities(found, model), np.arange(0, len(found), PIECE))
 
 
+# --- words --------------------------------------------------------------------
+
+
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit hash of two numbers each."""
+    x = (a ^ (a >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + b
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(31))
+
+
+class WordGrams:
+    """Word n-grams of some texts, A-Z in lower case.
+
+    Per order: `gram` numbers the n-gram that ends at each word, `own` does so apart for each text;
+    `context` and `own_context` are the numbers of the n-gram before it. The first word follows on a
+    start; words of order 1 follow on nothing. `keys` are the hashes of all n-grams, starts and of
+    nothing, sorted; `at` gives an n-gram's place there per order, from 0 for nothing.
+    """
+
+    def __init__(self, texts: list[str]):
+        split = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
+        self.lengths = np.array([len(x) for x in split], np.int64)
+        self.doc = np.repeat(np.arange(len(split)), self.lengths)
+        words = np.fromiter((w for x in split for w in x), object, len(self.doc))
+        word, names = pd.factorize(words)
+        named = pd.util.hash_array(names, categorize=False) if len(names) else np.zeros(0, np.uint64)
+        first = np.flatnonzero(np.diff(self.doc, prepend=-1))
+        hashes = [np.zeros(1, np.uint64)]
+        context, own_context = np.zeros(len(word), np.int64), self.doc
+        self.gram, self.own, self.context, self.own_context = [], [], [], []
+        for order in range(1, WORD_ORDER + 1):
+            gram, found = pd.factorize(context * len(names) + word)
+            own, _ = pd.factorize(own_context * len(names) + word)
+            hashed = _mixed(hashes[-1][found // max(len(names), 1)], named[found % max(len(names), 1)])
+            # The start, or what stands for it in each text, has the last numbers.
+            hashes.append(np.append(hashed, np.uint64(order << (64 - KEY_BITS))))
+            for kept, new in zip(
+                (self.gram, self.own, self.context, self.own_context), (gram, own, context, own_context), strict=True
+            ):
+                kept.append(new)
+            context, own_context = np.roll(gram, 1), np.roll(own, 1)
+            context[first] = len(found)
+            own_context[first] = own.max(initial=-1) + 1 + np.arange(len(first))
+        self.keys, at = np.unique(np.concatenate(hashes) >> np.uint64(64 - KEY_BITS), return_inverse=True)
+        self.at = np.split(at, np.cumsum([len(x) for x in hashes])[:-1])
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each key the texts that hold it, and their different n-grams that follow on it."""
+        texts, after = np.zeros((2, len(self.keys)), np.int64)
+        for order in range(WORD_ORDER):
+            _, one = np.unique(self.own[order], return_index=True)
+            texts += np.bincount(self.at[order + 1][self.gram[order][one]], minlength=len(self.keys))
+            after += np.bincount(self.at[order][self.context[order][one]], minlength=len(self.keys))
+        return texts, after
+
+    def log_perplexity(self, texts: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Nats a word of each text (nan without words), given the counts over all texts.
+
+        A text's own part is taken out of the counts first, so an n-gram of no other text is unseen.
+        """
+        below = None
+        for order in range(WORD_ORDER):
+            own, own_context = self.own[order], self.own_context[order]
+            of = np.zeros(own.max(initial=-1) + 1, np.int64)
+            of[own] = own_context
+            n = (texts[self.at[order + 1]] - 1)[self.gram[order]]
+            total = after[self.at[order]][self.context[order]] - np.bincount(of)[own_context] if len(own) else n
+            if below is None:
+                below = (n + 0.5) / (total + 0.5)
+            else:
+                weight = 0.5 / (total + CONTEXT)  # times total, by which n would be divided
+                below = weight * n + (1 - weight * total) * below
+        with np.errstate(invalid="ignore"):
+            return -np.bincount(self.doc, np.log(below), minlength=len(self.lengths)) / self.lengths
+
+
+def _packed(numbers: np.ndarray, kind: str) -> bytes:
+    """By byte of the number, so that the many leading zeros compress."""
+    flat = np.ascontiguousarray(numbers, dtype=kind)
+    return flat.view(np.uint8).reshape(-1, flat.itemsize).T.tobytes()
+
+
+def _unpacked(raw: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def word_perplexity(docs: DataFrame) -> DataFrame:
+    """text_hash and word_perplexity, nats a word, of every different text with words.
+
+    The model has all word n-grams up to `WORD_ORDER` of all different texts, in every language, each
+    counted once a text; a word's probability is half its share after its context, less for rare
+    contexts, and the rest that after the shorter context; half a text is added for words, so that unseen ones have some.
+    A text is scored without its own counts, as its words would foretell themselves.
+
+    No worker holds the model: texts are dealt into blocks by hash. A block sends its n-grams with its
+    counts, a row per range of hashes; each range adds up what the blocks sent and answers in
+    the order of the question. An n-gram is sent once a block, so frequent ones don't heap up.
+    """
+    rows = docs.select("text_hash", "text").filter(F.col("text") != "")
+    # Copies go before the blocks are dealt: a block would hold all copies of a text.
+    copied = broadcast_if_small(store(rows.groupBy("text_hash").count().filter("count > 1").select("text_hash"), "copied"))
+    # Stored, so that Spark sees both uses of the blocks as one exchange.
+    once = store(rows.join(copied, "text_hash", "left_semi").dropDuplicates(["text_hash"]), "once")
+    texts = rows.join(copied, "text_hash", "left_anti").unionByName(once)
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    n_blocks, n_ranges = 1 + chars // BLOCK_CHARS, 1 + chars // RANGE_CHARS
+    # Each block, and each range, is a group by itself.
+    blocks = texts.withColumn("block", F.pmod("text_hash", F.lit(n_blocks)))
+    edges = np.array([(2**KEY_BITS * k) // n_ranges for k in range(1, n_ranges)], np.uint64)
+
+    def ask(rows: pd.DataFrame) -> pd.DataFrame:
+        grams = WordGrams(list(rows.sort_values("text_hash")["text"]))
+        counts = grams.counts()
+        out = []
+        at = np.searchsorted(grams.keys, edges)
+        for k, (a, b) in enumerate(zip([0, *at], [*at, len(grams.keys)], strict=True)):
+            keys = _packed(np.diff(grams.keys[a:b], prepend=np.uint64(0)), "<u8")
+            out.append((rows["block"].iloc[0], k, keys, *(_packed(c[a:b], "<u4") for c in counts)))
+        return pd.DataFrame(out, columns=["block", "range", "keys", "texts", "after"])
+
+    def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        keys = [np.cumsum(_unpacked(x, "<u8"), dtype=np.uint64) for x in rows.pop("keys")]
+        ends = np.cumsum([len(x) for x in keys])[:-1]
+        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        for name, kind in (("texts", "<u4"), ("after", "<u8")):
+            sent = np.concatenate([_unpacked(x, "<u4") for x in rows[name]])
+            total = np.bincount(at, sent).astype(np.int64)[at] if len(at) else sent
+            rows[name] = [_packed(x, kind) for x in np.split(total, ends)]
+        return rows
+
+    def score(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("text_hash")
+        answers = answers.sort_values("range")
+        grams = WordGrams(list(rows["text"]))
+        given = [
+            np.concatenate([_unpacked(x, kind).astype(np.int64) for x in answers[name]])
+            for name, kind in (("texts", "<u4"), ("after", "<u8"))
+        ]
+        found = pd.DataFrame({"text_hash": rows["text_hash"].to_numpy(), "word_perplexity": grams.log_perplexity(*given)})
+        return found.dropna()
+
+    asked = blocks.groupBy("block").applyInPandas(ask, "block long, range int, keys binary, texts binary, after binary")
+    answers = asked.groupBy("range").applyInPandas(answer, "block long, range int, texts binary, after binary")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
+        score, "text_hash long, word_perplexity double"
+    )
+
+
 # --- documents ----------------------------------------------------------------
 
 
@@ -309,7 +467,7 @@ def fit(above: DataFrame, counts: DataFrame, passes: list[list[str]], speak: dic
     return so_far.select("text_hash", "lang", (total / F.length("text")).alias("fitted"))
 
 
-def judge(docs: DataFrame, width: float = 3.0, floor: float = 0.5) -> DataFrame:
+def judge(docs: DataFrame, width: float = 3.0, floor: float = 0.5, word_floor: float = 3.0) -> DataFrame:
     """Counts, base rules and perplexity band of every document; one row per row of `docs`.
 
     `docs` has doc_id, text, lang. base_failed: fewer than 20 words, or over 30 % of them in
@@ -317,12 +475,15 @@ def judge(docs: DataFrame, width: float = 3.0, floor: float = 0.5) -> DataFrame:
     character lies in its language's band (see `bands`). A passage in another language raises
     perplexity and is no fault: a document above the band is judged by `fitted` (see `fit`),
     for which each piece is scored under the language that fits it best, out of those with
-    `LEAST_DOCS` documents and the document's own.
+    `LEAST_DOCS` documents and the document's own. So much for the spelling.
+
+    Its words must hold too: `word_perplexity` is at most `word_upper`, the upper edge of the
+    language's band of it. That model grows with the corpus and knows words and their order (see
+    `word_perplexity`). A text below it is close to others, which is no fault here.
 
-    The model is modified Kneser-Ney of order 4 over 32 character classes, per language,
-    counted by Spark over all documents. Over words it would grow with the vocabulary and
-    no worker could hold it; over classes its size has a proven bound. Languages are scored
-    in passes that hold at most `PASS_NGRAMS` n-grams, each over its own documents.
+    The model of spelling is modified Kneser-Ney of order 4 over 32 character classes, per
+    language, counted by Spark over all documents; its size has a proven bound. Languages are
+    scored in passes that hold at most `PASS_NGRAMS` n-grams, each over its own documents.
 
     A null text is empty and fails; a null language is one of its own; repeated rows each
     get a row; a table without rows gives none; other columns are not read.
@@ -346,9 +507,14 @@ def judge(docs: DataFrame, width: float = 3.0, floor: float = 0.5) -> DataFrame:
     measured = reduce(DataFrame.unionByName, [*parts, measure(none, {})])
     few = F.col("n_words") < 20
     repeats = F.col("n_repeat_words") * 100 > F.col("n_words") * 30
+    words = store(word_perplexity(docs), "words").withColumnRenamed("text_hash", "of_text")
+    measured = measured.join(broadcast_if_small(words), F.col("text_hash") == F.col("of_text"), "left").drop("of_text")
     measured = store(measured.withColumn("base_failed", few | repeats), "measured")
     scored = measured.filter(~F.col("base_failed") & F.col("log_perplexity").isNotNull())
-    edges = store(bands(scored, width, floor), "bands")
+    of_words = bands(scored.select("lang", F.col("word_perplexity").alias("log_perplexity")), width, word_floor)
+    of_words = of_words.select(F.col("band").alias("word_band"), F.col("upper").alias("word_upper"))
+    edges = bands(scored, width, floor).join(of_words, F.col("band") == F.col("word_band")).drop("word_band")
+    edges = store(edges, "bands")
     key = ["text_hash", "lang"]
     high = store(
         scored.join(edges, F.col("lang") == F.col("band")).filter(F.col("log_perplexity") > F.col("upper"))
@@ -361,6 +527,7 @@ def judge(docs: DataFrame, width: float = 3.0, floor: float = 0.5) -> DataFrame:
     fitted = fit(above, counts, passes, speak)
     fitted = fitted.select(*[F.col(k).alias(f"high_{k}") for k in key], "fitted")
     inside = F.coalesce("fitted", "log_perplexity").between(F.col("lower"), F.col("upper"))
+    inside &= F.col("word_perplexity") <= F.col("word_upper")
     return (
         measured.join(edges.drop("middle", "n"), F.col("lang") == F.col("band"), "left").drop("band")
         .join(broadcast_if_small(fitted), on, "left").drop(*[f"high_{k}" for k in key])
