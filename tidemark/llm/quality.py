@@ -29,6 +29,8 @@ CONTEXT = 10.0
 KEY_BITS = 48
 #: Characters of text that one group holds, while its words are counted and while they are scored.
 BLOCK_CHARS = 2_000_000
+#: Characters of text in a partition: few blocks, since sorting a partition's blocks holds it.
+SPREAD_CHARS = 8_000_000
 #: Characters of text whose n-grams one group adds up.
 RANGE_CHARS = 4_000_000
 
@@ -299,8 +301,8 @@ def word_perplexity(docs: DataFrame) -> DataFrame:
     texts = rows.join(copied, "text_hash", "left_anti").unionByName(once)
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     n_blocks, n_ranges = 1 + chars // BLOCK_CHARS, 1 + chars // RANGE_CHARS
-    # Each block, and each range, is a group by itself.
-    blocks = texts.withColumn("block", F.pmod("text_hash", F.lit(n_blocks)))
+    n_parts = 1 + chars // SPREAD_CHARS
+    blocks = texts.withColumn("block", F.pmod("text_hash", F.lit(n_blocks))).repartition(n_parts, "block")
     edges = np.array([(2**KEY_BITS * k) // n_ranges for k in range(1, n_ranges)], np.uint64)
 
     def ask(rows: pd.DataFrame) -> pd.DataFrame:
@@ -335,8 +337,10 @@ def word_perplexity(docs: DataFrame) -> DataFrame:
         return found.dropna()
 
     asked = blocks.groupBy("block").applyInPandas(ask, "block long, range int, keys binary, texts binary, after binary")
-    answers = asked.groupBy("range").applyInPandas(answer, "block long, range int, texts binary, after binary")
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
+    answers = asked.repartition(n_parts, "range").groupBy("range").applyInPandas(
+        answer, "block long, range int, texts binary, after binary"
+    )
+    return blocks.groupBy("block").cogroup(answers.repartition(n_parts, "block").groupBy("block")).applyInPandas(
         score, "text_hash long, word_perplexity double"
     )
 
