@@ -9,6 +9,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -589,6 +591,42 @@ def test_word_perplexity(spark, monkeypatch):
     assert quality.word_perplexity(table.filter("trim(text) = ''")).count() == 0
 
 
+def test_word_blocks_are_short(spark):
+    """What is shuffled of a text are numbers for its words, a quarter as long; in the plan no text is dealt out."""
+    r = random.Random(5)
+    vocabulary = ["".join(r.choices("abcdefghiklmnoprstu", k=r.randint(3, 12))) for _ in range(3000)]
+    texts = [" ".join(vocabulary[int(3000 * r.random() ** 3)] for _ in range(r.randint(100, 300))) for _ in range(2000)]
+    texts += [" a\x0bb\x0cc\rd\te\x1cf\x85 g\n", "Ünd\u00a0 ÜND und\U0001f600", "x"]
+    row = quality.block_of(np.arange(len(texts) + 1), pa.array([*texts, " \n"]), 40)
+    assert sum(len(x) for x in row.values()) < sum(len(t.encode()) for t in texts) / 4
+    grams = quality.WordGrams(row, 40)
+    assert grams.hashes.tolist() == list(range(len(texts)))
+    split = [t.encode().lower().split() for t in texts]
+    assert grams.lengths.tolist() == [len(x) for x in split]
+    assert grams.n_words == len({w for x in split for w in x})
+    pairs = Counter((d, a, b) for d, x in enumerate(split) for a, b in zip([None, *x], x))
+    assert len(grams.doc) == len(pairs) and sorted(grams.times) == sorted(pairs.values())
+    sent, after = grams.counts()
+    assert sorted(sent[sent > 0]) == sorted(
+        [*Counter(w for x in split for w in set(x)).values(), *Counter((a, b) for _, a, b in pairs).values()]
+    )
+    table = docs(spark, [(i, t, "en", "s") for i, t in enumerate(texts)]).withColumn("text_hash", F.xxhash64("text"))
+    plan = quality.word_perplexity(table)._jdf.queryExecution().optimizedPlan().toString()
+    dealt = [below for line, below in zip(plan.split("\n"), plan.split("\n")[1:]) if "RepartitionByExpression [block" in line]
+    assert dealt and all("MapInArrow" in x or "FlatMapGroupsInPandas" in x for x in dealt)
+
+
+def test_full_table_scores_alike():
+    """A language's full table gives the very log probabilities of its model, and comes with much text."""
+    r = random.Random(6)
+    texts = ["".join(r.choices("abcde fgh,.1ß漢", k=300)) for _ in range(40)]
+    seen, n = np.unique(np.concatenate([quality.ngrams(quality.classes(t), 4) for t in texts[:20]]), return_counts=True)
+    models = quality.Models({"en": quality.estimate(seen, n)})
+    first = [quality.log_perplexity(quality.classes(t), models.of("en", 300)) for t in texts]
+    assert isinstance(models.of("en", quality.FULL_AFTER), np.ndarray)
+    assert [quality.log_perplexity(quality.classes(t), models.of("en", 300)) for t in texts] == first
+
+
 def test_words_out_of_order_are_out_of_the_band(spark):
     """Known words in another order, or unknown ones, spelled like the others, don't stay."""
     r = random.Random(4)

@@ -8,6 +8,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,22 +19,25 @@ ORDER = 4
 CLASSES = 32  # so a language's model has at most 32^4 n-grams, whatever its texts
 #: n-grams of the models that one pass holds in a worker: about 130 MB.
 PASS_NGRAMS = 8_000_000
+#: Languages that have full tables in a worker at most, each once it has scored so many characters: 8 MB each.
+FULL_TABLES, FULL_AFTER = 6, 1_000_000
 BIN = 1e-3  # nats; width of the bins that give the quartiles
 WINDOW = 8
 PIECE = 16  # characters that get one language where a document is fitted to several
 #: Documents that speak for a language before passages in other documents are fitted to it.
 LEAST_DOCS = 20
-WORD_ORDER = 2
 #: Occurrences of a context that give its own counts a quarter of the weight, half at most.
 CONTEXT = 10.0
-#: Bits of an n-gram's hash: of a billion n-grams one in 280,000 shares its key with another.
-KEY_BITS = 48
-#: Characters of text that one group holds, while its words are counted and while they are scored.
-BLOCK_CHARS = 2_000_000
-#: Characters of text in a partition: few blocks, since sorting a partition's blocks holds it.
+#: Bits of a hash beyond those that number the corpus's characters: less than one in 1,000 n-grams shares its key.
+SPARE_BITS = 9
+#: Characters and texts of one block, which is held while its words are counted and while they are scored.
+#: The larger, the fewer pairs are sent twice; a pair and its text must fit 63 bits.
+BLOCK_CHARS = 22_000_000
+BLOCK_TEXTS = 2**14
+#: Characters of text in a partition of blocks.
 SPREAD_CHARS = 8_000_000
 #: Characters of text whose n-grams one group adds up.
-RANGE_CHARS = 4_000_000
+RANGE_CHARS = 16_000_000
 
 _SPACE = b" \t\n\x0b\x0c\r"
 _CONTINUATION = bytes(range(0x80, 0xC0))
@@ -165,12 +170,12 @@ def estimate(hashes: np.ndarray, counts: np.ndarray) -> Model:
     return model
 
 
-def log_probabilities(found: np.ndarray, model: Model) -> np.ndarray:
-    """Log probability of every character, in nats."""
-    logp = np.zeros(len(found))
-    left = np.arange(len(found))  # characters whose n-gram wasn't found at a higher order
+def gram_log_probabilities(longest: np.ndarray, model: Model) -> np.ndarray:
+    """Log probability of the last character of each n-gram of the longest order, in nats."""
+    logp = np.zeros(len(longest))
+    left = np.arange(len(longest))  # n-grams that weren't found at a higher order
     for order in range(ORDER, 0, -1):
-        grams = ngrams(found, order)[left]
+        grams = longest[left] % np.uint32(CLASSES**order)
         hashes, known, contexts, weights = model[order - 1]
         at = np.minimum(np.searchsorted(hashes, grams), len(hashes) - 1)
         hit = hashes[at] == grams
@@ -184,7 +189,34 @@ def log_probabilities(found: np.ndarray, model: Model) -> np.ndarray:
     return logp
 
 
-def log_perplexity(found: np.ndarray, model: Model) -> float:
+def full_table(model: Model) -> np.ndarray:
+    """The log probabilities of all n-grams there can be, seen or not."""
+    return gram_log_probabilities(np.arange(CLASSES**ORDER, dtype=np.uint32), model)
+
+
+class Models(dict):
+    """Models by language. A worker keeps them, with the full tables of languages that it scores often."""
+
+    def __init__(self, models: dict[str, Model]):
+        super().__init__(models)
+        self.scored: dict[str, int] = {}
+        self.tables: dict[str, np.ndarray] = {}
+
+    def of(self, lang: str, n_chars: int) -> Model | np.ndarray:
+        """What scores the next characters of a language."""
+        self.scored[lang] = self.scored.get(lang, 0) + n_chars
+        if lang not in self.tables and self.scored[lang] > FULL_AFTER and len(self.tables) < FULL_TABLES:
+            self.tables[lang] = full_table(self[lang])
+        return self.tables.get(lang, self[lang])
+
+
+def log_probabilities(found: np.ndarray, model: Model | np.ndarray) -> np.ndarray:
+    """Log probability of every character, in nats, by a model or its full table."""
+    longest = ngrams(found, ORDER)
+    return model[longest] if isinstance(model, np.ndarray) else gram_log_probabilities(longest, model)
+
+
+def log_perplexity(found: np.ndarray, model: Model | np.ndarray) -> float:
     """Mean negative log probability of the characters, in nats."""
     return -float(log_probabilities(found, model).mean())
 
@@ -204,138 +236,244 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers by byte, without the bytes that are 0 in all, so that frequent bytes compress."""
+    flat = np.ascontiguousarray(numbers)
+    flat = flat.view(np.uint8).reshape(-1, flat.itemsize)
+    there = [k for k in range(flat.shape[1]) if flat[:, k].any()]
+    raw = pa.compress(np.concatenate([flat[:, k] for k in there]), codec="zstd", asbytes=True) if there else b""
+    return len(flat).to_bytes(5) + sum(1 << k for k in there).to_bytes(1) + raw
+
+
+def _unpacked(raw: bytes, kind: str = "<u8") -> np.ndarray:
+    n = int.from_bytes(raw[:5])
+    there = [k for k in range(8) if raw[5] >> k & 1]
+    out = np.zeros((n, np.dtype(kind).itemsize), np.uint8)
+    if there:
+        found = np.frombuffer(pa.decompress(raw[6:], n * len(there), codec="zstd"), np.uint8)
+        for plane, k in zip(found.reshape(-1, n), there, strict=True):
+            out[:, k] = plane
+    return out.view(kind).ravel()
+
+
+def _packed_ids(ids: np.ndarray, n: int) -> list[bytes]:
+    """Numbers below n of which small ones are frequent: the four leading bits of each with the number of bits
+    that are left, and these, first where few are left."""
+    all_ids = np.arange(8, n + 8)
+    power = np.frexp(all_ids.astype(float))[1] - 4
+    lead = ((power << 3) + (all_ids >> power) - 8).astype("<u1")[ids]
+    rest = (all_ids & ((1 << power) - 1)).astype("<u4")[ids]
+    return [_packed(lead), _packed(rest[np.argsort(lead >> 3, kind="stable")])]
+
+
+def _unpacked_ids(lead: bytes, rest: bytes) -> np.ndarray:
+    lead = _unpacked(lead, "<u1")
+    at = np.argsort(lead >> 3, kind="stable")
+    ids = (((lead & 7) + 8).astype(np.int32) << (lead >> 3)) - 8
+    ids[at] += _unpacked(rest, "<u4").astype(np.int32)
+    return ids
+
+
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Text and word number of every word, A-Z in lower case, and the words."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    doc, flat = pc.list_parent_indices(split), pc.list_flatten(split)
+    there = pc.greater(pc.binary_length(flat), 0)  # none before a leading space or after the last one
+    if not pc.all(there).as_py():
+        doc, flat = doc.filter(there), flat.filter(there)
+    coded = flat.dictionary_encode()
+    return doc.to_numpy(), coded.indices.to_numpy(), coded.dictionary
+
+
+def block_of(hashes: np.ndarray, texts: pa.Array, bits: int) -> dict:
+    """Texts with their words as numbers, frequent words first, then by hash; texts without words go."""
+    doc, word, names = words_of(texts)
+    lengths = np.bincount(doc, minlength=len(hashes))
+    named = pd.util.hash_array(names.to_numpy(zero_copy_only=False), categorize=False) >> np.uint64(64 - bits)
+    often = np.frexp(np.bincount(word, minlength=len(named)))[1]
+    order = np.lexsort((named, -often))
+    number = np.empty(len(order), np.int32)
+    number[order] = np.arange(len(order))
+    lead, rest = _packed_ids(number[word], len(number))
+    hashes, lengths = hashes[lengths > 0], lengths[lengths > 0]
+    return {
+        "hashes": hashes.astype("<i8").tobytes(), "lengths": _packed(lengths),
+        "names": _packed(np.diff(named[order], prepend=np.uint64(0))), "lead": lead, "rest": rest,
+    }
+
+
+def _starts(numbers: np.ndarray) -> np.ndarray:
+    """Whether each of some sorted numbers differs from the one before."""
+    return np.append(np.ones(min(len(numbers), 1), bool), numbers[1:] != numbers[:-1])
+
+
+def _numbered(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers, sorted, and the place of each number there, in less memory than np.unique takes."""
+    shift = len(numbers).bit_length()
+    if len(numbers) and int(numbers.max()) >> (64 - shift) == 0:  # one sort of values, each with its place
+        both = numbers.astype(np.uint64)
+        both <<= np.uint64(shift)
+        both |= np.arange(len(numbers), dtype=np.uint64)
+        both.sort()
+        order = (both & np.uint64((1 << shift) - 1)).astype(np.int32 if shift < 32 else np.int64)
+        both >>= np.uint64(shift)
+        numbers = both.astype(numbers.dtype, copy=False)
+    else:
+        order = np.argsort(numbers)
+        numbers = numbers[order]
+    starts = _starts(numbers)
+    place = np.empty(len(numbers), np.int32)
+    place[order] = np.cumsum(starts, dtype=np.int32) - 1
+    return numbers[starts], place
+
+
 class WordGrams:
-    """Word n-grams of some texts, A-Z in lower case.
+    """Words and word pairs of a block.
 
-    Per order: `gram` numbers the n-gram that ends at each word, `own` does so apart for each text;
-    `context` and `own_context` are the numbers of the n-gram before it. The first word follows on a
-    start; words of order 1 follow on nothing. `keys` are the hashes of all n-grams, starts and of
-    nothing, sorted; `at` gives an n-gram's place there per order, from 0 for nothing.
+    Grams are numbered: words, the start that stands before a text's first word, nothing, which stands
+    before single words, then pairs. `keys` are their different hashes, sorted; `at` is a gram's place there.
+    `doc`, `context`, `word` and `pair` tell every different pair of every text, sorted in this order;
+    `times` is how often it stands there.
     """
 
-    def __init__(self, texts: list[str]):
-        split = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
-        self.lengths = np.array([len(x) for x in split], np.int64)
-        self.doc = np.repeat(np.arange(len(split)), self.lengths)
-        words = np.fromiter((w for x in split for w in x), object, len(self.doc))
-        word, names = pd.factorize(words)
-        named = pd.util.hash_array(names, categorize=False) if len(names) else np.zeros(0, np.uint64)
-        first = np.flatnonzero(np.diff(self.doc, prepend=-1))
-        hashes = [np.zeros(1, np.uint64)]
-        context, own_context = np.zeros(len(word), np.int64), self.doc
-        self.gram, self.own, self.context, self.own_context = [], [], [], []
-        for order in range(1, WORD_ORDER + 1):
-            gram, found = pd.factorize(context * len(names) + word)
-            own, _ = pd.factorize(own_context * len(names) + word)
-            hashed = _mixed(hashes[-1][found // max(len(names), 1)], named[found % max(len(names), 1)])
-            # The start, or what stands for it in each text, has the last numbers.
-            hashes.append(np.append(hashed, np.uint64(order << (64 - KEY_BITS))))
-            for kept, new in zip(
-                (self.gram, self.own, self.context, self.own_context), (gram, own, context, own_context), strict=True
-            ):
-                kept.append(new)
-            context, own_context = np.roll(gram, 1), np.roll(own, 1)
-            context[first] = len(found)
-            own_context[first] = own.max(initial=-1) + 1 + np.arange(len(first))
-        self.keys, at = np.unique(np.concatenate(hashes) >> np.uint64(64 - KEY_BITS), return_inverse=True)
-        self.at = np.split(at, np.cumsum([len(x) for x in hashes])[:-1])
+    def __init__(self, row: dict, bits: int):
+        self.hashes = np.frombuffer(row["hashes"], "<i8")
+        self.lengths = _unpacked(row["lengths"]).astype(np.int64)
+        names = np.cumsum(_unpacked(row["names"]), dtype=np.uint64)
+        word = _unpacked_ids(row["lead"], row["rest"])
+        self.n_words = n = len(names)
+        context = np.roll(word, 1)
+        context[np.cumsum(self.lengths) - self.lengths] = n
+        # Sorted as one number each, and kept as short ones: a task's memory is what this takes.
+        found = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        for size, part in ((n + 1, context), (n, word)):
+            found *= size
+            found += part
+        del word, context, part
+        found.sort()
+        starts = _starts(found)
+        self.times = np.diff(np.flatnonzero(starts), append=len(found)).astype(np.int32)
+        found = found[starts]
+        self.doc = (found // (n * (n + 1))).astype(np.int32)
+        found %= n * (n + 1)
+        self.context, self.word = ((found // n).astype(np.int32), (found % n).astype(np.int32))
+        pairs, self.pair = _numbered(found)
+        del found, starts
+        named = np.append(names, np.array([1, 0], np.uint64))
+        keys = np.append(named, _mixed(named[pairs // n], named[pairs % n]) >> np.uint64(64 - bits))
+        del pairs
+        self.keys, self.at = _numbered(keys)
 
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """For each key the texts that hold it, and their different n-grams that follow on it."""
-        texts, after = np.zeros((2, len(self.keys)), np.int64)
-        for order in range(WORD_ORDER):
-            _, one = np.unique(self.own[order], return_index=True)
-            texts += np.bincount(self.at[order + 1][self.gram[order][one]], minlength=len(self.keys))
-            after += np.bincount(self.at[order][self.context[order][one]], minlength=len(self.keys))
-        return texts, after
+        n, n_texts = self.n_words, len(self.lengths)
+        words = np.sort(self.word.astype(np.int64) * n_texts + self.doc)
+        of_word = np.bincount(words[_starts(words)] // n_texts, minlength=n)
+        del words
+        texts = np.concatenate([of_word, [0, 0], np.bincount(self.pair)])
+        after = np.append(np.bincount(self.context, minlength=n + 1), of_word.sum())
+        # Exact: sums of whole numbers far below 2^53.
+        return (
+            np.bincount(self.at, texts, len(self.keys)).astype(np.int64),
+            np.bincount(self.at[: n + 2], after, len(self.keys)).astype(np.int64),
+        )
 
     def log_perplexity(self, texts: np.ndarray, after: np.ndarray) -> np.ndarray:
-        """Nats a word of each text (nan without words), given the counts over all texts.
+        """Nats a word of each text, given the counts over all texts.
 
         A text's own part is taken out of the counts first, so an n-gram of no other text is unseen.
         """
-        below = None
-        for order in range(WORD_ORDER):
-            own, own_context = self.own[order], self.own_context[order]
-            of = np.zeros(own.max(initial=-1) + 1, np.int64)
-            of[own] = own_context
-            n = (texts[self.at[order + 1]] - 1)[self.gram[order]]
-            total = after[self.at[order]][self.context[order]] - np.bincount(of)[own_context] if len(own) else n
-            if below is None:
-                below = (n + 0.5) / (total + 0.5)
-            else:
-                weight = 0.5 / (total + CONTEXT)  # times total, by which n would be divided
-                below = weight * n + (1 - weight * total) * below
-        with np.errstate(invalid="ignore"):
-            return -np.bincount(self.doc, np.log(below), minlength=len(self.lengths)) / self.lengths
-
-
-def _packed(numbers: np.ndarray, kind: str) -> bytes:
-    """By byte of the number, so that the many leading zeros compress."""
-    flat = np.ascontiguousarray(numbers, dtype=kind)
-    return flat.view(np.uint8).reshape(-1, flat.itemsize).T.tobytes()
-
-
-def _unpacked(raw: bytes, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+        n, n_texts = self.n_words, len(self.lengths)
+        total = np.zeros(n_texts)
+        texts, after = texts[self.at], after[self.at[: n + 2]]  # by number of the gram
+        # Some texts at a time, since there are many numbers per word.
+        ends = np.searchsorted(self.doc, np.arange(0, n_texts, 500))
+        for a, b in zip(ends, [*ends[1:], len(self.doc)], strict=True):
+            doc, context, word = (x[a:b].astype(np.int64) for x in (self.doc, self.context, self.word))
+            follow = doc * (n + 1) + context
+            own = np.diff(np.flatnonzero(_starts(follow)), append=len(follow))
+            own = np.repeat(own, own)
+            own_words = np.bincount(np.unique(doc * n + word) // n, minlength=n_texts)
+            below = (texts[word] - 0.5) / (after[n + 1] - own_words[doc] + 0.5)
+            follow = after[context] - own
+            weight = 0.5 / (follow + CONTEXT)  # times follow, by which the count would be divided
+            below = weight * (texts[n + 2 + self.pair[a:b]] - 1) + (1 - weight * follow) * below
+            total -= np.bincount(doc, np.log(below) * self.times[a:b], n_texts)
+        return total / self.lengths
 
 
 def word_perplexity(docs: DataFrame) -> DataFrame:
     """text_hash and word_perplexity, nats a word, of every different text with words.
 
-    The model has all word n-grams up to `WORD_ORDER` of all different texts, in every language, each
+    The model has all words and word pairs of all different texts, in every language, each
     counted once a text; a word's probability is half its share after its context, less for rare
-    contexts, and the rest that after the shorter context; half a text is added for words, so that unseen ones have some.
+    contexts, and the rest that without context; half a text is added for words, so that unseen ones have some.
     A text is scored without its own counts, as its words would foretell themselves.
 
-    No worker holds the model: texts are dealt into blocks by hash. A block sends its n-grams with its
-    counts, a row per range of hashes; each range adds up what the blocks sent and answers in
-    the order of the question. An n-gram is sent once a block, so frequent ones don't heap up.
+    No worker holds the model: the texts that a task reads make blocks, in which words are numbers. A
+    block sends its n-grams with its counts, a row per range of hashes; each range adds up what
+    the blocks sent and answers in the order of the question. An n-gram is sent once a block, so
+    frequent ones don't heap up. Texts themselves are not shuffled: only blocks, a quarter as long.
     """
     rows = docs.select("text_hash", "text").filter(F.col("text") != "")
-    # Copies go before the blocks are dealt: a block would hold all copies of a text.
-    copied = broadcast_if_small(store(rows.groupBy("text_hash").count().filter("count > 1").select("text_hash"), "copied"))
-    # Stored, so that Spark sees both uses of the blocks as one exchange.
+    seen = store(rows.groupBy("text_hash").agg(F.count("*").alias("n"), F.min(F.length("text")).alias("chars")), "seen")
+    chars = seen.agg(F.sum("chars")).first()[0] or 0
+    # One of the copies of a text stays.
+    copied = broadcast_if_small(seen.filter("n > 1").select("text_hash"))
+    # Stored, so that a block has the same texts whenever it is made.
     once = store(rows.join(copied, "text_hash", "left_semi").dropDuplicates(["text_hash"]), "once")
     texts = rows.join(copied, "text_hash", "left_anti").unionByName(once)
-    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_blocks, n_ranges = 1 + chars // BLOCK_CHARS, 1 + chars // RANGE_CHARS
-    n_parts = 1 + chars // SPREAD_CHARS
-    blocks = texts.withColumn("block", F.pmod("text_hash", F.lit(n_blocks))).repartition(n_parts, "block")
-    edges = np.array([(2**KEY_BITS * k) // n_ranges for k in range(1, n_ranges)], np.uint64)
+    n_parts, n_ranges = 1 + chars // SPREAD_CHARS, 1 + chars // RANGE_CHARS
+    bits = min(60, SPARE_BITS + int(chars).bit_length())
+    edges = np.array([(2**bits * k) // n_ranges for k in range(1, n_ranges)], np.uint64)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.utf8_length(batch["text"]).to_numpy()
+            # Blocks of one size, with room for a text more, so that no small one is left.
+            most = min(BLOCK_CHARS, sizes.sum() // -(-max(sizes.sum(), 1) // BLOCK_CHARS) + sizes.max(initial=0))
+            start = room = 0
+            for k, size in enumerate([*sizes, None]):
+                if k > start and (size is None or size > room or k == start + BLOCK_TEXTS):
+                    part = batch.slice(start, k - start)
+                    row = block_of(part["text_hash"].to_numpy(), part["text"], bits)
+                    if row["hashes"]:
+                        # A text stands in one block, so its hash can name it.
+                        row["block"] = int(np.frombuffer(row["hashes"], "<i8")[0])
+                        yield pa.RecordBatch.from_pylist([row], schema)
+                    start, room = k, most
+                room = (room if k > start else most) - (size or 0)
 
     def ask(rows: pd.DataFrame) -> pd.DataFrame:
-        grams = WordGrams(list(rows.sort_values("text_hash")["text"]))
+        row = rows.iloc[0]
+        grams = WordGrams(row, bits)
         counts = grams.counts()
         out = []
         at = np.searchsorted(grams.keys, edges)
         for k, (a, b) in enumerate(zip([0, *at], [*at, len(grams.keys)], strict=True)):
-            keys = _packed(np.diff(grams.keys[a:b], prepend=np.uint64(0)), "<u8")
-            out.append((rows["block"].iloc[0], k, keys, *(_packed(c[a:b], "<u4") for c in counts)))
+            keys = _packed(np.diff(grams.keys[a:b], prepend=np.uint64(0)))
+            out.append((row["block"], k, keys, *(_packed(c[a:b]) for c in counts)))
         return pd.DataFrame(out, columns=["block", "range", "keys", "texts", "after"])
 
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [np.cumsum(_unpacked(x, "<u8"), dtype=np.uint64) for x in rows.pop("keys")]
+        keys = [np.cumsum(_unpacked(x), dtype=np.uint64) for x in rows.pop("keys")]
         ends = np.cumsum([len(x) for x in keys])[:-1]
-        _, at = np.unique(np.concatenate(keys), return_inverse=True)
-        for name, kind in (("texts", "<u4"), ("after", "<u8")):
-            sent = np.concatenate([_unpacked(x, "<u4") for x in rows[name]])
+        _, at = _numbered(np.concatenate(keys))
+        for name in ("texts", "after"):
+            sent = np.concatenate([_unpacked(x) for x in rows[name]])
             total = np.bincount(at, sent).astype(np.int64)[at] if len(at) else sent
-            rows[name] = [_packed(x, kind) for x in np.split(total, ends)]
+            rows[name] = [_packed(x) for x in np.split(total, ends)]
         return rows
 
     def score(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("text_hash")
         answers = answers.sort_values("range")
-        grams = WordGrams(list(rows["text"]))
-        given = [
-            np.concatenate([_unpacked(x, kind).astype(np.int64) for x in answers[name]])
-            for name, kind in (("texts", "<u4"), ("after", "<u8"))
-        ]
-        found = pd.DataFrame({"text_hash": rows["text_hash"].to_numpy(), "word_perplexity": grams.log_perplexity(*given)})
-        return found.dropna()
+        given = [np.concatenate([_unpacked(x).astype(np.int64) for x in answers[k]]) for k in ("texts", "after")]
+        grams = WordGrams(rows.iloc[0], bits)
+        return pd.DataFrame({"text_hash": grams.hashes, "word_perplexity": grams.log_perplexity(*given)})
 
+    schema = pa.schema([("block", pa.int64()), *((k, pa.binary()) for k in ("hashes", "lengths", "names", "lead", "rest"))])
+    kind = "block long, hashes binary, lengths binary, names binary, lead binary, rest binary"
+    blocks = texts.select("text_hash", "text").mapInArrow(encode, kind).repartition(n_parts, "block")
     asked = blocks.groupBy("block").applyInPandas(ask, "block long, range int, keys binary, texts binary, after binary")
     answers = asked.repartition(n_parts, "range").groupBy("range").applyInPandas(
         answer, "block long, range int, texts binary, after binary"
@@ -389,13 +527,13 @@ def measure(docs: DataFrame, models: dict[str, list]) -> DataFrame:
 
     A text without characters, or in a language without a model, has no perplexity.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    shared = docs.sparkSession.sparkContext.broadcast(Models(models))
 
     def rows(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
         names = [part.split()[0] for part in _MEASURES.split(", ")]
         out = pd.DataFrame([base_counts(t) for t in texts], columns=names)
         score = [
-            log_perplexity(classes(t), shared.value[lang]) if t and lang in shared.value else None
+            log_perplexity(classes(t), shared.value.of(lang, len(t))) if t and lang in shared.value else None
             for t, lang in zip(texts, langs, strict=True)
         ]
         out["log_perplexity"] = pd.array(score, dtype="Float64")
