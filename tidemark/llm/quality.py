@@ -28,8 +28,9 @@ PIECE = 16  # characters that get one language where a document is fitted to sev
 LEAST_DOCS = 20
 #: Occurrences of a context that give its own counts a quarter of the weight, half at most.
 CONTEXT = 10.0
-#: Bits of a hash beyond those that number the corpus's characters: less than one in 1,000 n-grams shares its key.
-SPARE_BITS = 9
+#: Bits of an n-gram's hash: at least so many, and at least so many more than number the corpus's characters.
+#: Of a large corpus less than one n-gram in 1,000 shares its key; each bit is sent with each n-gram.
+KEY_BITS, SPARE_BITS = 37, 7
 #: Characters and texts of one block, which is held while its words are counted and while they are scored.
 #: The larger, the fewer pairs are sent twice; a pair and its text must fit 63 bits.
 BLOCK_CHARS = 22_000_000
@@ -424,7 +425,7 @@ def word_perplexity(docs: DataFrame) -> DataFrame:
     once = store(rows.join(copied, "text_hash", "left_semi").dropDuplicates(["text_hash"]), "once")
     texts = rows.join(copied, "text_hash", "left_anti").unionByName(once)
     n_parts, n_ranges = 1 + chars // SPREAD_CHARS, 1 + chars // RANGE_CHARS
-    bits = min(60, SPARE_BITS + int(chars).bit_length())
+    bits = min(60, max(KEY_BITS, SPARE_BITS + int(chars).bit_length()))
     edges = np.array([(2**bits * k) // n_ranges for k in range(1, n_ranges)], np.uint64)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
